@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from jobmart import vocab
 from jobmart.functions.matching import contains_any
@@ -20,29 +20,33 @@ MONTH_RANGE = rf"({NUMBER}){JOINER}({NUMBER}){SPACE}*(?:tháng|months?)(?![a-zA-
 MONTH_SINGLE = rf"({NUMBER}){SPACE}*(?:tháng|months?)(?![a-zA-Z])"
 
 
-def clean_experience(c: Column) -> Column:
-    """``struct<exp_min float, exp_type string>``; -1.0 when unknown.
+def with_clean_experience(df: DataFrame, source: str = "experience") -> DataFrame:
+    """Add ``exp_min`` (float, -1.0 when unknown) and ``exp_type``.
 
     Reads the first number directly before "năm", so a range yields its upper end.
     """
-    t = strip(F.nullif(c, F.lit("")))
-    years = extract(ascii_digits(t), CLEAN_YEARS)
-
-    def row(value: Column, kind: str) -> Column:
-        return F.struct(value.cast("float").alias("exp_min"), F.lit(kind).alias("exp_type"))
-
+    t, years, kind = F.col("_t"), F.col("_years"), F.col("exp_type")
     return (
-        F.when(t.isin(CLEAN_NO_NEED), row(F.lit(0.0), "no_requirement"))
-        .when(t.rlike(CLEAN_UNDER_ONE), row(F.lit(0.0), "less_than_1"))
-        .when(years.isNotNull(),
-              row(F.replace(years, F.lit(","), F.lit(".")).cast("double"), "exact"))
-        .otherwise(row(F.lit(-1.0), "unknown"))
-    )
+        df.withColumn("_t", strip(F.nullif(F.col(source), F.lit(""))))
+        .withColumn("_years", extract(ascii_digits(t), CLEAN_YEARS))
+        .withColumn(
+            "exp_type",
+            F.when(t.isin(CLEAN_NO_NEED), "no_requirement")
+            .when(t.rlike(CLEAN_UNDER_ONE), "less_than_1")
+            .when(years.isNotNull(), "exact").otherwise("unknown"))
+        .withColumn(
+            "exp_min",
+            F.when(kind == "exact", F.replace(years, F.lit(","), F.lit(".")).cast("double"))
+            .when(kind == "unknown", F.lit(-1.0)).otherwise(F.lit(0.0)).cast("float"))
+        .drop("_t", "_years"))
 
 
-def rules_experience(c: Column) -> Column:
-    """Years as float, NULL when unknown. Months count as fractions, ranges as their middle."""
-    t = ascii_digits(F.replace(strip(F.lower(F.nullif(c, F.lit("")))), F.lit(","), F.lit(".")))
+def with_rules_experience(df: DataFrame, source: str = "experience") -> DataFrame:
+    """Add ``years_of_experience`` (float, NULL when unknown).
+
+    Months count as fractions of a year, ranges as their middle.
+    """
+    t = F.col("_t")
 
     def num(pattern: str, group: int = 1) -> Column:
         return extract(t, pattern, group).cast("double")
@@ -63,4 +67,6 @@ def rules_experience(c: Column) -> Column:
             F.when(bare < 20, bare),
         ))
     )
-    return years.cast("float")
+    prepared = F.replace(strip(F.lower(F.nullif(F.col(source), F.lit("")))), F.lit(","), F.lit("."))
+    return (df.withColumn("_t", ascii_digits(prepared))
+            .withColumn("years_of_experience", years.cast("float")).drop("_t"))

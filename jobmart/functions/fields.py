@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from jobmart import vocab
 from jobmart.functions.matching import contains_any
@@ -18,14 +18,20 @@ GENDERS = ["Nam", "Nữ"]
 MIN_CONTENT = 50
 
 
-def deadline(c: Column) -> Column:
-    """Date behind an optional ``label:``, as day/month/year, day-month-year or ISO."""
-    t = F.regexp_replace(strip(c), rf"\A[^\n]*?:{SPACE}*", "")
+def with_deadline(df: DataFrame, source: str = "deadline") -> DataFrame:
+    """Add ``deadline_date``: the date behind an optional ``label:``.
+
+    Understands day/month/year, day-month-year and ISO; an impossible date is NULL.
+    """
+    t = F.col("_t")
     return (
-        F.when(t.rlike(r"\A[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}\z"), F.try_to_date(t, "d/M/yyyy"))
-        .when(t.rlike(r"\A[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}\z"), F.try_to_date(t, "d-M-yyyy"))
-        .when(t.rlike(r"\A[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}\z"), F.try_to_date(t, "yyyy-M-d"))
-    )
+        df.withColumn("_t", F.regexp_replace(strip(F.col(source)), rf"\A[^\n]*?:{SPACE}*", ""))
+        .withColumn(
+            "deadline_date",
+            F.when(t.rlike(r"\A[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}\z"), F.try_to_date(t, "d/M/yyyy"))
+            .when(t.rlike(r"\A[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}\z"), F.try_to_date(t, "d-M-yyyy"))
+            .when(t.rlike(r"\A[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}\z"), F.try_to_date(t, "yyyy-M-d")))
+        .drop("_t"))
 
 
 def has_content(description: Column, requirements: Column) -> Column:
@@ -35,35 +41,31 @@ def has_content(description: Column, requirements: Column) -> Column:
         F.lit(False))
 
 
-def _tags(c: Column) -> Column:
-    present = F.filter(c, lambda t: t.isNotNull())
-    return F.transform(present, strip)
-
-
 def _last(c: Column, default: Column) -> Column:
     return F.coalesce(F.try_element_at(c, F.lit(-1)), default)
 
 
-def requirement_tags(c: Column) -> Column:
-    """``struct<edu_level, gender, age_min, age_max, req_languages>``; the last tag wins."""
-    tags = _tags(c)
-    numbers = F.transform(tags, ascii_digits)
-
-    def ages(pick) -> Column:
-        found = F.filter(F.transform(numbers, pick), lambda v: v.isNotNull())
-        return _last(found, F.lit(-1))
-
-    languages = F.filter(F.transform(tags, lambda t: extract(t, LANGUAGE)),
-                         lambda v: v.isNotNull())
-    return F.struct(
-        _last(F.filter(tags, lambda t: contains_any(t, vocab.EDUCATION)),
-              F.lit("unknown")).alias("edu_level"),
-        _last(F.filter(tags, lambda t: t.isin(GENDERS)), F.lit("any")).alias("gender"),
-        ages(lambda t: F.coalesce(extract(t, AGE_FROM), extract(t, AGE_RANGE, 1))
-             .try_cast("int")).alias("age_min"),
-        ages(lambda t: extract(t, AGE_RANGE, 2).try_cast("int")).alias("age_max"),
-        F.coalesce(languages, F.array().cast("array<string>")).alias("req_languages"),
-    )
+def with_requirement_tags(df: DataFrame, source: str = "tags_requirement") -> DataFrame:
+    """Add ``edu_level, gender, age_min, age_max, req_languages``; the last fitting tag wins."""
+    tags, numbers = F.col("_tags"), F.col("_numbers")
+
+    def ages(pick: Callable[[Column], Column]) -> Column:
+        found = F.transform(numbers, lambda t: pick(t).try_cast("int"))
+        return _last(F.array_compact(found), F.lit(-1))
+
+    languages = F.array_compact(F.transform(tags, lambda t: extract(t, LANGUAGE)))
+    return (
+        df.withColumn("_tags", F.transform(F.array_compact(F.col(source)), strip))
+        .withColumn("_numbers", F.transform(tags, ascii_digits))
+        .withColumns({
+            "edu_level": _last(F.filter(tags, lambda t: contains_any(t, vocab.EDUCATION)),
+                               F.lit("unknown")),
+            "gender": _last(F.filter(tags, lambda t: t.isin(GENDERS)), F.lit("any")),
+            "age_min": ages(lambda t: F.coalesce(extract(t, AGE_FROM),
+                                                 extract(t, AGE_RANGE, 1))),
+            "age_max": ages(lambda t: extract(t, AGE_RANGE, 2)),
+            "req_languages": F.coalesce(languages, F.array().cast("array<string>"))})
+        .drop("_tags", "_numbers"))
 
 
 def it_verdict(tags: Column, it_tags: Sequence[str] = tuple(vocab.IT_TAGS),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from jobmart import vocab
 from jobmart.functions.matching import ENDS, STARTS, all_labels, any_of, contains_any, first_label
@@ -68,10 +68,14 @@ def posting_text() -> Column:
         [F.col("mo_ta_cong_viec_html"), F.col("yeu_cau_ung_vien_html")])
 
 
-def domains(text: Column, vocabulary: Vocabulary = vocab.DOMAINS) -> Column:
-    """Every technical domain mentioned, sorted; ``["Other"]`` when there is none."""
-    found = all_labels(F.lower(text), vocabulary)
-    return F.when(F.size(found) > 0, found).otherwise(F.array(F.lit(vocab.OTHER_DOMAIN)))
+def with_domains(df: DataFrame, text: str,
+                 vocabulary: Vocabulary = vocab.DOMAINS) -> DataFrame:
+    """Add ``domain``: every technical domain mentioned, sorted; ``["Other"]`` for none."""
+    found = F.col("_found")
+    return (df.withColumn("_found", all_labels(F.lower(F.col(text)), vocabulary))
+            .withColumn("domain", F.when(F.size(found) > 0, found)
+                        .otherwise(F.array(F.lit(vocab.OTHER_DOMAIN))))
+            .drop("_found"))
 
 
 def skills(text: Column, found_domains: Column, dictionary: Vocabulary = vocab.SKILLS) -> Column:

@@ -6,6 +6,7 @@ import html
 import json
 import sys
 import unicodedata
+from collections.abc import Callable
 from html.entities import html5
 
 from pyspark.sql import Column, functions as F
@@ -76,20 +77,25 @@ _LEGACY_START = "^(" + "|".join(sorted(_LEGACY, key=len, reverse=True)) + ")"
 _LOW = [html.unescape(f"&#{n};") for n in range(160)]
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once, however often ``body`` uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _map(table: dict) -> Column:
     return F.from_json(F.lit(json.dumps(table)), "map<string,string>")
 
 
 def _char(code: Column) -> Column:
     """Text of a numeric character reference (``code`` is NULL when out of range)."""
-    utf32 = F.unhex(F.lpad(F.hex(code), 8, "0"))
+    low = F.from_json(F.lit(json.dumps(_LOW)), "array<string>")
     return (
         F.when(code.isNull() | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF), F.lit("\ufffd"))
-        .when(code < 160, F.get(F.array(*[F.lit(x) for x in _LOW]), code.cast("int")))
+        .when(code < 160, F.get(low, code.cast("int")))
         .when(
             code.between(0xFDD0, 0xFDEF) | (code.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE), F.lit("")
         )
-        .otherwise(F.decode(utf32, "UTF-32"))
+        .otherwise(F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
     )
 
 
@@ -99,28 +105,25 @@ def _code(digits: Column, base: int, longest: int) -> Column:
     return F.when(F.length(significant) <= longest, number)
 
 
-def _decode_piece(piece: Column) -> Column:
-    """Decode the text that followed one ``&``."""
+def _decode_number(piece: Column) -> Column:
+    reference = F.regexp_extract(piece, r"^#([0-9]+|[xX][0-9a-fA-F]+);?", 1)
+    code = F.when(reference.rlike("^[xX]"), _code(F.substr(reference, F.lit(2)), 16, 6)).otherwise(
+        _code(reference, 10, 7))
+    rest = F.regexp_replace(piece, r"^#(?:[0-9]+|[xX][0-9a-fA-F]+);?", "")
+    return F.when(reference == "", F.concat(F.lit("&"), piece)).otherwise(
+        F.concat(let(code, _char), rest))
+
+
+def _decode_name(piece: Column) -> Column:
     name = F.regexp_extract(piece, r"^[^\t\n\x0c <&#;]{1,32};", 0)
     legacy = F.regexp_extract(piece, _LEGACY_START, 1)
-    decimal = F.regexp_extract(piece, r"^#([0-9]+);?", 1)
-    hexadecimal = F.regexp_extract(piece, r"^#[xX]([0-9a-fA-F]+);?", 1)
-    plain = F.concat(F.lit("&"), piece)
-    number = (
-        F.when(decimal != "", F.concat(
-            _char(_code(decimal, 10, 7)), F.regexp_replace(piece, r"^#[0-9]+;?", "")))
-        .when(hexadecimal != "", F.concat(
-            _char(_code(hexadecimal, 16, 6)), F.regexp_replace(piece, r"^#[xX][0-9a-fA-F]+;?", "")))
-        .otherwise(plain)
-    )
-    named = F.coalesce(
+    return F.coalesce(
         F.concat(F.try_element_at(_map(_NAMED), non_empty(name)),
                  F.substr(piece, F.length(name) + 1)),
         F.concat(F.try_element_at(_map(_LEGACY), non_empty(legacy)),
                  F.substr(piece, F.length(legacy) + 1)),
-        plain,
+        F.concat(F.lit("&"), piece),
     )
-    return F.when(piece.startswith("#"), number).otherwise(named)
 
 
 def unescape(c: Column) -> Column:
@@ -129,9 +132,12 @@ def unescape(c: Column) -> Column:
     Covers named (with or without the closing semicolon), decimal and hexadecimal references.
     Text without ``&`` is passed through untouched.
     """
-    pieces = F.split(c, "&")
-    decoded = F.transform(pieces, lambda p, i: F.when(i == 0, p).otherwise(_decode_piece(p)))
-    return F.when(c.contains("&"), F.array_join(decoded, "")).otherwise(c)
+    def piece(p: Column, i: Column) -> Column:
+        return F.when(i == 0, p).when(p.startswith("#"), _decode_number(p)).otherwise(
+            _decode_name(p))
+
+    return let(c, lambda t: F.when(
+        t.contains("&"), F.array_join(F.transform(F.split(t, "&"), piece), "")).otherwise(t))
 
 
 def html_to_text(c: Column) -> Column:
