@@ -426,7 +426,9 @@ def enrich_incremental(spark, sf):
 
 @query
 def enrich_without_model(spark, sf):
-    todo = enrich.to_enrich(clean_plan.clean(postings(spark, sf)))
+    stage = f"{scratch(spark, 'rules')}/stage"
+    tables.overwrite(clean_plan.clean(postings(spark, sf)), stage)
+    todo = enrich.to_enrich(spark.read.parquet(stage))
     return enrich.enrich_by_rules(todo).select(
         "job_id", "is_it_job", "job_level", joined("locations").alias("locations"))
 
@@ -598,7 +600,7 @@ def rules_flow(spark, sf):
     return done.select(
         "job_id", "company", "city", "level", joined("domain").alias("domain"),
         joined("skills").alias("skills"),
-        *_as("double", "years_of_experience"), *_salaries()).orderBy("job_id")
+        *_as("double", "years_of_experience"), *_salaries())
 
 
 @query

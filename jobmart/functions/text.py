@@ -11,13 +11,11 @@ from html.entities import html5
 
 from pyspark.sql import Column, functions as F
 
-# Whitespace of a Unicode-aware strip, split into line breaks and the rest. Spelt out because
-# the JVM's \s is ASCII only, and its Unicode variant leaves out U+001C..U+001F.
-_BREAKS = r"\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029"
-_BLANKS = r" \t\x1f\xa0\u1680\u2000-\u200a\u202f\u205f\u3000"
-SPACE = f"[{_BREAKS}{_BLANKS}]"
-
-_STRIP = rf"\A{SPACE}++|(?<!{SPACE}){SPACE}++\z"
+# Whitespace of a Unicode-aware strip: every character Python's str.isspace accepts. Spelt out
+# for patterns, because the JVM's \s is ASCII only and its Unicode variant leaves out
+# U+001C..U+001F.
+WHITESPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 _DIGITS = "".join(
     chr(c) for c in range(128, sys.maxunicode + 1) if unicodedata.category(chr(c)) == "Nd"
@@ -26,8 +24,8 @@ _ASCII = "".join(str(unicodedata.digit(c)) for c in _DIGITS)
 
 
 def strip(c: Column) -> Column:
-    """Remove leading and trailing whitespace, Unicode-aware."""
-    return F.regexp_replace(c, _STRIP, "")
+    """Remove leading and trailing whitespace, Unicode-aware. Looks at the ends only."""
+    return F.btrim(c, F.lit(WHITESPACE))
 
 
 def non_empty(c: Column) -> Column:
@@ -154,7 +152,14 @@ def html_to_text(c: Column) -> Column:
 
 
 def _tidy_lines(c: Column) -> Column:
-    """Strip every line and keep at most one blank line in a row."""
-    t = F.regexp_replace(c, r"\r\n|[\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]", "\n")
-    t = F.regexp_replace(t, rf"(?<![{_BLANKS}])[{_BLANKS}]++(?=\n)|(?<=\n)[{_BLANKS}]++", "")
-    return strip(F.regexp_replace(t, r"\n{3,}", "\n\n"))
+    """Strip every line and keep at most one blank line in a row.
+
+    Line breaks are brought to one form first, by the cheapest means for each of them: the
+    common ones share a Latin-1 class, which the regex engine tests with a bitmap.
+    """
+    t = F.replace(c, F.lit("\r\n"), F.lit("\n"))
+    t = F.regexp_replace(t, r"[\r\x0b\x0c\x1c-\x1e\x85]", "\n")
+    for separator in ("\u2028", "\u2029"):
+        t = F.replace(t, F.lit(separator), F.lit("\n"))
+    lines = F.array_join(F.transform(F.split(t, "\n"), strip), "\n")
+    return strip(F.regexp_replace(lines, r"\n{3,}", "\n\n"))

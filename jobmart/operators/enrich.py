@@ -32,7 +32,10 @@ def route(clean: DataFrame) -> DataFrame:
 
 
 def to_enrich(clean: DataFrame) -> DataFrame:
-    """Adverts worth a model call."""
+    """Adverts worth a model call.
+
+    Meant for the stored clean stage: on an unstored one the filter would clean texts twice.
+    """
     return clean.filter(F.col("has_content") & (F.col("is_it_preliminary") != "false"))
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from jobmart.functions.text import SPACE, canonical_url, non_empty, strip, unescape
+from jobmart.functions.text import SPACE, canonical_url, let, non_empty, strip, unescape
 
 # --- fixed values: markup of the crawled site ------------------------------------------------
 ITEM_CLASS = "job-item-search-result"
@@ -37,8 +37,7 @@ def opening(tag: str, cls: str | None = None, attr: str | None = None,
 
 def first(html: Column, tag: str, **need: str) -> Column:
     """Inner HTML of the first such element, or NULL. For elements not nested in their kind."""
-    pattern = rf"(?is){opening(tag, **need)}(.*?)</{tag}\s*>"
-    return F.when(html.rlike(pattern), F.regexp_extract(html, pattern, 1))
+    return F.get(every(html, tag, **need), F.lit(0))
 
 
 def every(html: Column, tag: str, **need: str) -> Column:
@@ -48,32 +47,36 @@ def every(html: Column, tag: str, **need: str) -> Column:
 
 
 def attribute(open_tag: Column, name: str) -> Column:
-    """Value of an attribute in an opening tag; '' when absent."""
+    """Raw value of an attribute in an opening tag; '' when absent."""
     pattern = rf"""(?is)\A<\w+(?:\s[^>]*?)?\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)')"""
-    return unescape(F.concat(F.regexp_extract(open_tag, pattern, 1),
-                             F.regexp_extract(open_tag, pattern, 2)))
+    return F.concat(F.regexp_extract(open_tag, pattern, 1),
+                    F.regexp_extract(open_tag, pattern, 2))
 
 
-def text_of(inner: Column) -> Column:
-    """Text of an element: every text node stripped, then joined without a separator."""
-    return strip(unescape(F.regexp_replace(inner, rf"{SPACE}*<[^>]+>{SPACE}*", "")))
+def inner_text(inner: Column) -> Column:
+    """Text of an element, entities still encoded: text nodes stripped and joined."""
+    return F.regexp_replace(inner, rf"{SPACE}*<[^>]+>{SPACE}*", "")
+
+
+def decoded(*raw: Column) -> Column:
+    """Decoded and stripped texts, as one array so that the decoder is planned once."""
+    return F.transform(F.array(*raw), lambda r: strip(unescape(F.coalesce(r, F.lit("")))))
 
 
 def balanced(fragment: Column) -> Column:
     """The leading ``<div>`` of ``fragment`` up to its own closing tag, or the whole rest."""
-    pieces = F.split(fragment, r"(?i)(?<=</div>)|(?=<div[\s>/])")
-
     def step(state: Column, piece: Column) -> Column:
         opens = piece.rlike(r"(?i)\A<div[\s>/]").cast("int")
         closes = piece.rlike(r"(?i)</div>\z").cast("int")
         depth = state["depth"] + opens - closes
-        open_still = state["n"] + 1
         return (F.when(state["done"], state)
-                .otherwise(F.struct(depth.alias("depth"), open_still.alias("n"),
+                .otherwise(F.struct(depth.alias("depth"), (state["n"] + 1).alias("n"),
                                     (depth <= 0).alias("done"))))
 
     start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("n"), F.lit(False).alias("done"))
-    return F.array_join(F.slice(pieces, 1, F.aggregate(pieces, start, step)["n"]), "")
+    return let(
+        F.split(fragment, r"(?i)(?<=</div>)|(?=<div[\s>/])"),
+        lambda p: F.array_join(F.slice(p, F.lit(1), F.aggregate(p, start, step)["n"]), ""))
 
 
 def blocks(html: Column, **need: str) -> Column:
@@ -83,18 +86,14 @@ def blocks(html: Column, **need: str) -> Column:
     return F.transform(mine, balanced)
 
 
-def _text(html: Column) -> Column:
-    return F.coalesce(text_of(html), F.lit(""))
-
-
 def title_of(link: Column) -> Column:
     """Title of a link element: tooltip span, its text, then the link's own attributes, text."""
     tip = opening("span", attr="data-original-title")
     span = F.regexp_extract(link, rf"(?is){tip}", 0)
     inside = F.regexp_extract(link, rf"(?is){tip}(.*?)</span\s*>", 1)
-    choices = [strip(attribute(span, "data-original-title")), text_of(inside),
-               strip(attribute(link, "title")), strip(attribute(link, "aria-label"))]
-    return F.coalesce(*[non_empty(c) for c in choices], text_of(link))
+    choices = decoded(attribute(span, "data-original-title"), inner_text(inside),
+                      attribute(link, "title"), attribute(link, "aria-label"), inner_text(link))
+    return F.coalesce(F.get(F.filter(choices, lambda c: c != ""), F.lit(0)), F.lit(""))
 
 
 def _link(item: Column) -> Column:
@@ -123,19 +122,21 @@ def listing(pages: DataFrame, html: str = "html") -> DataFrame:
         r"(?is)" + opening(r"(\w+)", cls="city-text") + r"(.*?)</\1\s*>", 2)
     salary = F.coalesce(first(item, "label", cls="title-salary"),
                         first(first(item, "label", cls="salary"), "span"))
+    experience = first(first(item, "label", cls="exp"), "span")
     tags = F.flatten(F.transform(blocks(item, cls="tag"),
                                  lambda b: every(b, "a", cls="item-tag")))
-    return named.select(
+    fields = ["job_id", "url", "company", "salary", "location", "experience"]
+    raw = [attribute(item, "data-job-id"), attribute(link, "href"),
+           *[inner_text(c) for c in (company, salary, location, experience)]]
+    read = named.select(
         *[c for c in found.columns if c != "_item"],
-        attribute(item, "data-job-id").alias("job_id"),
-        F.coalesce(title_of(link), F.lit("")).alias("title"),
-        F.coalesce(canonical_url(attribute(link, "href")), F.lit("")).alias("url"),
-        _text(company).alias("company"),
-        _text(salary).alias("salary"),
-        _text(location).alias("location"),
-        _text(first(first(item, "label", cls="exp"), "span")).alias("experience"),
-        F.transform(tags, text_of).alias("tags"),
-    )
+        title_of(link).alias("title"), decoded(*raw).alias("_fields"),
+        F.transform(tags, lambda t: strip(unescape(inner_text(t)))).alias("tags"))
+    values = {name: F.get("_fields", F.lit(i)) for i, name in enumerate(fields)}
+    values["url"] = canonical_url(values["url"])
+    return read.select(
+        *[c for c in found.columns if c != "_item"], "title",
+        *[values[name].alias(name) for name in fields], "tags")
 
 
 def _last_match(rows: Column, field: str, default: Column) -> Column:
@@ -151,10 +152,11 @@ def detail(pages: DataFrame, html: str = "html") -> DataFrame:
     page = F.col(html)
     box = F.get(blocks(page, element_id="box-job-information-detail"), F.lit(0))
     groups = F.transform(blocks(box, cls="job-tags__group"), lambda g: F.struct(
-        _text(first(g, "div", cls="job-tags__group-name")).alias("name"),
-        F.transform(every(g, "a", cls="item"), text_of).alias("items")))
+        F.get(decoded(inner_text(first(g, "div", cls="job-tags__group-name"))), F.lit(0)).alias("name"),
+        F.transform(every(g, "a", cls="item"), lambda a: strip(unescape(inner_text(a))))
+        .alias("items")))
     sections = F.transform(blocks(page, cls="job-description__item"), lambda s: F.struct(
-        text_of(first(s, "h3")).alias("name"),
+        inner_text(first(s, "h3")).alias("name"),
         F.get(blocks(s, cls="job-description__item--content"), F.lit(0)).alias("content")))
     prepared = pages.select(*[c for c in pages.columns if c != html],
                             page.alias("_page"), groups.alias("_groups"),
@@ -177,7 +179,8 @@ def detail(pages: DataFrame, html: str = "html") -> DataFrame:
           for i, name in enumerate(GROUPS)],
         *[_last_match(chosen("_sections", section_names, i), "content", F.lit("")).alias(name)
           for i, name in enumerate(SECTIONS)],
-        _text(first(F.col("_page"), "div", cls=DEADLINE_CLASS)).alias("deadline"),
+        F.get(decoded(inner_text(first(F.col("_page"), "div", cls=DEADLINE_CLASS))), F.lit(0))
+        .alias("deadline"),
     )
 
 
