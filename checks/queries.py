@@ -566,7 +566,7 @@ def partition_overwrite(spark, sf):
     """All days, then every day that saw an error is replaced by its errors only."""
     base = scratch(spark, "overwrite")
     days = _event_days(spark, sf)
-    tables.overwrite_partitions(days, base, ["ingestion_date"])
+    tables.overwrite_partitions(days, base, ["ingestion_date"], rebalance=True)
     errors = days.filter((F.col("event_type") == "error") & (F.dayofmonth("ingestion_date") > 15))
     tables.overwrite_partitions(errors, base, ["ingestion_date"])
     return quality.distribution(
@@ -576,7 +576,8 @@ def partition_overwrite(spark, sf):
 def _registered(spark, sf) -> str:
     base = scratch(spark, "catalog")
     database = "jobs_" + base.rsplit("-", 1)[-1].lower()
-    tables.overwrite_partitions(_event_days(spark, sf), f"{base}/final", ["ingestion_date"])
+    tables.overwrite_partitions(_event_days(spark, sf), f"{base}/final", ["ingestion_date"],
+                                rebalance=True)
     catalog.create_database(spark, database, base)
     catalog.register(spark, database, "silver", f"{base}/final", ["ingestion_date"])
     return database
@@ -605,5 +606,7 @@ def rules_flow(spark, sf):
 
 @query
 def rules_to_location_mart(spark, sf):
-    jobs = rules.as_mart_input(rules.process(postings(spark, sf)))
+    base = scratch(spark, "rules")
+    tables.overwrite(rules.process(postings(spark, sf)), base)
+    jobs = rules.as_mart_input(spark.read.parquet(base))
     return marts.location_trend(jobs, as_of()).select("city", "job_count", "percentage")

@@ -116,10 +116,11 @@ def pending(todo: DataFrame, ledger: DataFrame, key: str = "job_id") -> DataFram
 def plan_batches(todo: DataFrame, path: str, batches: int) -> None:
     """Write ``todo`` partitioned into ``batches`` by a hash of the key.
 
-    A row's batch depends on its key alone, so a restart finds every row where it was.
+    A row's batch depends on its key alone, so a restart finds every row where it was. The
+    rebalance hint lets adaptive execution split large batches over several tasks and files.
     """
     number = F.pmod(F.xxhash64("job_id"), F.lit(batches)).cast("int")
-    (todo.withColumn("_batch_id", number).repartition("_batch_id")
+    (todo.withColumn("_batch_id", number).hint("rebalance", "_batch_id")
      .write.mode("overwrite").partitionBy("_batch_id").parquet(path))
 
 

@@ -22,9 +22,9 @@ SECTIONS = {
 DEADLINE_CLASS = "job-detail__information-detail--actions-label"
 
 
-def opening(tag: str, cls: str | None = None, attr: str | None = None,
-            element_id: str | None = None) -> str:
-    """Pattern of an opening tag with the given class token, attribute or id."""
+def _start(tag: str, cls: str | None = None, attr: str | None = None,
+           element_id: str | None = None) -> str:
+    """Pattern of an opening tag, without the ``<``, having a class token, attribute or id."""
     need = ""
     if cls:
         need += rf"""(?=[^>]*?\sclass\s*=\s*["'](?:[^"'>]*\s)?{cls}(?:\s[^"'>]*)?["'])"""
@@ -32,18 +32,25 @@ def opening(tag: str, cls: str | None = None, attr: str | None = None,
         need += rf"""(?=[^>]*?\sid\s*=\s*["']{element_id}["'])"""
     if attr:
         need += rf"(?=[^>]*?\s{attr}\s*=)"
-    return rf"<{tag}(?=[\s>/]){need}[^>]*>"
+    return rf"{tag}(?=[\s>/]){need}[^>]*>"
+
+
+def opening(tag: str, **need: str) -> str:
+    return "<" + _start(tag, **need)
+
+
+def _element(tag: str, **need: str) -> str:
+    return rf"(?is){opening(tag, **need)}(.*?)</{tag}\s*>"
 
 
 def first(html: Column, tag: str, **need: str) -> Column:
-    """Inner HTML of the first such element, or NULL. For elements not nested in their kind."""
-    return F.get(every(html, tag, **need), F.lit(0))
+    """Inner HTML of the first such element, '' if none. For elements not nested in their kind."""
+    return F.regexp_extract(html, _element(tag, **need), 1)
 
 
 def every(html: Column, tag: str, **need: str) -> Column:
     """Inner HTML of all such elements."""
-    return F.regexp_extract_all(
-        html, F.lit(rf"(?is){opening(tag, **need)}(.*?)</{tag}\s*>"), F.lit(1))
+    return F.regexp_extract_all(html, F.lit(_element(tag, **need)), F.lit(1))
 
 
 def attribute(open_tag: Column, name: str) -> Column:
@@ -63,27 +70,44 @@ def decoded(*raw: Column) -> Column:
     return F.transform(F.array(*raw), lambda r: strip(unescape(F.coalesce(r, F.lit("")))))
 
 
-def balanced(fragment: Column) -> Column:
-    """The leading ``<div>`` of ``fragment`` up to its own closing tag, or the whole rest."""
-    def step(state: Column, piece: Column) -> Column:
-        opens = piece.rlike(r"(?i)\A<div[\s>/]").cast("int")
-        closes = piece.rlike(r"(?i)</div>\z").cast("int")
-        depth = state["depth"] + opens - closes
-        return (F.when(state["done"], state)
-                .otherwise(F.struct(depth.alias("depth"), (state["n"] + 1).alias("n"),
-                                    (depth <= 0).alias("done"))))
-
-    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("n"), F.lit(False).alias("done"))
-    return let(
-        F.split(fragment, r"(?i)(?<=</div>)|(?=<div[\s>/])"),
-        lambda p: F.array_join(F.slice(p, F.lit(1), F.aggregate(p, start, step)["n"]), ""))
+_SPAN = "struct<start:int,stop:int>"
+_SCAN = f"struct<at:int,start:int,depth:int,spans:array<{_SPAN}>>"
 
 
 def blocks(html: Column, **need: str) -> Column:
-    """All ``div`` elements of a kind that does not nest in itself, each complete."""
-    parts = F.split(html, f"(?is)(?={opening('div', **need)})")
-    mine = F.filter(parts, lambda p: p.rlike(rf"(?is)\A{opening('div', **need)}"))
-    return F.transform(mine, balanced)
+    """All ``div`` elements of a kind that does not nest in itself, each complete.
+
+    The text is cut at its ``div`` tags, and one fold over the pieces counts the nesting and
+    notes where each element starts and stops. An unclosed element takes the rest of the text.
+    """
+    def state(at, start, depth, spans) -> Column:
+        return F.struct(at, start, depth, spans).cast(_SCAN)
+
+    def step(s: Column, piece: Column) -> Column:
+        at = s["at"] + 1
+        opens = piece.rlike(r"(?i)\Adiv").cast("int")
+        closes = piece.rlike(r"(?i)\A/div").cast("int")
+        depth = s["depth"] + opens - closes
+        span = F.array(F.struct(s["start"], at).cast(_SPAN))
+        starts = (at > 1) & piece.rlike(rf"(?is)\A{_start('div', **need)}")
+        zero = F.lit(0)
+        return (F.when((s["start"] == 0) & ~starts, state(at, zero, zero, s["spans"]))
+                .when(s["start"] == 0, state(at, at, F.lit(1), s["spans"]))
+                .when(depth == 0, state(at, zero, zero, F.concat(s["spans"], span)))
+                .otherwise(state(at, s["start"], depth, s["spans"])))
+
+    def finish(s: Column) -> Column:
+        rest = F.array(F.struct(s["start"], s["at"] + 1).cast(_SPAN))
+        return F.when(s["start"] > 0, F.concat(s["spans"], rest)).otherwise(s["spans"])
+
+    def cut(pieces: Column) -> Column:
+        begin = state(F.lit(0), F.lit(0), F.lit(0), F.array().cast(f"array<{_SPAN}>"))
+        spans = F.aggregate(pieces, begin, step, finish)
+        return F.transform(spans, lambda p: F.concat(
+            F.lit("<"), F.array_join(F.slice(pieces, p["start"], p["stop"] - p["start"]), "<"),
+            F.when(p["stop"] > F.size(pieces), F.lit("")).otherwise(F.lit("</div>"))))
+
+    return let(F.split(html, r"<(?=(?i:/?div)[\s>/])"), cut)
 
 
 def title_of(link: Column) -> Column:
@@ -120,7 +144,7 @@ def listing(pages: DataFrame, html: str = "html") -> DataFrame:
     location = F.regexp_extract(
         first(item, "label", cls="address"),
         r"(?is)" + opening(r"(\w+)", cls="city-text") + r"(.*?)</\1\s*>", 2)
-    salary = F.coalesce(first(item, "label", cls="title-salary"),
+    salary = F.coalesce(F.get(every(item, "label", cls="title-salary"), F.lit(0)),
                         first(first(item, "label", cls="salary"), "span"))
     experience = first(first(item, "label", cls="exp"), "span")
     tags = F.flatten(F.transform(blocks(item, cls="tag"),

@@ -6,7 +6,9 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+# Row-level text work is bound by CPU, hence smaller input splits than the default.
 SETTINGS = {
+    "spark.sql.files.maxPartitionBytes": "64m",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
@@ -20,8 +22,21 @@ ENRICH_SETTINGS = SETTINGS | {
     "spark.network.timeout": "800s",
     "spark.executor.heartbeatInterval": "60s",
     "spark.speculation": "false",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "120",
 }
 
+BYTES_PER_SHUFFLE_PARTITION = 512 * 1024 ** 2
+
+
+def sized(input_bytes: int) -> dict[str, str]:
+    """Shuffle partitions for an input of this size; adaptive execution merges what is too fine.
+
+    Choose it before a stream's first start: its state keeps the number of partitions for good.
+    """
+    wanted = max(200, -(-input_bytes // BYTES_PER_SHUFFLE_PARTITION))
+    return {"spark.sql.shuffle.partitions": str(wanted)}
+
+
 
 def session(name: str, settings: dict[str, str] | None = None, **more: str) -> SparkSession:
     builder = SparkSession.builder.appName(name)

@@ -37,9 +37,15 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     df.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
-    """Replace only the partitions present in ``df``; other days stay."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
+                         rebalance: bool = False) -> None:
+    """Replace only the partitions present in ``df``; other days stay.
+
+    One run usually writes one day, and then every task writes one file and no shuffle is needed.
+    With many days at once, ``rebalance`` gathers each day into few files of even size.
+    """
+    rows = df.hint("rebalance", *partition_by) if rebalance else df
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by).parquet(path))
 
 

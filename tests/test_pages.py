@@ -72,10 +72,14 @@ def test_title_chain(spark, link, title):
     assert df.select(pages.title_of(F.col("s"))).first()[0] == title
 
 
-def test_unclosed_block_takes_the_rest(spark):
-    df = spark.createDataFrame([("<div>a<div>b</div>c",), ("<div>a</div>b<div></div>",)], "s string")
-    got = [r[0] for r in df.select(pages.balanced(F.col("s"))).collect()]
-    assert got == ["<div>a<div>b</div>c", "<div>a</div>"]
+def test_blocks_are_cut_at_their_own_end(spark):
+    texts = ['div<div class="k">a<div>b</div>c', '<div class="k">a</div>b<div></div>',
+             '<DIV class="x k">1<dIv/></DIV></Div>t<div class="kk"></div><div class=\'k\'>2</div>',
+             "", "<divider class='k'>no</divider>"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, s string")
+    got = [r[1] for r in df.select("i", pages.blocks(F.col("s"), cls="k")).orderBy("i").collect()]
+    assert got == [['<div class="k">a<div>b</div>c'], ['<div class="k">a</div>'],
+                   ['<DIV class="x k">1<dIv/></DIV></div>', "<div class='k'>2</div>"], [], []]
 
 
 def test_merge_keeps_rows_without_detail(spark):

@@ -223,6 +223,17 @@ def test_lines_are_tidied(spark):
     assert got == [tidy(t) for t in texts]
 
 
+def test_both_ways_of_removing_tags_agree(spark):
+    rng = random.Random(11)
+    odd = PIECES + ["<", ">", "<>", "< >", "<li", "<p", "<br\xa0>", "<br/", "</ul", "<Li>"]
+    texts = random_texts(500, seed=10) + [
+        "".join(rng.choices(odd, k=rng.randint(1, 12))) for _ in range(1500)]
+    fast = column(spark, [(t,) for t in texts], "s string", lambda: text.tags_to_lines(F.col("s")))
+    slow = column(spark, [(t,) for t in texts], "s string",
+                  lambda: text.tags_by_pattern(F.col("s")))
+    assert fast == slow
+
+
 def test_escaped_tags_survive_and_real_ones_do_not(spark):
     got = column(spark, [("<div>a</div>&lt;i&gt;b<pre>c</pre>",)], "s string",
                  lambda: text.html_to_text(F.col("s")))
