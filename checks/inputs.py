@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from checks import fixtures as X
+from jobmart.functions.text import constant
 
 # Long enough to count as content on its own.
 LEAD = "Chúng tôi đang tìm một đồng nghiệp cho nhóm sản phẩm tại văn phòng. "
@@ -26,12 +27,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 def pick(values: list, kind: str = "string", by: str = "doc_id") -> Column:
     """The value at position ``by`` modulo the length of ``values``."""
-    def lit(v) -> Column:
-        if isinstance(v, list):
-            return F.array(*[F.lit(x) for x in v]).cast(kind)
-        return F.lit(v).cast(kind)
-
-    return F.get(F.array(*[lit(v) for v in values]),
+    return F.get(constant(values, f"array<{kind}>"),
                  (F.col(by) % F.lit(len(values))).cast("int"))
 
 

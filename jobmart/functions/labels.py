@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from jobmart import vocab
 from jobmart.functions.matching import ENDS, STARTS, all_labels, any_of, contains_any, first_label
-from jobmart.functions.text import non_empty, strip, strip_tags
+from jobmart.functions.text import constant, non_empty, strip, strip_tags
 
 Vocabulary = Mapping[str, Sequence[str]]
 
@@ -105,7 +105,7 @@ def skills(text: Column, found_domains: Column, dictionary: Vocabulary = vocab.S
         pattern = f"(?iu){STARTS}({any_of(words)}){ENDS}"
         found = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
         hits.append(F.when(F.array_contains(found_domains, domain), found).otherwise(none))
-    spelling = F.create_map(*[F.lit(x) for pair in sorted(canonical.items()) for x in pair])
+    spelling = constant(canonical, "map<string,string>")
     lowered = F.array_distinct(F.transform(F.concat(*hits), F.lower))
     named = F.transform(lowered, lambda s: F.try_element_at(spelling, s))
     return F.coalesce(F.array_sort(F.array_distinct(F.array_compact(named))), none)

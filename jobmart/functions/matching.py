@@ -8,12 +8,13 @@ position are restored from a table computed once (``covered``), so no hit is los
 
 from __future__ import annotations
 
-import json
 import re
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, functions as F
 
+from jobmart.functions.text import constant
+
 # --- fixed values: characters that count as part of a word -----------------------------------
 WORD = r"a-zA-Z0-9\u00C0-\u024F\u1E00-\u1EFF"
 
@@ -75,7 +76,7 @@ def all_labels(text: Column, vocabulary: Mapping[str, Sequence[str]]) -> Column:
         w: sorted(set().union(*(owner[p] for p in prefixes)))
         for w, prefixes in covered(owner).items()
     }
-    labels = F.from_json(F.lit(json.dumps(table)), "map<string,array<string>>")
+    labels = constant(table, "map<string,array<string>>")
     hits = F.array_distinct(scan(text, list(owner)))
     found = F.flatten(F.transform(hits, lambda h: F.try_element_at(labels, h)))
     return F.array_sort(F.array_distinct(found))
@@ -90,11 +91,10 @@ def first_label(text: Column, ranked: Sequence[tuple[str, str]]) -> Column:
     for i, (word, _) in enumerate(ranked):
         rank.setdefault(word.lower(), i)
     best = {w: min(rank[p] for p in prefixes) for w, prefixes in covered(rank).items()}
-    table = F.from_json(F.lit(json.dumps(best)), "map<string,int>")
+    table = constant(best, "map<string,int>")
     hits = scan(text, list(rank))
     winner = F.array_min(F.transform(hits, lambda h: F.try_element_at(table, h)))
-    labels = F.array(*[F.lit(label) for _, label in ranked])
-    return F.get(labels, winner)
+    return F.get(constant([label for _, label in ranked], "array<string>"), winner)
 
 
 def contains_any(text: Column, needles: Sequence[str]) -> Column:

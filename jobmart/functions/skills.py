@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import json
 import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, functions as F
 
 from jobmart import vocab
-from jobmart.functions.text import SPACE, strip
+from jobmart.functions.text import SPACE, constant, strip
 
 _SEPARATORS = r"[\s.\-/]+"
 
@@ -32,7 +31,7 @@ def canonical_skill(c: Column, table: Mapping[str, str] | None = None) -> Column
 
     An "apache" prefix and a "js" suffix are dropped when the full spelling is unknown.
     """
-    names = F.from_json(F.lit(json.dumps(dict(table or alias_table()))), "map<string,string>")
+    names = constant(dict(table or alias_table()), "map<string,string>")
     key = F.regexp_replace(F.lower(c), rf"{SPACE}+|[.\-/]+", "")
 
     def known(k: Column) -> Column:

@@ -80,13 +80,14 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _map(table: dict) -> Column:
-    return F.from_json(F.lit(json.dumps(table)), "map<string,string>")
+def constant(value: list | dict, kind: str) -> Column:
+    """A list or mapping as one literal; the optimizer folds the parsing away."""
+    return F.from_json(F.lit(json.dumps(value)), kind)
 
 
 def _char(code: Column) -> Column:
     """Text of a numeric character reference (``code`` is NULL when out of range)."""
-    low = F.from_json(F.lit(json.dumps(_LOW)), "array<string>")
+    low = constant(_LOW, "array<string>")
     return (
         F.when(code.isNull() | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF), F.lit("\ufffd"))
         .when(code < 160, F.get(low, code.cast("int")))
@@ -113,15 +114,16 @@ def _decode_number(piece: Column) -> Column:
 
 
 def _decode_name(piece: Column) -> Column:
+    def with_table(table: dict) -> Callable[[Column], Column]:
+        return lambda name: F.concat(F.try_element_at(constant(table, "map<string,string>"), name),
+                                     F.substr(piece, F.length(name) + 1))
+
     name = F.regexp_extract(piece, r"^[^\t\n\x0c <&#;]{1,32};", 0)
     legacy = F.regexp_extract(piece, _LEGACY_START, 1)
-    return F.coalesce(
-        F.concat(F.try_element_at(_map(_NAMED), non_empty(name)),
-                 F.substr(piece, F.length(name) + 1)),
-        F.concat(F.try_element_at(_map(_LEGACY), non_empty(legacy)),
-                 F.substr(piece, F.length(legacy) + 1)),
-        F.concat(F.lit("&"), piece),
-    )
+    return (
+        F.when(piece.startswith("amp;"), F.concat(F.lit("&"), F.substr(piece, F.lit(5))))
+        .otherwise(F.coalesce(let(name, with_table(_NAMED)), let(legacy, with_table(_LEGACY)),
+                              F.concat(F.lit("&"), piece))))
 
 
 def unescape(c: Column) -> Column:
