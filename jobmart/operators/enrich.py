@@ -68,13 +68,26 @@ def asked(scorer: Scorer, timeout: float = 20.0, attempts: int = 2,
     return F.pandas_udf(batches, "string").asNondeterministic()
 
 
-def _finish(answered: DataFrame) -> DataFrame:
-    """Turn ``_answer`` into columns and add level and provenance."""
-    return answered.select(
-        "*", "_answer.*",
-        title_level(F.col("title"), F.col("exp_min")).alias("job_level"),
-        provenance(F.col("is_it_preliminary")).alias("classification_source"),
-    ).drop("_answer", "_reply")
+def _finisher() -> Callable[[DataFrame], DataFrame]:
+    """Turns ``_answer`` into columns and adds level and provenance."""
+    level = title_level(F.col("title"), F.col("exp_min")).alias("job_level")
+    origin = provenance(F.col("is_it_preliminary")).alias("classification_source")
+    return lambda answered: answered.select("*", "_answer.*", level, origin).drop(
+        "_answer", "_reply")
+
+
+def enricher(scorer: Scorer, partitions: int | None = None,
+             **options) -> Callable[[DataFrame], DataFrame]:
+    """``enrich`` with its columns built once, for use on many frames."""
+    reply = asked(scorer, **options)(prompt())
+    answer = decode_reply(F.col("_reply"), F.col("is_it_preliminary"))
+    finish = _finisher()
+
+    def run(todo: DataFrame) -> DataFrame:
+        spread = todo.repartition(partitions) if partitions else todo
+        return finish(spread.withColumn("_reply", reply).withColumn("_answer", answer))
+
+    return run
 
 
 def enrich(todo: DataFrame, scorer: Scorer, partitions: int | None = None, **options) -> DataFrame:
@@ -82,10 +95,7 @@ def enrich(todo: DataFrame, scorer: Scorer, partitions: int | None = None, **opt
 
     ``partitions`` spreads the calls; model time, not data size, sets the task length here.
     """
-    spread = todo.repartition(partitions) if partitions else todo
-    replied = spread.withColumn("_reply", asked(scorer, **options)(prompt()))
-    answer = decode_reply(F.col("_reply"), F.col("is_it_preliminary"))
-    return _finish(replied.withColumn("_answer", answer))
+    return enricher(scorer, partitions, **options)(todo)
 
 
 def enrich_by_rules(todo: DataFrame, dictionary=vocab.SKILLS) -> DataFrame:
@@ -105,7 +115,7 @@ def enrich_by_rules(todo: DataFrame, dictionary=vocab.SKILLS) -> DataFrame:
         .alias("locations"),
         F.lit(-1).alias("max_salary_verified"),
     )
-    return _finish(found.withColumn("_answer", answer).drop("_text", "_domains"))
+    return _finisher()(found.withColumn("_answer", answer).drop("_text", "_domains"))
 
 
 def pending(todo: DataFrame, ledger: DataFrame, key: str = "job_id") -> DataFrame:
@@ -129,14 +139,15 @@ def run_batches(spark: SparkSession, planned: str, ledger: str, scorer: Scorer,
     """Enrich the planned batches one after the other, each committed on its own.
 
     Rows already in the ledger are left out by key, so an interrupted run continues where it
-    stopped. Planned rows and ledger are both pruned to the batch's own partition.
+    stopped. A batch lists and reads its own directory of either table, nothing else.
     """
+    schema = spark.read.parquet(planned).schema
+    run = enricher(scorer, partitions, **options)
     for number in range(batches):
-        mine = F.col("_batch_id") == number
-        todo = spark.read.parquet(planned).filter(mine)
-        done = read_or_empty(spark, ledger, "job_id string, _batch_id int").filter(mine)
-        fresh = enrich(pending(todo, done), scorer, partitions, **options)
-        append(fresh, ledger, partition_by=["_batch_id"])
+        mine = f"_batch_id={number}"
+        todo = read_or_empty(spark, f"{planned}/{mine}", schema, planned)
+        done = read_or_empty(spark, f"{ledger}/{mine}", "job_id string", ledger)
+        append(run(pending(todo, done)), ledger, partition_by=["_batch_id"])
 
 
 def final_table(ledger: DataFrame, as_of: Column | None = None, source: str = "jobs") -> DataFrame:

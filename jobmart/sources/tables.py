@@ -16,13 +16,17 @@ def read_postings(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.POSTING).parquet(path)
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
+def read_or_empty(spark: SparkSession, path: str, schema: str | StructType,
+                  table: str | None = None) -> DataFrame:
     """The table at ``path``, or an empty one when nothing was written there yet.
 
-    Only a missing path is forgiven; any other failure is raised.
+    For a single partition directory ``table`` names the whole table, so that the partition
+    column is there but only this directory is listed. Only a missing path is forgiven; any other
+    failure is raised.
     """
+    reader = spark.read.option("basePath", table) if table else spark.read
     try:
-        return spark.read.parquet(path)
+        return reader.parquet(path)
     except AnalysisException as e:
         if e.getCondition() not in {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}:
             raise

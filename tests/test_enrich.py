@@ -98,6 +98,7 @@ def test_interrupted_batches_resume_by_key(spark, tmp_path, calls):
     todo = enrich.to_enrich(clean(postings(spark, 40)))
     wanted = {r.job_id for r in todo.collect()}
     enrich.plan_batches(todo, planned, 3)
+    assert spark.read.parquet(planned).select("_batch_id").distinct().count() == 3
     scorer = counting_scorer(str(calls))
     enrich.run_batches(spark, planned, ledger, scorer, 1)
     first = len(list(calls.iterdir()))
@@ -109,6 +110,14 @@ def test_interrupted_batches_resume_by_key(spark, tmp_path, calls):
     assert len(list(calls.iterdir())) == len(wanted)
 
 
+def test_more_batches_than_rows(spark, tmp_path, calls):
+    planned, ledger = str(tmp_path / "planned"), str(tmp_path / "ledger")
+    todo = enrich.to_enrich(clean(postings(spark, 4)))
+    enrich.plan_batches(todo, planned, 12)
+    enrich.run_batches(spark, planned, ledger, counting_scorer(str(calls)), 12)
+    assert spark.read.parquet(ledger).count() == todo.count() == len(list(calls.iterdir()))
+
+
 def test_incremental_enrichment_asks_only_for_new_rows(spark, tmp_path, calls):
     stage, ledger, progress = (str(tmp_path / n) for n in ("stage", "ledger", "progress"))
     tables.overwrite(clean(postings(spark, 12)), stage)
