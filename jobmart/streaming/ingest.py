@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from jobmart import schemas
 from jobmart.operators.enrich import Scorer, enrich, pending, to_enrich
-from jobmart.sources.bronze import from_messages
+from jobmart.sources.bronze import decode
 from jobmart.sources.tables import read_or_empty
 
 
@@ -21,11 +21,15 @@ def topic(spark: SparkSession, servers: str, name: str, **options: str) -> DataF
 
 
 def message_files(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """Messages dropped as Parquet files, a stand-in for a topic."""
+    """Messages dropped as Parquet files, a stand-in for a topic.
+
+    ``offset`` is the row's number within its file, as a topic numbers its messages.
+    """
     reader = spark.readStream.schema(schemas.MESSAGE)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path)
+    return reader.parquet(path).select(
+        "key", "value", F.col("_metadata.row_index").alias("offset"))
 
 
 def distinct_forever(stream: DataFrame, key: str = "job_id", spread: int = 0,
@@ -35,7 +39,8 @@ def distinct_forever(stream: DataFrame, key: str = "job_id", spread: int = 0,
     The state lives in the query's checkpoint and grows with the number of keys; run it on the
     RocksDB state store (see ``session``). With ``spread`` a first pass removes duplicates per
     key and salt, so replays of a hot key are thinned on ``spread`` tasks before they meet on
-    one. ``spread_by`` names the columns the salt is taken from.
+    one. ``spread_by`` names the columns the salt is taken from; they must differ between copies
+    and stay the same when a batch is run again.
     """
     if not spread:
         return stream.dropDuplicates([key])
@@ -56,10 +61,17 @@ def to_parquet(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
-def ingest(messages: DataFrame, path: str, checkpoint: str, **dedup) -> None:
-    """Messages to distinct adverts in Parquet."""
-    to_parquet(distinct_forever(from_messages(messages), **dedup), path,
-               checkpoint).awaitTermination()
+def ingest(messages: DataFrame, path: str, checkpoint: str, spread: int = 16) -> None:
+    """Messages to distinct adverts in Parquet.
+
+    Copies of one advert, and unreadable messages, which all share the NULL key, may make up a
+    large part of a batch; they are spread by message offset. With ``spread=0`` one shuffle and
+    one state store are saved where that cannot happen.
+    """
+    rows = messages.select(decode(F.col("value")).alias("data"), "offset").select(
+        "data.*", F.col("offset").alias("_offset"))
+    distinct = distinct_forever(rows, spread=spread, spread_by=["_offset"]).drop("_offset")
+    to_parquet(distinct, path, checkpoint).awaitTermination()
 
 
 def enrich_new(spark: SparkSession, stage: str, ledger: str, checkpoint: str, scorer: Scorer,

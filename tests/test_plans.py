@@ -57,6 +57,11 @@ def test_skill_counts_combine_before_the_shuffle(spark):
     assert "Join" not in text               # counts and salaries come from one aggregate
 
 
+def test_copies_merge_before_the_dedup_shuffle(spark):
+    text = plan(QUERIES["dedup_batch"](spark, SF))
+    assert "partial_min_by" in text and "Window" not in text
+
+
 def test_rank_is_limited_before_the_shuffle(spark):
     text = plan(marts.top_skills_per_city(order_jobs(spark, SF)))
     assert text.count("WindowGroupLimit") >= 2
