@@ -299,7 +299,8 @@ def it_verdict(spark, sf):
 
 @query
 def domains(spark, sf):
-    return rules.tagged(postings(spark, sf)).select("job_id", joined("domain").alias("domain"))
+    found = rules.tagged(postings(spark, sf))
+    return found.select("job_id", joined("domain").alias("domain"))
 
 
 @query

@@ -176,7 +176,8 @@ def detail(pages: DataFrame, html: str = "html") -> DataFrame:
     page = F.col(html)
     box = F.get(blocks(page, element_id="box-job-information-detail"), F.lit(0))
     groups = F.transform(blocks(box, cls="job-tags__group"), lambda g: F.struct(
-        F.get(decoded(inner_text(first(g, "div", cls="job-tags__group-name"))), F.lit(0)).alias("name"),
+        F.get(decoded(inner_text(first(g, "div", cls="job-tags__group-name"))), F.lit(0))
+        .alias("name"),
         F.transform(every(g, "a", cls="item"), lambda a: strip(unescape(inner_text(a))))
         .alias("items")))
     sections = F.transform(blocks(page, cls="job-description__item"), lambda s: F.struct(
