@@ -265,6 +265,8 @@ def scores(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", mu: floa
         if held:
             yield message()
 
+    parts_names = ["block", "place", "ids", "null", "n", "known", "base", "part"]
+    types = (np.uint32, np.int64, bool, np.int32, np.int32, np.float64, np.float64)
     names = ["shard", "block", "words", "sizes", "before", "owner", "place", "ids", "null", "train"]
 
     def answer(messages: list[dict]):
@@ -292,17 +294,16 @@ def scores(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", mu: floa
         base = np.log10((c + 0.5) / total)
         context = np.where(node >= 0, _value(trie.context[np.maximum(node, 0)]) if trie.words.n else 0.0, np.log10(mu))
         context = np.where(every == END, 0.0, context)  # nothing follows the end
-        done = 0
+        done, out = 0, []
         for x, own in zip(messages, owners, strict=True):
             at = inverse[done:done + len(own)]
             done += len(own)
             w, m = pair_word[at], len(x["place"]) // 4
-            ids = pa.array(np.frombuffer(x["ids"], np.int64), mask=np.frombuffer(x["null"], bool))
-            columns = [pa.array(np.full(m, x["block"])), pa.array(np.frombuffer(x["place"], np.uint32).astype(np.int32)), ids,
-                       pa.array(np.bincount(own, minlength=m).astype(np.int32)),
-                       pa.array(np.bincount(own, node[w] >= 0, m).astype(np.int32)),
-                       pa.array(np.bincount(own, base[w], m)), pa.array(np.bincount(own, value[at] - context[w], m))]
-            yield pa.RecordBatch.from_arrays(columns, ["block", "place", "doc_id", "n", "known", "base", "part"])
+            out.append((x["block"], x["place"], x["ids"], x["null"], np.bincount(own, minlength=m).astype(np.int32).tobytes(),
+                        np.bincount(own, node[w] >= 0, m).astype(np.int32).tobytes(), np.bincount(own, base[w], m).tobytes(),
+                        np.bincount(own, value[at] - context[w], m).tobytes()))
+        kinds = (pa.int64(),) + (pa.binary(),) * 7
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate(kinds)], parts_names)
 
     def shard(batches):
         now, held = None, []
@@ -318,10 +319,39 @@ def scores(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", mu: floa
 
     kinds = "shard int, block long, words binary, sizes binary, before binary, owner binary, place binary, ids binary, null binary, train binary"
     sent = rows.mapInArrow(send, kinds).repartition(shards, "shard").sortWithinPartitions("shard")
-    parts = sent.mapInArrow(shard, "block long, place int, doc_id long, n int, known int, base double, part double")
+    binary = ", ".join(f"{c} binary" for c in parts_names[1:])
+    parts = sent.mapInArrow(shard, f"block long, {binary}")
     start = float(np.log10(texts + mu))
-    summed = parts.groupBy("block", "place", "doc_id").agg(F.sum("n").alias("n_tokens"), F.sum("known").alias("n_known"),
-                                                         F.sum("base").alias("base_score"), F.sum("part").alias("part"))
+
+    def add(batches):
+        """One block's parts come together: sums for each of its texts."""
+        now, ids, sums = None, {}, {}
+
+        def done():
+            places = sorted(ids)
+            columns = [pa.array([ids[p] for p in places], pa.int64())]
+            for k, t in enumerate((pa.int64(), pa.int64(), pa.float64(), pa.float64())):
+                columns.append(pa.array([sums[p][k] for p in places], t))
+            return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "n_known", "base_score", "part"])
+
+        for b in batches:
+            for x in b.to_pylist():
+                if ids and x["block"] != now:
+                    yield done()
+                    ids, sums = {}, {}
+                now = x["block"]
+                rows = zip(*(np.frombuffer(x[c], t).tolist() for c, t in zip(parts_names[1:], types, strict=True)), strict=True)
+                for place, doc, null, *more in rows:
+                    have = sums.setdefault(place, [0, 0, 0.0, 0.0])
+                    ids[place] = None if null else doc
+                    for k in range(4):
+                        have[k] += more[k]
+        if ids:
+            yield done()
+
+    # As many rows as blocks times shards, each an array over the block's texts.
+    gathered = parts.repartition(shards, "block").sortWithinPartitions("block", F.xxhash64("base", "part"))
+    summed = gathered.mapInArrow(add, "doc_id long, n_tokens long, n_known long, base_score double, part double")
     crc = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("None")).cast("binary"))
     return summed.select("doc_id", (crc % 5 == 1).alias("held_out"), "n_tokens", "n_known", F.lit(n_train).cast("long").alias("train_tokens"),
                          "base_score", (F.col("part") - start).alias("score"))
