@@ -30,7 +30,7 @@ def op2_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     spaces = F.regexp_replace(F.coalesce("kept", F.lit("")), r"[\x20\x09-\x0D]+", " ")
-    return repeats.remove(docs).select(
+    return repeats.remove(docs, more_text=False).select(
         "doc_id", "n_words", "n_removed", F.sha2(F.regexp_replace(spaces, "^ | $", "").cast("binary"), 256).alias("kept_sha256"))
 
 

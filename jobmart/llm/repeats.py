@@ -22,6 +22,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -209,6 +210,25 @@ def _windows(h: np.ndarray, window: int, buckets: int):
     return rolling(h, window, _ODD[0]), (rolling(h, window, _ODD[1]) % np.uint64(buckets)).astype(np.int32)
 
 
+def _squeezed(rows: DataFrame) -> DataFrame:
+    """The last column, a text, as compressed bytes: what the shuffles of texts carry."""
+    schema = T.StructType(rows.schema.fields[:-1] + [T.StructField("squeezed", T.BinaryType())])
+    names = schema.names
+
+    def squeeze(batches):
+        c = zstandard.ZstdCompressor(level=3)
+        for b in batches:
+            out = [None if x is None else c.compress(x.encode("utf-8", "surrogatepass")) for x in b.column(b.num_columns - 1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(b.columns[:-1] + [pa.array(out, pa.binary())], names)
+
+    return rows.mapInArrow(squeeze, schema)
+
+
+def _texts(column: pa.Array) -> list[str | None]:
+    d = zstandard.ZstdDecompressor()
+    return [None if x is None else d.decompress(x).decode("utf-8", "surrogatepass") for x in column.to_pylist()]
+
+
 def _keyed(docs: DataFrame, doc_id: str, text: str, *more) -> DataFrame:
     return docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(_NO_ID)).alias("key"), F.col(text).cast("string").alias("text"), *more)
 
@@ -236,7 +256,7 @@ def _found(docs: DataFrame, window: int, doc_id: str, text: str) -> DataFrame:
         from pyspark import TaskContext
         gathered, salt = Gathered(buckets, "<u8"), TaskContext.get().partitionId()
         for b in batches:
-            for key, x, found in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for key, x, found in zip(b.column(0).to_pylist(), _texts(b.column(1)), b.column(2).to_pylist(), strict=True):
                 h = word_hashes(words_of(x))
                 if len(h) < window:
                     continue
@@ -254,36 +274,39 @@ def _found(docs: DataFrame, window: int, doc_id: str, text: str) -> DataFrame:
     rows = _keyed(docs, doc_id, text)
     hits = _answers(rows.mapInArrow(probes, _MESSAGE), "<u4", True)
     hits = hits.groupBy("key").agg(F.collect_list(F.struct("bucket", "found")).alias("found"))  # a row per range at most
-    near = rows.join(hits, "key").select("key", "text", "found")
+    near = _squeezed(rows).join(hits, "key").select("key", "squeezed", "found")
     found = _answers(near.mapInArrow(windows, _MESSAGE), "<u8", False)
     return found.groupBy("key").agg(F.collect_list(F.struct("bucket", "found")).alias("found"))
 
 
-def remove(docs: DataFrame, window: int = WINDOW, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def remove(docs: DataFrame, window: int = WINDOW, text: str = "text", doc_id: str = "doc_id", more_text: bool = True) -> DataFrame:
     """Append n_words, removed (array of [start, end) word positions, maximal), n_removed and kept
     (the other words joined by one space, or the text as it is if nothing goes) to every row.
 
     A word goes if a window of ``window`` words over it stands anywhere else in the corpus, in the same text
     too; all copies go, the first included. Windows are judged on the input. Words are runs without
     ASCII white space, compared as they are. A null text has no words and stays null. Rows with
-    equal or null ids are different places. Columns with the new names are replaced.
+    equal or null ids are different places. Columns with the new names are replaced. Without
+    ``more_text`` the input text is left out of the result and of the shuffle.
     """
     buckets = partitions(docs.sparkSession)
     fields = (T.StructType().add("n_words", "long").add("removed", T.ArrayType(T.ArrayType(T.LongType())))
               .add("n_removed", "long").add("kept", "string"))
-    new = {f.name for f in fields} | {"key of repeats", "text of repeats", "found of repeats"}
+    new = {f.name for f in fields} | {"key of repeats", "text of repeats", "found of repeats", "squeezed"}
     keep = [c for c in docs.columns if c.lower() not in new]
     found = _found(docs, window, doc_id, text).select(F.col("key").alias("key of repeats"), F.col("found").alias("found of repeats"))
     key = F.coalesce(F.col(doc_id).cast("long"), F.lit(_NO_ID))
-    rows = docs.select(*[f"`{c}`" for c in keep], F.col(text).cast("string").alias("text of repeats"), key.alias("key of repeats"))
-    rows = rows.join(found, "key of repeats", "left").select(*[f"`{c}`" for c in keep], "`text of repeats`", "`found of repeats`")
+    if text in keep and more_text is False:
+        keep.remove(text)
+    rows = _squeezed(docs.select(*[f"`{c}`" for c in keep], key.alias("key of repeats"), F.col(text).cast("string").alias("text of repeats")))
+    rows = rows.join(found, "key of repeats", "left").select(*[f"`{c}`" for c in keep], "squeezed", "`found of repeats`")
     schema = T.StructType(rows.schema.fields[:-2] + fields.fields)
     names = schema.names
 
     def cut(batches):
         for b in batches:
             out: list[list] = [[], [], [], []]
-            for x, found in zip(b.column(b.num_columns - 2).to_pylist(), b.column(b.num_columns - 1).to_pylist(), strict=True):
+            for x, found in zip(_texts(b.column(b.num_columns - 2)), b.column(b.num_columns - 1).to_pylist(), strict=True):
                 words = words_of(x)
                 gone = np.zeros(len(words), bool)
                 if found and len(words) >= window:
