@@ -29,13 +29,18 @@ from jobmart.llm.common import partitions, scratch
 
 #: Ids in a block before it is written; a document is never cut.
 BLOCK = 1 << 18
-#: Entries of a worker's memory of words.
+#: Entries of each generation of a worker's memory of words.
 MEMORY = 300_000
 #: Fixed: of each control byte, the bytes that its four values take.
 SIZES = np.array([[1 + (c >> 2 * i & 3) for i in range(4)] for c in range(256)], np.uint8)
-#: Outside this range, or with a special token's opening, a text is not lower-cased beforehand.
-_UNUSUAL = re.compile("[^\x00-ɏ]|İ|<\\|")
-_LETTER_MARK = re.compile(r"(?<=[^\W\d_])([.,])(?=[ \n]|$)")
+#: White space on which libraries differ.
+_ODD_SPACES = "\x1c\x1d\x1e\x1f\x85\xa0"
+#: ASCII marks, and the tokenizer's pattern for ASCII words in lower case.
+_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+_OTHER_MARKS = set(_MARKS) - set(".,")
+_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+#: Characters of the texts that are looked up together.
+TOGETHER = 1_000_000
 
 BLOCKS = T.StructType([
     T.StructField("shard", T.IntegerType()), T.StructField("block", T.IntegerType()),
@@ -69,76 +74,156 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     return out
 
 
-class Words(dict):
-    """Word -> packed ids. The normaliser and the pattern treat words between blanks independently."""
+class Words:
+    """Word -> packed ids, in two generations: what is used again passes from the old one to the new.
+
+    The file's normaliser and pattern treat words between blanks independently. In Latin-1 texts lower-casing
+    changes no id, and the pattern's pieces of a word are plain: runs of letters, single digits, runs of marks.
+    Runs of letters go to the library's model many at a time, joined by blanks; each has one token that ends a
+    word, its last. All other pieces, and the words of other texts, go through the whole tokenizer.
+    """
 
     def __init__(self, path: str):
-        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
-
-    def __missing__(self, word: str) -> bytes:
-        return b""
-
-    def encode(self, text: str) -> np.ndarray:
-        if not _UNUSUAL.search(text):  # lower case and cutting off marks change no id, but make words recur
-            text = _LETTER_MARK.sub(r" \1", text.lower())
-        words = text.split()
-        ids = list(map(self.__getitem__, words))
-        if b"" in ids:
-            new = list({w for w, x in zip(words, ids, strict=True) if not x})
-            if len(self) > MEMORY:
-                self.clear()
-            fresh = {w: np.array(x.ids, "<u4").tobytes()
-                     for w, x in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True)}
-            ids = [x or fresh[w] for w, x in zip(words, ids, strict=True)]
-            self.update((w, x) for w, x in fresh.items() if x and len(w) <= 64)
-        return np.frombuffer(b"".join(ids), "<u4")
+        self.letters = Tokenizer.from_file(path)
+        self.letters.normalizer = normalizers.Sequence([])
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, trim_offsets=False, use_regex=False)])
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        for token, i in vocabulary.items():
+            self.ends[i] = bool(suffix) and token.endswith(suffix)
+        self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def library(self, words: list[str]) -> list[bytes]:
+        return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def joined(self, words: list[str], size: int = 256) -> list[bytes]:
+        parts = [" ".join(words[i:i + size]) for i in range(0, len(words), size)]
+        ids = np.concatenate([np.array(x.ids, "<u4") for x in self.letters.encode_batch_fast(parts, add_special_tokens=False)])
+        last = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+        if len(last) != len(words):
+            return self.library(words)
+        data = ids.tobytes()
+        return [data[i:j] for i, j in zip([0, *last], last, strict=False)]
+
+    def learn(self, words: set[str]) -> None:
+        """Put the ids of words of Latin-1 texts, none of them known, into the memory."""
+        known, pieces = self.known, {}
+        for w in words:
+            base = w.rstrip(_MARKS)
+            if base.isalpha():
+                pieces[w] = [base, w[len(base):]] if base != w else [w]
+            else:
+                pieces[w] = _PIECES.findall(w) if w.isascii() else [w]
+        need = {x for p in pieces.values() for x in p}.difference(known)
+        letters, others = [w for w in need if w.isalpha()], [w for w in need if not w.isalpha()]
+        if letters:
+            known.update(zip(letters, self.joined(letters), strict=True))
+        if others:
+            known.update(zip(others, self.library(others), strict=True))
+        for w, p in pieces.items():
+            if len(p) > 1 or p[0] != w:
+                known[w] = b"".join(map(known.__getitem__, p))
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        groups: dict[bool, list[list[str]]] = {True: [], False: []}
+        kinds = []
+        for x in texts:
+            characters = set(x)
+            plain = not characters or max(characters) <= "\xff" and characters.isdisjoint(_ODD_SPACES) and "<|" not in x
+            kinds.append(plain)
+            if not plain:  # kept apart from words in lower case
+                groups[plain].append(["\0" + w for w in re.split("[ \n]+", x) if w])
+                continue
+            x = x.lower()
+            if characters.isdisjoint(_OTHER_MARKS) and not any(map(x.__contains__, ("..", ",,", ".,", ",."))):
+                x = x.replace(".", " . ").replace(",", " , ")  # each is a piece of its own
+            groups[plain].append(x.split())
+        rows = {}
+        for plain, lists in groups.items():
+            every = set().union(*lists)
+            ids = dict(zip(every, map(self.known.get, every), strict=True))
+            new = {w for w, x in ids.items() if x is None}
+            for w in new & self.old.keys():
+                ids[w] = self.known[w] = self.old[w]
+                new.discard(w)
+            if new:
+                if plain:
+                    self.learn(new)
+                else:
+                    self.known.update(zip(new, self.library([w[1:] for w in new]), strict=True))
+                ids.update((w, self.known[w]) for w in new)
+            rows[plain] = iter([b"".join(map(ids.__getitem__, x)) for x in lists])
+        if len(self.known) > MEMORY:
+            self.old, self.known = self.known, {}
+        return [np.frombuffer(next(rows[k]), "<u4") for k in kinds]
 
 
 _words: dict[str, Words] = {}
 
 
+def _groups(column: pa.Array):
+    group, size = [], 0
+    for x in column.to_pylist():
+        group.append(x or "")
+        size += len(group[-1])
+        if size >= TOGETHER:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
 def encode(df: DataFrame, path: str, end: int | None, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """doc_id, n_tokens and the packed ids of each whole text; ``end`` closes every document."""
+    """doc_id, n and the packed ids of each whole text; ``end`` closes every document. The last
+    row of each task has nothing but the counts of its ids."""
 
     def apply(batches):
         if path not in _words:
             _words[path] = Words(path)
         words = _words[path]
         tail = np.array([] if end is None else [end], "<u4")
+        total = np.zeros(max(len(words.ends), int(tail.max(initial=0)) + 1), np.int64)
+        names = ["doc_id", "n", "control", "data", "counts"]
         for b in batches:
             n, control, data = [], [], []
-            for x in b.column(1).to_pylist():
-                ids = np.concatenate([words.encode(x or ""), tail])
-                c, d = pack(ids)
-                n.append(len(ids))
-                control.append(c)
-                data.append(d)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int32()), pa.array(control, pa.binary()), pa.array(data, pa.binary())],
-                ["doc_id", "n", "control", "data"])
+            for texts in _groups(b.column(1)):
+                rows = [x for own in words.encode(texts) for x in (own, tail)]
+                together = np.concatenate(rows)
+                total += np.bincount(together, minlength=len(total))
+                at = 0
+                for own in rows[::2]:
+                    size = len(own) + len(tail)
+                    c, d = pack(together[at:at + size])
+                    at += size
+                    n.append(size)
+                    control.append(c)
+                    data.append(d)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int32()), pa.array(control, pa.binary()), pa.array(data, pa.binary()),
+                                              pa.nulls(len(n), pa.binary())], names)
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()),
+                                          pa.array([total.astype("<i8").tobytes()], pa.binary())], names)
 
     rows = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(apply, "doc_id long, n int, control binary, data binary")
+    return rows.mapInArrow(apply, "doc_id long, n int, control binary, data binary, counts binary")
 
 
 def rank_order(encoded: DataFrame) -> np.ndarray:
-    """Ids by descending count over all documents, ties by id; each task adds up its own counts."""
+    """Ids by descending count over all documents, ties by id, from each task's own counts."""
 
-    def count(batches):
-        total = np.zeros(0, np.int64)
+    def explode(batches):
         for b in batches:
-            for n, c, d in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
-                own = np.bincount(unpack(c, d, n))
-                if len(own) > len(total):
-                    own, total = total, own
-                total[:len(own)] += own
-        ids = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], ["id", "n"])
-
-    counts = encoded.select("n", "control", "data").mapInArrow(count, "id long, n long")
+            for x in b.column(0).to_pylist():
+                total = np.frombuffer(x, "<i8")
+                ids = np.flatnonzero(total)
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], ["id", "n"])
+
+    counts = encoded.where("counts is not null").select("counts").mapInArrow(explode, "id long, n long")
     rows = counts.groupBy("id").agg(F.sum("n").alias("n")).toPandas()  # a row per id of the vocabulary
     rows = rows.sort_values(["n", "id"], ascending=[False, True])
     return rows["id"].to_numpy(np.uint32)
@@ -185,6 +270,7 @@ def write(df: DataFrame, out: str, tokenizer: str, end: int | None = None, text:
             yield flush()
 
     order_by = [F.col("doc_id"), F.xxhash64("data")]
+    encoded = encoded.where("counts is null").drop("counts")
     ordered = encoded.repartitionByRange(shards or partitions(spark), *order_by).sortWithinPartitions("doc_id", F.xxhash64("data"))
     ordered.mapInArrow(blocks, BLOCKS).write.parquet(f"{out}/blocks")
 
