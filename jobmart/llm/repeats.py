@@ -132,10 +132,17 @@ class Gathered:
             pa.array([x[k] for x in out], pa.binary()) for k in range(1, 6)], ["bucket", "keys", "counts", "hashes", "known", "anchors"])
 
 
+_ANSWER = "dest int, bucket int, keys binary, sizes binary, found binary"
+
+
+def _dest(keys: np.ndarray, parts: int) -> np.ndarray:
+    return ((keys.view(np.uint64) * _M >> np.uint64(40)) % np.uint64(parts)).astype(np.int32)
+
+
 def _answers(messages: DataFrame, width: str, anchored: bool) -> DataFrame:
-    """(key, bucket, found): for each document the hashes of a range that stand elsewhere too (with
-    an anchor, if asked for), and under a negative bucket the bits of its settled positions."""
-    bytes_each = np.dtype(width).itemsize
+    """For each range the hashes that stand elsewhere too (with an anchor, if asked for), and under a
+    negative bucket the bits of settled places, by document; one array for each part of the documents."""
+    parts = partitions(messages.sparkSession)
 
     def answer(rows: list[dict]):
         u = np.concatenate([np.frombuffer(x["hashes"], width) for x in rows])
@@ -146,21 +153,36 @@ def _answers(messages: DataFrame, width: str, anchored: bool) -> DataFrame:
             good = np.intersect1d(good, np.unique(np.concatenate([np.frombuffer(x["anchors"], width) for x in rows])))
         if not len(good):
             return
-        for x in rows:
-            h = np.frombuffer(x["hashes"], width)
-            ok = good[np.minimum(np.searchsorted(good, h), len(good) - 1)] == h
-            if ok.any():
-                counts = np.frombuffer(x["counts"], np.int32)
-                row = np.repeat(np.arange(len(counts)), counts)[ok]
-                hit, sizes = np.unique(row, return_counts=True)
-                yield _packed(np.frombuffer(x["keys"], np.int64)[hit], x["bucket"], sizes * bytes_each, h[ok].tobytes())
+        keys = np.concatenate([np.frombuffer(x["keys"], np.int64) for x in rows])
+        counts = np.concatenate([np.frombuffer(x["counts"], np.int32) for x in rows])
+        ok = good[np.minimum(np.searchsorted(good, u), len(good) - 1)] == u
+        row = np.repeat(np.arange(len(keys), dtype=np.int32), counts)[ok]
+        values = u[ok]
+        part = _dest(keys, parts)[row]
+        order = np.argsort(part, kind="stable")
+        edges = np.searchsorted(part[order], np.arange(parts + 1))
+        out = []
+        for k in np.unique(part):
+            own = order[edges[k]:edges[k + 1]]
+            hit, sizes = np.unique(row[own], return_counts=True)
+            out.append((int(k), rows[0]["bucket"], keys[hit].tobytes(), (sizes * values.itemsize).astype(np.int32).tobytes(), values[own].tobytes()))
+        yield _batch(out)
+
+    def settled(x: dict):
+        keys, sizes = np.frombuffer(x["keys"], np.int64), np.frombuffer(x["counts"], np.int32)
+        part, ends = _dest(keys, parts), np.cumsum(sizes)
+        out = []
+        for k in np.unique(part):
+            own = np.flatnonzero(part == k)
+            out.append((int(k), -1, keys[own].tobytes(), sizes[own].tobytes(), b"".join(x["hashes"][ends[i] - sizes[i]:ends[i]] for i in own)))
+        yield _batch(out)
 
     def run(batches):
         now, held = None, []
         for b in batches:
             for x in b.to_pylist():
                 if x["bucket"] < 0:
-                    yield _packed(np.frombuffer(x["keys"], np.int64), -1, np.frombuffer(x["counts"], np.int32), x["hashes"])
+                    yield from settled(x)
                     continue
                 if held and x["bucket"] != now:
                     yield from answer(held)
@@ -170,15 +192,38 @@ def _answers(messages: DataFrame, width: str, anchored: bool) -> DataFrame:
         if held:
             yield from answer(held)
 
-    spread = messages.repartition(partitions(messages.sparkSession), "bucket").sortWithinPartitions("bucket")
-    return spread.mapInArrow(run, "key long, bucket int, found binary")
+    spread = messages.repartition(parts, "bucket").sortWithinPartitions("bucket")
+    return spread.mapInArrow(run, _ANSWER)
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array([x[k] for x in rows], t) for k, t in enumerate(kinds)], ["dest", "bucket", "keys", "sizes", "found"])
+
 
+def _met(texts: DataFrame, answers: DataFrame) -> DataFrame:
+    """Texts (with dest) and answers in one part each, the answers first. As a join it would need a row
+    for every document and range; here an array serves all documents of a part."""
+    both = answers.withColumn("kind", F.lit(0)).unionByName(texts.withColumn("kind", F.lit(1)), allowMissingColumns=True)
+    return both.repartition(partitions(texts.sparkSession), "dest").sortWithinPartitions("dest", "kind")
 
-def _packed(keys: np.ndarray, bucket: int, sizes: np.ndarray, data: bytes) -> pa.RecordBatch:
-    offsets = np.zeros(len(keys) + 1, np.int32)
-    np.cumsum(sizes, out=offsets[1:])
-    found = pa.BinaryArray.from_buffers(pa.binary(), len(keys), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data)])
-    return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.full(len(keys), bucket, np.int32)), found], ["key", "bucket", "found"])
+
+class Answers(dict):
+    """key -> [(bucket, found)] of the part at hand."""
+
+    dest = None
+
+    def take(self, dest: int, bucket: int, keys: bytes, sizes: bytes, found: bytes):
+        if dest != self.dest:
+            self.clear()
+            self.dest = dest
+        at = 0
+        for key, size in zip(np.frombuffer(keys, np.int64).tolist(), np.frombuffer(sizes, np.int32).tolist(), strict=True):
+            self.setdefault(key, []).append((bucket, found[at:at + size]))
+            at += size
+
+    def of(self, dest: int, key: int) -> list[tuple[int, bytes]] | None:
+        return self.get(key) if dest == self.dest else None
 
 
 def _digest(text: str) -> bytes:
@@ -186,18 +231,22 @@ def _digest(text: str) -> bytes:
     return xxhash.xxh3_64_digest(text.encode("utf-8", "surrogatepass"))
 
 
-def _marked(text: str, hashes: np.ndarray, ranges: np.ndarray, found: list[dict], width: str) -> np.ndarray:
-    """Which places of a text an answer names, by hash or by place."""
+def _marked(text: str, hashes: np.ndarray, ranges: np.ndarray, found: list[tuple[int, bytes]], width: str) -> np.ndarray:
+    """Which places of a text an answer names, by hash and range or by place."""
     out = np.zeros(len(hashes), bool)
-    for bucket in {x["bucket"] for x in found}:
-        parts = [x["found"] for x in found if x["bucket"] == bucket]
-        if bucket < 0:
-            for bits in parts:
-                if bits[:8] == _digest(text):
-                    out |= np.unpackbits(np.frombuffer(bits, np.uint8, offset=8))[:len(out)].astype(bool)
-        else:
-            own = np.flatnonzero(ranges == bucket)
-            out[own] |= np.isin(hashes[own].astype(width), np.frombuffer(b"".join(parts), width))
+    named = [(bucket, np.frombuffer(x, width)) for bucket, x in found if bucket >= 0]
+    for bucket, bits in found:
+        if bucket < 0 and bits[:8] == _digest(text):
+            out |= np.unpackbits(np.frombuffer(bits, np.uint8, offset=8))[:len(out)].astype(bool)
+    if named:
+        values = np.concatenate([x for _, x in named])
+        buckets = np.repeat(np.array([k for k, _ in named], np.int32), [len(x) for _, x in named])
+        if width == "<u4":
+            values, hashes = (np.left_shift(r.astype(np.uint64), np.uint64(32)) | x for r, x in ((buckets, values), (ranges, hashes)))
+        order = np.argsort(values)
+        values, buckets = values[order], buckets[order]
+        at = np.minimum(np.searchsorted(values, hashes), len(values) - 1)
+        out |= (values[at] == hashes) & (buckets[at] == ranges)
     return out
 
 
@@ -211,22 +260,22 @@ def _windows(h: np.ndarray, window: int, buckets: int):
 
 
 def _squeezed(rows: DataFrame) -> DataFrame:
-    """The last column, a text, as compressed bytes: what the shuffles of texts carry."""
-    schema = T.StructType(rows.schema.fields[:-1] + [T.StructField("squeezed", T.BinaryType())])
-    names = schema.names
+    """The last column, a text, as compressed bytes, which the shuffles of texts carry, and dest of the key before it."""
+    schema = T.StructType(rows.schema.fields[:-1] + [T.StructField("squeezed", T.BinaryType()), T.StructField("dest", T.IntegerType())])
+    names, parts = schema.names, partitions(rows.sparkSession)
 
     def squeeze(batches):
         c = zstandard.ZstdCompressor(level=3)
         for b in batches:
             out = [None if x is None else c.compress(x.encode("utf-8", "surrogatepass")) for x in b.column(b.num_columns - 1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(b.columns[:-1] + [pa.array(out, pa.binary())], names)
+            dest = pa.array(_dest(b.column(b.num_columns - 2).to_numpy(), parts))
+            yield pa.RecordBatch.from_arrays(b.columns[:-1] + [pa.array(out, pa.binary()), dest], names)
 
     return rows.mapInArrow(squeeze, schema)
 
 
-def _texts(column: pa.Array) -> list[str | None]:
-    d = zstandard.ZstdDecompressor()
-    return [None if x is None else d.decompress(x).decode("utf-8", "surrogatepass") for x in column.to_pylist()]
+def _text(data: bytes | None) -> str | None:
+    return None if data is None else zstandard.decompress(data).decode("utf-8", "surrogatepass")
 
 
 def _keyed(docs: DataFrame, doc_id: str, text: str, *more) -> DataFrame:
@@ -234,7 +283,7 @@ def _keyed(docs: DataFrame, doc_id: str, text: str, *more) -> DataFrame:
 
 
 def _found(docs: DataFrame, window: int, doc_id: str, text: str) -> DataFrame:
-    """(key, found): the answers of step 2 for every document with a repeated window."""
+    """The answers of step 2 for every document with a repeated window."""
     block, buckets = (window + 1) // 2, partitions(docs.sparkSession)
 
     def probes(batches):
@@ -254,16 +303,21 @@ def _found(docs: DataFrame, window: int, doc_id: str, text: str) -> DataFrame:
 
     def windows(batches):
         from pyspark import TaskContext
-        gathered, salt = Gathered(buckets, "<u8"), TaskContext.get().partitionId()
+        gathered, salt, answers = Gathered(buckets, "<u8"), TaskContext.get().partitionId(), Answers()
         for b in batches:
-            for key, x, found in zip(b.column(0).to_pylist(), _texts(b.column(1)), b.column(2).to_pylist(), strict=True):
-                h = word_hashes(words_of(x))
-                if len(h) < window:
+            for dest, bucket, keys, sizes, got, kind, key, data in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if kind == 0:
+                    answers.take(dest, bucket, keys, sizes, got)
+                    continue
+                found = answers.of(dest, key)
+                if not found:
                     continue
+                x = _text(data)
+                h = word_hashes(words_of(x))
                 hits = _marked(x, *_blocks(h, block, buckets), found, "<u4")
                 seen = np.concatenate([[0], np.cumsum(hits)])
                 n = len(h) - window + 1  # a window holds the blocks that start at its first places
-                near = np.flatnonzero(seen[window - block + 1:][:n] > seen[:n])
+                near = np.flatnonzero(seen[window - block + 1:][:n] > seen[:n]) if n > 0 else ()
                 if len(near):
                     w, ranges = _windows(h, window, buckets)
                     gathered.add(key, _digest(x), n, w[near], ranges[near], places=near)
@@ -273,10 +327,8 @@ def _found(docs: DataFrame, window: int, doc_id: str, text: str) -> DataFrame:
 
     rows = _keyed(docs, doc_id, text)
     hits = _answers(rows.mapInArrow(probes, _MESSAGE), "<u4", True)
-    hits = hits.groupBy("key").agg(F.collect_list(F.struct("bucket", "found")).alias("found"))  # a row per range at most
-    near = _squeezed(rows).join(hits, "key").select("key", "squeezed", "found")
-    found = _answers(near.mapInArrow(windows, _MESSAGE), "<u8", False)
-    return found.groupBy("key").agg(F.collect_list(F.struct("bucket", "found")).alias("found"))
+    near = _met(_squeezed(rows), hits).select("dest", "bucket", "keys", "sizes", "found", "kind", "key", "squeezed")
+    return _answers(near.mapInArrow(windows, _MESSAGE), "<u8", False)
 
 
 def remove(docs: DataFrame, window: int = WINDOW, text: str = "text", doc_id: str = "doc_id", more_text: bool = True) -> DataFrame:
@@ -292,37 +344,42 @@ def remove(docs: DataFrame, window: int = WINDOW, text: str = "text", doc_id: st
     buckets = partitions(docs.sparkSession)
     fields = (T.StructType().add("n_words", "long").add("removed", T.ArrayType(T.ArrayType(T.LongType())))
               .add("n_removed", "long").add("kept", "string"))
-    new = {f.name for f in fields} | {"key of repeats", "text of repeats", "found of repeats", "squeezed"}
+    new = {f.name for f in fields} | (set() if more_text else {text.lower()})
     keep = [c for c in docs.columns if c.lower() not in new]
-    found = _found(docs, window, doc_id, text).select(F.col("key").alias("key of repeats"), F.col("found").alias("found of repeats"))
-    key = F.coalesce(F.col(doc_id).cast("long"), F.lit(_NO_ID))
-    if text in keep and more_text is False:
-        keep.remove(text)
-    rows = _squeezed(docs.select(*[f"`{c}`" for c in keep], key.alias("key of repeats"), F.col(text).cast("string").alias("text of repeats")))
-    rows = rows.join(found, "key of repeats", "left").select(*[f"`{c}`" for c in keep], "squeezed", "`found of repeats`")
-    schema = T.StructType(rows.schema.fields[:-2] + fields.fields)
+    rows = docs.select(F.struct(*[f"`{c}`" for c in keep]).alias("row"), F.coalesce(F.col(doc_id).cast("long"), F.lit(_NO_ID)).alias("key"),
+                       F.col(text).cast("string").alias("text"))
+    both = _met(_squeezed(rows), _found(docs, window, doc_id, text)).select("row", "dest", "bucket", "keys", "sizes", "found", "kind", "key", "squeezed")
+    schema = T.StructType([T.StructField("row", rows.schema["row"].dataType), *fields.fields])
     names = schema.names
 
     def cut(batches):
+        answers = Answers()
         for b in batches:
             out: list[list] = [[], [], [], []]
-            for x, found in zip(_texts(b.column(b.num_columns - 2)), b.column(b.num_columns - 1).to_pylist(), strict=True):
-                words = words_of(x)
+            places = []
+            for at, (dest, bucket, keys, sizes, got, kind, doc, data) in enumerate(zip(*(c.to_pylist() for c in b.columns[1:]), strict=True)):
+                if kind == 0:
+                    answers.take(dest, bucket, keys, sizes, got)
+                    continue
+                places.append(at)
+                x = _text(data)
+                found, words = answers.of(dest, doc), words_of(x)
                 gone = np.zeros(len(words), bool)
                 if found and len(words) >= window:
                     w, ranges = _windows(word_hashes(words), window, buckets)
-                    places = np.flatnonzero(_marked(x, w, ranges, found, "<u8"))
+                    repeated = np.flatnonzero(_marked(x, w, ranges, found, "<u8"))
                     level = np.zeros(len(words) + 1, np.int64)
-                    np.add.at(level, places, 1)
-                    np.add.at(level, places + window, -1)
+                    level[repeated] += 1
+                    level[repeated + window] -= 1
                     gone = np.cumsum(level[:-1]) > 0
                 edges = np.flatnonzero(np.diff(np.concatenate([[0], gone, [0]]).astype(np.int8)))
                 out[0].append(len(words))
                 out[1].append(edges.reshape(-1, 2).tolist())
                 out[2].append(int(gone.sum()))
-                out[3].append(b" ".join(w for w, g in zip(words, gone.tolist(), strict=True) if not g).decode("utf-8", "surrogatepass")
+                stay = [0, *edges.tolist(), len(words)]
+                out[3].append(b" ".join(w for i in range(0, len(stay), 2) for w in words[stay[i]:stay[i + 1]]).decode("utf-8", "surrogatepass")
                               if len(edges) else x)
             kinds = (pa.int64(), pa.list_(pa.list_(pa.int64())), pa.int64(), pa.string())
-            yield pa.RecordBatch.from_arrays(b.columns[:-2] + [pa.array(v, k) for v, k in zip(out, kinds, strict=True)], names)
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(places, pa.int64())), *(pa.array(v, k) for v, k in zip(out, kinds, strict=True))], names)
 
-    return rows.mapInArrow(cut, schema)
+    return both.mapInArrow(cut, schema).select("row.*", *fields.names)
