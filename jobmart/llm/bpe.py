@@ -21,10 +21,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from jobmart.llm.common import add_columns
+from jobmart.llm.common import ROWS, add_columns
 
 #: Entries of a worker's memory of pattern matches and of token pairs; a full one starts afresh.
-MEMORY = 200_000
+MEMORY = 150_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -59,8 +59,13 @@ class Vocabulary:
             self._coder = Coder(self)
         return self._coder
 
+    def tokens(self) -> dict[int, bytes]:
+        if "_tokens" not in self.__dict__:
+            self._tokens = {r: t for t, r in self.ranks.items()}
+        return self._tokens
+
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k != "_coder"}
+        return {k: v for k, v in self.__dict__.items() if k not in ("_coder", "_tokens")}
 
 
 class Coder(dict):
@@ -70,7 +75,7 @@ class Coder(dict):
         super().__init__()
         self.ranks = vocabulary.ranks
         self.find = regex.compile(vocabulary.pattern).findall
-        self.tokens = {r: t for t, r in self.ranks.items()}
+        self.tokens = vocabulary.tokens()
         self.split = {r: (r, r) for t, r in self.ranks.items() if len(t) == 1} | vocabulary.merges
         self.joined = {pair: r for r, pair in vocabulary.merges.items()}
         self.pairs: dict[tuple[int, int], bool] = {}
@@ -144,9 +149,6 @@ class Coder(dict):
     def encode(self, text: str) -> bytes:
         return b"".join(map(self.__getitem__, self.find(text)))
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids.tolist()))
-
 
 def broadcast(df: DataFrame, path: str, pattern: str):
     return df.sparkSession.sparkContext.broadcast(Vocabulary(read_ranks(path), pattern))
@@ -176,10 +178,9 @@ def decode(df: DataFrame, vocabulary, ids: str = "ids", data: str = "decoded") -
     names, at = schema.names, [f.name for f in fields].index(ids)
 
     def apply(batches):
-        coder = vocabulary.value.coder()
-        for b in batches:
-            lists = b.column(at)
-            out = [coder.decode(x.values.to_numpy(zero_copy_only=False)) if x.is_valid else b"" for x in lists]
+        tokens = vocabulary.value.tokens()
+        for b in (whole.slice(i, ROWS) for whole in batches for i in range(0, whole.num_rows, ROWS)):
+            out = [b"".join(map(tokens.__getitem__, x.values.to_pylist())) if x.is_valid else b"" for x in b.column(at)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.binary())], names)
 
     return df.select(*[f"`{f.name}`" for f in fields]).mapInArrow(apply, schema)

@@ -15,6 +15,10 @@ from pyspark.sql import types as T
 SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 
 
+#: Rows of an Arrow batch that are worked on together; bounds a worker's memory.
+ROWS = 512
+
+
 def words_of(text: str | None) -> list[bytes]:
     """The words of a text as UTF-8; a null text has none."""
     return (text or "").encode("utf-8", "surrogatepass").split()
@@ -62,7 +66,9 @@ def add_columns(df: DataFrame, text: str | Column, fields: T.StructType,
 
     def apply(batches):
         fn = make()
-        for b in batches:
-            yield pa.RecordBatch.from_arrays(b.columns[:-1] + fn(b.column(b.num_columns - 1)), names)
+        for whole in batches:
+            for i in range(0, whole.num_rows, ROWS):
+                b = whole.slice(i, ROWS)
+                yield pa.RecordBatch.from_arrays(b.columns[:-1] + fn(b.column(b.num_columns - 1)), names)
 
     return rows.mapInArrow(apply, schema)

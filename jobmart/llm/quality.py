@@ -26,7 +26,7 @@ from jobmart.llm.common import add_columns
 BITS = 30
 CHARS = 5
 #: Labelled rows in the fit at most.
-SAMPLE = 4_500
+SAMPLE = 3_600
 #: Features of a trait: those in at least LEAST rows of the fit with at least this chi-square, so many at most.
 LEAST, CHI_SQUARE, FEATURES = 5, 25.0, 4_000
 #: A text is rejected if its calibrated probability of low quality, or of toxicity, reaches these.
@@ -135,8 +135,9 @@ def train(ids: list[np.ndarray], kind: np.ndarray, rounds: int = 400) -> Model:
         if not 0 < y[part].sum() < part.sum():
             continue
         names, at = np.unique(np.concatenate([i for i, p in zip(ids, part, strict=True) if p]), return_inverse=True)
-        truth = np.repeat(y[part], [len(i) for i, p in zip(ids, part, strict=True) if p])
-        n, n1 = np.bincount(at, minlength=len(names)), np.bincount(at, truth, len(names))
+        truth = np.repeat(y[part] > 0, [len(i) for i, p in zip(ids, part, strict=True) if p])
+        n, n1 = np.bincount(at, minlength=len(names)), np.bincount(at[truth], minlength=len(names))
+        del at, truth
         total, ones = part.sum(), y[part].sum()
         expected = n * ones / total
         chi = (n1 - expected) ** 2 / (expected * (1 - ones / total) * (1 - n / (total + 1)))
