@@ -23,8 +23,8 @@ from pyspark.sql import types as T
 
 from jobmart.llm.common import ROWS, add_columns
 
-#: Entries of a worker's memory of pattern matches and of token pairs; a full one starts afresh.
-MEMORY = 150_000
+#: Entries of a worker's memory of pattern matches and of token pairs; of either generation.
+MEMORY = 300_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -69,10 +69,12 @@ class Vocabulary:
 
 
 class Coder(dict):
-    """Pattern match -> its ids as packed 32-bit integers, computed on the first request."""
+    """Pattern match -> its ids as packed 32-bit integers, computed on the first request. A full memory
+    becomes the old one, from which what is asked for again comes back."""
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
+        self.old: dict[str, bytes] = {}
         self.ranks = vocabulary.ranks
         self.find = regex.compile(vocabulary.pattern).findall
         self.tokens = vocabulary.tokens()
@@ -85,10 +87,15 @@ class Coder(dict):
         self.automaton.make_automaton()
 
     def __missing__(self, piece: str) -> bytes:
+        ids = self.old.get(piece)
+        if ids is not None:
+            self[piece] = ids
+            return ids
         data = piece.encode("utf-8", "surrogatepass")
         rank = self.ranks.get(data)
         ids = np.array([rank] if rank is not None else self.backtrack(data), "<i4").tobytes()
         if len(self) >= MEMORY:
+            self.old = dict(self)
             self.clear()
         if len(piece) <= 256:
             self[piece] = ids
