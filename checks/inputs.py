@@ -18,7 +18,6 @@ TITLES = [
     "Fresher Mobile Developer Android Studio, Kotlin", "DevOps: Docker, CI/CD, GitLab CI",
 ]
 SPECIALIZATIONS = [["Backend Developer"], ["Sales"], None, [" data engineer ", "Foo"], []]
-DESCRIPTIONS = 3   # 0: missing, 1: too short, 2: LEAD and the document text
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -32,9 +31,8 @@ def pick(values: list, kind: str = "string", by: str = "doc_id") -> Column:
 
 
 def postings(spark: SparkSession, sf: str) -> DataFrame:
-    """One advert per document, in the schema of the raw stage."""
+    """One advert per document with its whole text, in the schema of the raw stage."""
     body = F.concat(F.lit(f'<p class="devops">{LEAD}</p><div>'), F.col("text"), F.lit("</div>"))
-    kind = F.col("doc_id") % DESCRIPTIONS
     return table(spark, sf, "documents").select(
         F.col("doc_id").cast("string").alias("job_id"),
         pick(TITLES).alias("title"),
@@ -46,7 +44,7 @@ def postings(spark: SparkSession, sf: str) -> DataFrame:
         pick([["x"], [], None], "array<string>").alias("tags"),
         pick([r[0] for r in X.REQUIREMENT_TAGS], "array<string>").alias("tags_requirement"),
         pick(SPECIALIZATIONS, "array<string>").alias("tags_specialization"),
-        F.when(kind == 1, "<p>ngắn</p>").when(kind == 2, body).alias("mo_ta_cong_viec_html"),
+        body.alias("mo_ta_cong_viec_html"),
         F.lit("").alias("yeu_cau_ung_vien_html"),
         F.lit("<ul><li>Lương tháng 13</li></ul>").alias("quyen_loi_html"),
         pick([r[0] for r in X.DEADLINE]).alias("deadline"),

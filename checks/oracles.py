@@ -231,7 +231,7 @@ def tag_text(values: list) -> list:
 
 
 _BODY = f"'<p class=\"devops\">{LEAD}</p><div>' || text || '</div>'"
-_HTML = f"CASE doc_id % 3 WHEN 1 THEN '<p>ngắn</p>' WHEN 2 THEN {_BODY} END"
+_HTML = _BODY
 _DOMAIN_NAMES = sorted(vocab.DOMAINS)
 _FLAG = {name: f"d{i}" for i, name in enumerate(_DOMAIN_NAMES)}
 _FLAGS = ", ".join(
@@ -275,7 +275,7 @@ ORACLES["skill_alias"] = docs(skill=column(X.ALIASES, 1))
 
 # --- clean, route, enrich ---------------------------------------------------------------------
 
-_CONTENT = "(doc_id % 3 = 2)"
+_CONTENT = "TRUE"
 _VERDICT = at(["true", "false", "none", "true", "none"])
 _YEARS = column(X.EXPERIENCE, 1, "DOUBLE")
 _NULL_SAFE_CITY = at([r[0] or "" for r in X.CITY])

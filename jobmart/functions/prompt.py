@@ -11,8 +11,6 @@ from jobmart.functions.fields import it_decision
 from jobmart.functions.text import strip
 
 UNKNOWN = "không rõ"
-# Characters of description, requirements and benefits that fit a small model's context.
-TEXT_BUDGET = {"description": 600, "requirements": 600, "benefits": 300}
 
 TEMPLATE = """Read the IT job advert below and answer with one JSON object and nothing else.
 
@@ -63,12 +61,14 @@ def _known(c: Column) -> Column:
 def prompt(template: str = TEMPLATE, budget: dict[str, int] | None = None) -> Column:
     """Fill ``template`` from the columns of the clean stage.
 
-    ``budget`` limits how many characters of the three long texts enter the prompt.
+    The three long texts enter whole, unless ``budget`` limits the characters of
+    "description", "requirements" or "benefits" for a model with a small context.
     """
-    size = TEXT_BUDGET | (budget or {})
+    size = budget or {}
 
     def head(name: str, source: str) -> Column:
-        return F.substring(_or(F.col(source), ""), 1, size[name])
+        text = _or(F.col(source), "")
+        return F.substring(text, 1, size[name]) if name in size else text
 
     values = {
         "title": _or(F.col("title"), ""),

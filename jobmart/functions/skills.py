@@ -11,6 +11,9 @@ from jobmart import vocab
 from jobmart.functions.text import SPACE, constant, strip
 
 _SEPARATORS = r"[\s.\-/]+"
+# Names written with an "apache" prefix or a "js" suffix too; elsewhere these name another product.
+_APACHE = "spark|kafka|airflow|hadoop|hive"
+_JS = "react|vue|angular"
 
 
 def alias_table(canonical: Sequence[str] = tuple(vocab.CANONICAL_SKILLS),
@@ -29,7 +32,7 @@ def alias_table(canonical: Sequence[str] = tuple(vocab.CANONICAL_SKILLS),
 def canonical_skill(c: Column, table: Mapping[str, str] | None = None) -> Column:
     """Canonical name of one skill; an unknown skill keeps its own spelling.
 
-    An "apache" prefix and a "js" suffix are dropped when the full spelling is unknown.
+    An "apache" prefix and a "js" suffix are dropped from the few names that are written so.
     """
     names = constant(dict(table or alias_table()), "map<string,string>")
     key = F.regexp_replace(F.lower(c), rf"{SPACE}+|[.\-/]+", "")
@@ -37,8 +40,8 @@ def canonical_skill(c: Column, table: Mapping[str, str] | None = None) -> Column
     def known(k: Column) -> Column:
         return F.try_element_at(names, k)
 
-    return F.coalesce(known(key), known(F.regexp_replace(key, "^apache", "")),
-                      known(F.regexp_replace(key, "js$", "")), strip(c))
+    return F.coalesce(known(key), known(F.regexp_replace(key, f"^apache(?=({_APACHE})$)", "")),
+                      known(F.regexp_replace(key, f"(?<=^({_JS}))js$", "")), strip(c))
 
 
 def canonical_skills(c: Column, table: Mapping[str, str] | None = None) -> Column:

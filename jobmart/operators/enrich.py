@@ -131,22 +131,22 @@ def plan_batches(todo: DataFrame, path: str, batches: int) -> None:
     """
     number = F.pmod(F.xxhash64("job_id"), F.lit(batches)).cast("int")
     (todo.withColumn("_batch_id", number).hint("rebalance", "_batch_id")
-     .write.mode("overwrite").partitionBy("_batch_id").parquet(path))
+     .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("_batch_id").parquet(path))
 
 
 def run_batches(spark: SparkSession, planned: str, ledger: str, scorer: Scorer, batches: int,
                 partitions: int | None = None, **options) -> None:
     """Enrich the planned batches one after the other, each committed on its own.
 
-    Rows already in the ledger are left out by key, so an interrupted run continues where it
-    stopped. A batch lists and reads its own directory of either table, nothing else.
+    Rows already in the ledger are left out by key, whatever batch they were answered in, so an
+    interrupted or newly planned run continues where it stopped.
     """
     schema = spark.read.parquet(planned).schema
     run = enricher(scorer, partitions, **options)
     for number in range(batches):
         mine = f"_batch_id={number}"
         todo = read_or_empty(spark, f"{planned}/{mine}", schema, planned)
-        done = read_or_empty(spark, f"{ledger}/{mine}", "job_id string", ledger)
+        done = read_or_empty(spark, ledger, "job_id string")
         append(run(pending(todo, done)), ledger, partition_by=["_batch_id"])
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from jobmart.operators.dedup import first_per_key
 from jobmart.functions.text import SPACE, canonical_url, let, non_empty, strip, unescape
 
 # --- fixed values: markup of the crawled site ------------------------------------------------
@@ -212,7 +213,10 @@ def detail(pages: DataFrame, html: str = "html") -> DataFrame:
 def merge(listed: DataFrame, details: DataFrame) -> DataFrame:
     """Complete the list rows by url; rows without a detail page keep what the list gave.
 
-    The detail side has one row per url; a list with many rows of one url is left to adaptive
-    skew handling, which splits the hot side of a sort-merge join.
+    A url that was fetched more than once counts with one of its details, and an empty url is none.
+    A list with many rows of one url is left to adaptive skew handling, which splits the hot side of
+    a sort-merge join.
     """
-    return listed.join(details, "url", "left")
+    url = F.nullif(F.col("url"), F.lit(""))
+    one = first_per_key(details.withColumn("url", url).where("url is not null"), "url", [])
+    return listed.withColumn("url", url).join(one, "url", "left")

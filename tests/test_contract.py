@@ -24,10 +24,13 @@ def test_entry(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(contract.oracle_sql()) == set(contract.queries())
+    """But for those of the training-data subpackage that SQL can't express; its own tests have them."""
+    from checks.queries import QUERIES
 
+    assert set(QUERIES) <= set(contract.oracle_sql()) <= set(contract.queries())
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+
+@pytest.mark.parametrize("name", list(contract.oracle_sql()))
 def test_query(spark, db, name):
     df = contract.queries()[name](spark, SF)
     cursor = db.execute(contract.oracle_sql()[name])
