@@ -367,7 +367,9 @@ def fit(pages: DataFrame, html: str = "html", sample: int = SAMPLE) -> Model:
     Pages are cut for the fit at 200,000 characters. Without any page the model is learnt from a built-in one.
     """
     rows = pages.where(F.col(html).isNotNull()).select(F.substring(html, 1, 200_000).alias("html"), F.xxhash64(html).alias("h"))
-    return train([r.html for r in rows.orderBy("h", "html").limit(sample).collect()])
+    hashes = [r.h for r in rows.select("h").distinct().orderBy("h").limit(sample).collect()]  # of a page only its hash is compared
+    chosen = rows.where(F.col("h") <= max(hashes)).dropDuplicates(["h"]).collect() if hashes else []
+    return train([r.html for r in sorted(chosen, key=lambda r: (r.h, r.html))])
 
 
 def train(sources: list[str]) -> Model:
