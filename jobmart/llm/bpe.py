@@ -46,6 +46,10 @@ def _last_merge(token: bytes, ranks: dict[bytes, int]) -> tuple[int, int] | None
     return ranks[parts[0]], ranks[parts[1]]
 
 
+_coders: dict[str, object] = {}
+_broadcasts: dict[tuple[str, str, str], object] = {}
+
+
 class Vocabulary:
     """Tokens with their last merges; made on the driver and broadcast (bounded by the rank file)."""
 
@@ -54,10 +58,11 @@ class Vocabulary:
         self.merges = {r: pair for t, r in ranks.items() if len(t) > 1 and (pair := _last_merge(t, ranks))}
 
     def coder(self) -> Coder:
-        """The worker's own coder, kept with the broadcast value for later tasks."""
-        if "_coder" not in self.__dict__:
-            self._coder = Coder(self)
-        return self._coder
+        """The worker's own coder, kept for later tasks; a worker has one at a time."""
+        if _coders.get("of") is not self:
+            _coders.clear()
+            _coders.update({"of": self, "coder": Coder(self)})
+        return _coders["coder"]
 
     def tokens(self) -> dict[int, bytes]:
         if "_tokens" not in self.__dict__:
@@ -65,7 +70,7 @@ class Vocabulary:
         return self._tokens
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("_coder", "_tokens")}
+        return {k: v for k, v in self.__dict__.items() if k != "_tokens"}
 
 
 class Coder(dict):
@@ -157,6 +162,19 @@ class Coder(dict):
         return b"".join(map(self.__getitem__, self.find(text)))
 
 
+def broadcast(df: DataFrame, path: str, pattern: str):
+    """The vocabulary as a broadcast, one for each file and application: workers keep what they once got."""
+    context = df.sparkSession.sparkContext
+    key = (context.applicationId, path, pattern)
+    if key not in _broadcasts:
+        _broadcasts[key] = context.broadcast(Vocabulary(read_ranks(path), pattern))
+    return _broadcasts[key]
+
+
+def encode(self, text: str) -> bytes:
+        return b"".join(map(self.__getitem__, self.find(text)))
+
+
 def broadcast(df: DataFrame, path: str, pattern: str):
     return df.sparkSession.sparkContext.broadcast(Vocabulary(read_ranks(path), pattern))
 

@@ -31,7 +31,7 @@ from jobmart.llm.common import partitions, words_of
 
 WINDOW = 35
 #: Words after which a task sends what it has gathered; bounds its memory.
-BLOCK_WORDS = 1_000_000
+BLOCK_WORDS = 500_000
 _M = np.uint64(0x9E3779B97F4A7C15)
 _ODD = (np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F))
 _NO_ID = -(1 << 63)
