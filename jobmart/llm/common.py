@@ -59,16 +59,18 @@ def add_columns(df: DataFrame, text: str | Column, fields: T.StructType,
     """
     new = {f.name.lower() for f in fields}
     keep = [c for c in df.columns if c.lower() not in new]
+    own = isinstance(text, str) and text in keep and df.schema[text].dataType == T.StringType()
     source = F.col(text) if isinstance(text, str) else text
-    rows = df.select(*[F.col(f"`{c}`") for c in keep], source.cast("string").alias("text to map"))
-    schema = T.StructType([f for f in rows.schema.fields[:-1]] + fields.fields)
-    names = schema.names
+    extra = [] if own else [source.cast("string").alias("text to map")]  # a text already among the columns goes over once
+    rows = df.select(*[F.col(f"`{c}`") for c in keep], *extra)
+    schema = T.StructType([rows.schema[i] for i in range(len(keep))] + fields.fields)
+    names, at, width = schema.names, keep.index(text) if own else len(keep), len(keep)
 
     def apply(batches):
         fn = make()
         for whole in batches:
             for i in range(0, whole.num_rows, ROWS):
                 b = whole.slice(i, ROWS)
-                yield pa.RecordBatch.from_arrays(b.columns[:-1] + fn(b.column(b.num_columns - 1)), names)
+                yield pa.RecordBatch.from_arrays(b.columns[:width] + fn(b.column(at)), names)
 
     return rows.mapInArrow(apply, schema)
