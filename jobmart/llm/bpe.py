@@ -47,7 +47,6 @@ def _last_merge(token: bytes, ranks: dict[bytes, int]) -> tuple[int, int] | None
 
 
 _coders: dict[str, object] = {}
-_broadcasts: dict[tuple[str, str, str], object] = {}
 
 
 class Vocabulary:
@@ -75,10 +74,11 @@ class Vocabulary:
 
 class Coder(dict):
     """Pattern match -> its ids as packed 32-bit integers, computed on the first request. A full memory
-    becomes the old one, from which what is asked for again comes back."""
+    of ``memory`` entries becomes the old one, from which what is asked for again comes back."""
 
-    def __init__(self, vocabulary: Vocabulary):
+    def __init__(self, vocabulary: Vocabulary, memory: int = MEMORY):
         super().__init__()
+        self.memory = memory
         self.old: dict[str, bytes] = {}
         self.ranks = vocabulary.ranks
         self.find = regex.compile(vocabulary.pattern).findall
@@ -99,7 +99,7 @@ class Coder(dict):
         data = piece.encode("utf-8", "surrogatepass")
         rank = self.ranks.get(data)
         ids = np.array([rank] if rank is not None else self.backtrack(data), "<i4").tobytes()
-        if len(self) >= MEMORY:
+        if len(self) >= self.memory:
             self.old = dict(self)
             self.clear()
         if len(piece) <= 256:
@@ -137,7 +137,7 @@ class Coder(dict):
         """Whether merging keeps the border between tokens ``a`` and ``b``."""
         known = self.pairs.get((a, b))
         if known is None:
-            if len(self.pairs) >= MEMORY:
+            if len(self.pairs) >= self.memory:
                 self.pairs.clear()
             known = self.pairs[a, b] = self._fits(a, b)
         return known
@@ -179,11 +179,15 @@ def broadcast(df: DataFrame, path: str, pattern: str):
     return df.sparkSession.sparkContext.broadcast(Vocabulary(read_ranks(path), pattern))
 
 
-def encode(df: DataFrame, vocabulary, text: str = "text", ids: str = "ids") -> DataFrame:
-    """Append the ids of each whole text as ``array<int>``; a null or empty text has none."""
+def encode(df: DataFrame, vocabulary, text: str = "text", ids: str = "ids", memory: int | None = None) -> DataFrame:
+    """Append the ids of each whole text as ``array<int>``; a null or empty text has none.
+
+    Workers keep their coder for later tasks. With ``memory`` (entries) each task has its own and nothing
+    is left in the worker: for jobs whose other stages need the space.
+    """
 
     def make():
-        coder = vocabulary.value.coder()
+        coder = vocabulary.value.coder() if memory is None else Coder(vocabulary.value, memory)
 
         def run(texts: pa.Array) -> list[pa.Array]:
             packed = [coder.encode(x) if x else b"" for x in texts.to_pylist()]
