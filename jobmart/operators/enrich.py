@@ -20,6 +20,7 @@ from jobmart.sources.tables import append, read_or_empty
 # prompt text, timeout in seconds -> reply text. Raises TimeoutError when the model is too slow.
 Scorer = Callable[[str, float], str]
 FAILED = "{}"
+LEDGER = "job_id string, answered boolean"
 
 
 def route(clean: DataFrame) -> DataFrame:
@@ -43,20 +44,19 @@ def asked(scorer: Scorer, timeout: float = 20.0, attempts: int = 2,
           in_flight: int = 4) -> Callable[[Column], Column]:
     """A column function sending prompts to ``scorer``.
 
-    A timeout is retried, any other failure gives an empty reply, so one bad row never fails a
-    task. ``in_flight`` calls overlap per task, since they mostly wait. The function is marked
+    A timeout is retried, any other failure gives NULL, so one bad row never fails a task. ``in_flight`` calls overlap per task, since they mostly wait. The function is marked
     nondeterministic so that the optimizer never calls the model twice for a row.
     """
 
-    def one(text: str) -> str:
+    def one(text: str) -> str | None:
         for _ in range(attempts):
             try:
                 return scorer(text, timeout)
             except TimeoutError:
                 continue
             except Exception:  # noqa: BLE001 - the model is foreign code
-                return FAILED
-        return FAILED
+                return None
+        return None
 
     def batches(prompts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         from concurrent.futures import ThreadPoolExecutor
@@ -80,12 +80,13 @@ def enricher(scorer: Scorer, partitions: int | None = None,
              **options) -> Callable[[DataFrame], DataFrame]:
     """``enrich`` with its columns built once, for use on many frames."""
     reply = asked(scorer, **options)(prompt())
-    answer = decode_reply(F.col("_reply"), F.col("is_it_preliminary"))
+    answer = decode_reply(F.coalesce("_reply", F.lit(FAILED)), F.col("is_it_preliminary"))
     finish = _finisher()
 
     def run(todo: DataFrame) -> DataFrame:
         spread = todo.repartition(partitions) if partitions else todo
-        return finish(spread.withColumn("_reply", reply).withColumn("_answer", answer))
+        replied = spread.withColumn("_reply", reply).withColumn("answered", F.col("_reply").isNotNull())
+        return finish(replied.withColumn("_answer", answer))
 
     return run
 
@@ -93,6 +94,8 @@ def enricher(scorer: Scorer, partitions: int | None = None,
 def enrich(todo: DataFrame, scorer: Scorer, partitions: int | None = None, **options) -> DataFrame:
     """Score every row with the model and add its answer as typed columns.
 
+    ``answered`` is false where the model gave no reply; such rows hold the defaults.
+
     ``partitions`` spreads the calls; model time, not data size, sets the task length here.
     """
     return enricher(scorer, partitions, **options)(todo)
@@ -115,12 +118,18 @@ def enrich_by_rules(todo: DataFrame, dictionary=vocab.SKILLS) -> DataFrame:
         .alias("locations"),
         F.lit(-1).alias("max_salary_verified"),
     )
-    return _finisher()(found.withColumn("_answer", answer).drop("_text", "_domains"))
+    rows = found.withColumn("answered", F.lit(True)).withColumn("_answer", answer)
+    return _finisher()(rows.drop("_text", "_domains"))
+
+
+def answered(ledger: DataFrame) -> DataFrame:
+    """Ledger rows with a reply; a ledger without the column has no others."""
+    return ledger.filter("answered") if "answered" in ledger.columns else ledger
 
 
 def pending(todo: DataFrame, ledger: DataFrame, key: str = "job_id") -> DataFrame:
-    """Rows of ``todo`` whose key is not in the ledger yet."""
-    return todo.join(ledger.select(key), key, "left_anti")
+    """Rows of ``todo`` whose key has no answer in the ledger yet."""
+    return todo.join(answered(ledger).select(key), key, "left_anti")
 
 
 def plan_batches(todo: DataFrame, path: str, batches: int) -> None:
@@ -138,20 +147,21 @@ def run_batches(spark: SparkSession, planned: str, ledger: str, scorer: Scorer,
                 partitions: int | None = None, **options) -> None:
     """Enrich the planned batches one after the other, each committed on its own.
 
-    Rows already in the ledger are left out by key, whatever batch they were answered in, so an
-    interrupted or newly planned run continues where it stopped.
+    Rows answered in the ledger are left out by key, whatever batch they were answered in, so an
+    interrupted or newly planned run continues where it stopped. Rows the model failed on are
+    written with ``answered`` false and asked again by the next run.
     """
     schema = spark.read.parquet(planned).schema
     run = enricher(scorer, partitions, **options)
     for number in range(batches):
         mine = f"_batch_id={number}"
         todo = read_or_empty(spark, f"{planned}/{mine}", schema, planned)
-        done = read_or_empty(spark, ledger, "job_id string")
+        done = read_or_empty(spark, ledger, LEDGER)
         append(run(pending(todo, done)), ledger, partition_by=["_batch_id"])
 
 
 def final_table(ledger: DataFrame, as_of: Column | None = None, source: str = "jobs") -> DataFrame:
-    """IT adverts of the ledger with ingestion date and source tag."""
+    """IT adverts answered in the ledger with ingestion date and source tag."""
     day = F.current_date() if as_of is None else as_of
-    return (ledger.drop("_batch_id").filter("is_it_job")
+    return (answered(ledger).drop("_batch_id", "answered").filter("is_it_job")
             .withColumns({"ingestion_date": day, "source": F.lit(source)}))

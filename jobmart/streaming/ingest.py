@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from jobmart import schemas
-from jobmart.operators.enrich import Scorer, enrich, pending, to_enrich
+from jobmart.operators.enrich import LEDGER, Scorer, enrich, pending, to_enrich
 from jobmart.sources.bronze import decode
 from jobmart.sources.tables import read_or_empty
 
@@ -79,11 +79,13 @@ def enrich_new(spark: SparkSession, stage: str, ledger: str, checkpoint: str, sc
     """Enrich clean adverts incrementally, a few files per committed step.
 
     The checkpoint remembers finished files and the key check against the ledger covers a stage
-    that was rewritten, so a restart calls the model only for rows without an answer.
+    that was rewritten, so a restart calls the model only for rows without an answer. Rows the
+    model failed on stand in the ledger with ``answered`` false; their files are not read again, so
+    ask for them with ``run_batches`` over the stage.
     """
     schema = spark.read.parquet(stage).schema
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
               .parquet(stage))
-    done = read_or_empty(spark, ledger, "job_id string")
+    done = read_or_empty(spark, ledger, LEDGER)
     fresh = enrich(pending(to_enrich(stream), done), scorer, partitions, **options)
     to_parquet(fresh, ledger, checkpoint).awaitTermination()

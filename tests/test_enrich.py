@@ -110,6 +110,23 @@ def test_interrupted_batches_resume_by_key(spark, tmp_path, calls):
     assert len(list(calls.iterdir())) == len(wanted)
 
 
+def test_rows_of_an_outage_are_asked_again(spark, tmp_path, calls):
+    planned, ledger = str(tmp_path / "planned"), str(tmp_path / "ledger")
+    todo = enrich.to_enrich(clean(postings(spark, 40)))
+    wanted = sorted(r.job_id for r in todo.collect())
+    enrich.plan_batches(todo, planned, 2)
+    enrich.run_batches(spark, planned, ledger, counting_scorer(str(calls), "Senior Java"), 2)
+    down = spark.read.parquet(ledger).filter("not answered").count()
+    assert 0 < down < len(wanted)
+    for _ in range(2):
+        enrich.run_batches(spark, planned, ledger, counting_scorer(str(calls)), 2)
+    rows = spark.read.parquet(ledger)
+    assert sorted(r.job_id for r in enrich.answered(rows).collect()) == wanted
+    assert len(list(calls.iterdir())) == len(wanted) + down
+    final = enrich.final_table(rows)
+    assert "answered" not in final.columns and sorted(r.job_id for r in final.collect()) == wanted
+
+
 def test_more_batches_than_rows(spark, tmp_path, calls):
     planned, ledger = str(tmp_path / "planned"), str(tmp_path / "ledger")
     todo = enrich.to_enrich(clean(postings(spark, 4)))
