@@ -127,6 +127,15 @@ def answered(ledger: DataFrame) -> DataFrame:
     return ledger.filter("answered") if "answered" in ledger.columns else ledger
 
 
+def settled(ledger: DataFrame, key: str = "job_id") -> DataFrame:
+    """One row per key: its answer, or the defaults as long as the model has failed on it."""
+    if "answered" not in ledger.columns:
+        return ledger
+    done = answered(ledger)
+    failed = ledger.filter(~F.col("answered")).join(done.select(key), key, "left_anti")
+    return done.unionByName(failed.dropDuplicates([key]))
+
+
 def pending(todo: DataFrame, ledger: DataFrame, key: str = "job_id") -> DataFrame:
     """Rows of ``todo`` whose key has no answer in the ledger yet."""
     return todo.join(answered(ledger).select(key), key, "left_anti")
@@ -161,7 +170,7 @@ def run_batches(spark: SparkSession, planned: str, ledger: str, scorer: Scorer,
 
 
 def final_table(ledger: DataFrame, as_of: Column | None = None, source: str = "jobs") -> DataFrame:
-    """IT adverts answered in the ledger with ingestion date and source tag."""
+    """IT adverts of the ledger, one row each, with ingestion date and source tag."""
     day = F.current_date() if as_of is None else as_of
-    return (answered(ledger).drop("_batch_id", "answered").filter("is_it_job")
+    return (settled(ledger).drop("_batch_id", "answered").filter("is_it_job")
             .withColumns({"ingestion_date": day, "source": F.lit(source)}))
