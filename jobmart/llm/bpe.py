@@ -163,19 +163,7 @@ class Coder(dict):
 
 
 def broadcast(df: DataFrame, path: str, pattern: str):
-    """The vocabulary as a broadcast, one for each file and application: workers keep what they once got."""
-    context = df.sparkSession.sparkContext
-    key = (context.applicationId, path, pattern)
-    if key not in _broadcasts:
-        _broadcasts[key] = context.broadcast(Vocabulary(read_ranks(path), pattern))
-    return _broadcasts[key]
-
-
-def encode(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, self.find(text)))
-
-
-def broadcast(df: DataFrame, path: str, pattern: str):
+    """The vocabulary as a broadcast; the rank file bounds its size."""
     return df.sparkSession.sparkContext.broadcast(Vocabulary(read_ranks(path), pattern))
 
 
