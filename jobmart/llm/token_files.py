@@ -21,6 +21,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,7 +41,7 @@ _MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _OTHER_MARKS = set(_MARKS) - set(".,")
 _PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 #: Characters of the texts that are looked up together.
-TOGETHER = 1_000_000
+TOGETHER = 2_000_000
 
 BLOCKS = T.StructType([
     T.StructField("shard", T.IntegerType()), T.StructField("block", T.IntegerType()),
@@ -75,7 +76,7 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 
 class Words:
-    """Word -> packed ids, in two generations: what is used again passes from the old one to the new.
+    """Word -> packed ids, in two generations for either kind of text: what is used again passes from the old one to the new.
 
     The file's normaliser and pattern treat words between blanks independently. In Latin-1 texts lower-casing
     changes no id, and the pattern's pieces of a word are plain: runs of letters, single digits, runs of marks.
@@ -96,8 +97,8 @@ class Words:
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         for token, i in vocabulary.items():
             self.ends[i] = bool(suffix) and token.endswith(suffix)
-        self.known: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.known: dict[bool, dict[str, bytes]] = {True: {"": b""}, False: {"": b""}}
+        self.old: dict[bool, dict[str, bytes]] = {True: {}, False: {}}
 
     def library(self, words: list[str]) -> list[bytes]:
         return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
@@ -111,57 +112,68 @@ class Words:
         data = ids.tobytes()
         return [data[i:j] for i, j in zip([0, *last], last, strict=False)]
 
-    def learn(self, words: set[str]) -> None:
-        """Put the ids of words of Latin-1 texts, none of them known, into the memory."""
-        known, pieces = self.known, {}
+    def learn(self, words: list[str]) -> dict[str, bytes]:
+        """The ids of words of Latin-1 texts."""
+        found, pieces = {}, {}
+        letters = list(filter(str.isalpha, words))
+        if letters:
+            found.update(zip(letters, self.joined(letters), strict=True))
         for w in words:
-            base = w.rstrip(_MARKS)
-            if base.isalpha():
-                pieces[w] = [base, w[len(base):]] if base != w else [w]
-            else:
-                pieces[w] = _PIECES.findall(w) if w.isascii() else [w]
-        need = {x for p in pieces.values() for x in p}.difference(known)
-        letters, others = [w for w in need if w.isalpha()], [w for w in need if not w.isalpha()]
+            if not w.isalpha():
+                base = w.rstrip(_MARKS)
+                pieces[w] = [base, w[len(base):]] if base.isalpha() else _PIECES.findall(w) if w.isascii() else [w]
+        need = {x for p in pieces.values() for x in p}.difference(found)
+        letters, others = list(filter(str.isalpha, need)), [w for w in need if not w.isalpha()]
         if letters:
-            known.update(zip(letters, self.joined(letters), strict=True))
+            found.update(zip(letters, self.joined(letters), strict=True))
         if others:
-            known.update(zip(others, self.library(others), strict=True))
-        for w, p in pieces.items():
-            if len(p) > 1 or p[0] != w:
-                known[w] = b"".join(map(known.__getitem__, p))
+            found.update(zip(others, self.library(others), strict=True))
+        found.update((w, b"".join(map(found.__getitem__, p))) for w, p in pieces.items() if p != [w])
+        return found
+
+    def lookup(self, lists: pa.ListArray, plain: bool) -> list[np.ndarray]:
+        """The ids of each list of words; every distinct word is looked up once."""
+        words = lists.flatten().dictionary_encode()
+        every = words.dictionary.to_numpy(zero_copy_only=False).tolist()  # far quicker than to_pylist()
+        known, old = self.known[plain], self.old[plain]
+        ids = list(map(known.get, every))
+        missing = [i for i, x in enumerate(ids) if x is None]
+        if missing:
+            known.update((w, old[w]) for i in missing if (w := every[i]) in old)
+            if new := [w for i in missing if (w := every[i]) not in known]:
+                known.update(self.learn(new) if plain else zip(new, self.library(new), strict=True))
+            for i in missing:
+                ids[i] = known[every[i]]
+        if len(known) > MEMORY:
+            self.old[plain], self.known[plain] = known, {"": b""}
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        starts = np.cumsum(sizes) - sizes
+        at = words.indices.to_numpy()
+        sizes = sizes[at]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        values = flat[np.arange(total) + np.repeat(starts[at] - ends + sizes, sizes)]
+        bounds = np.concatenate([[0], ends])[lists.offsets.to_numpy()].tolist()
+        return [values[i:j] for i, j in zip(bounds, bounds[1:], strict=False)]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        groups: dict[bool, list[list[str]]] = {True: [], False: []}
+        groups: dict[bool, list[str]] = {True: [], False: []}
         kinds = []
         for x in texts:
             characters = set(x)
             plain = not characters or max(characters) <= "\xff" and characters.isdisjoint(_ODD_SPACES) and "<|" not in x
             kinds.append(plain)
-            if not plain:  # kept apart from words in lower case
-                groups[plain].append(["\0" + w for w in re.split("[ \n]+", x) if w])
-                continue
-            x = x.lower()
-            if characters.isdisjoint(_OTHER_MARKS) and not any(map(x.__contains__, ("..", ",,", ".,", ",."))):
-                x = x.replace(".", " . ").replace(",", " , ")  # each is a piece of its own
-            groups[plain].append(x.split())
-        rows = {}
-        for plain, lists in groups.items():
-            every = set().union(*lists)
-            ids = dict(zip(every, map(self.known.get, every), strict=True))
-            new = {w for w, x in ids.items() if x is None}
-            for w in new & self.old.keys():
-                ids[w] = self.known[w] = self.old[w]
-                new.discard(w)
-            if new:
-                if plain:
-                    self.learn(new)
-                else:
-                    self.known.update(zip(new, self.library([w[1:] for w in new]), strict=True))
-                ids.update((w, self.known[w]) for w in new)
-            rows[plain] = iter([b"".join(map(ids.__getitem__, x)) for x in lists])
-        if len(self.known) > MEMORY:
-            self.old, self.known = self.known, {}
-        return [np.frombuffer(next(rows[k]), "<u4") for k in kinds]
+            if plain:
+                x = x.lower()
+                if characters.isdisjoint(_OTHER_MARKS) and not any(map(x.__contains__, ("..", ",,", ".,", ",."))):
+                    x = x.replace(".", " . ").replace(",", " , ")  # each is a piece of its own
+            else:  # the library itself decides on other white space
+                x = x.replace("\n", " ")
+            groups[plain].append(x)
+        split = {True: pc.ascii_split_whitespace, False: lambda a: pc.split_pattern(a, " ")}
+        rows = {k: iter(self.lookup(split[k](pa.array(x, pa.string())), k)) for k, x in groups.items()}
+        return [next(rows[k]) for k in kinds]
 
 
 _words: dict[str, Words] = {}
