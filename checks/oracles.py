@@ -328,6 +328,7 @@ def _answer(t: str | None) -> str:
 
 
 _DOMAIN = at([_answer(t) for t in TITLES])
+_UNANSWERED = f"({_DOMAIN} = 'Other')"
 _JAVA = f"({_DOMAIN} = 'Backend Developer')"
 _ENRICHED = docs(
     domain=_DOMAIN, is_it_job="TRUE", job_level=_LEVEL, classification_source=_SOURCE,
@@ -335,14 +336,40 @@ _ENRICHED = docs(
     exp_max=f"CAST(CASE WHEN {_JAVA} THEN 5 ELSE -1 END AS DOUBLE)",
     locations=f"CASE WHEN {_JAVA} THEN 'Hà Nội' ELSE '' END", max_salary_verified="-1",
     ingestion_date=f"'{AS_OF}'")
+_ASKED = f"({_VERDICT} <> 'false' AND NOT {_UNANSWERED})"
 _IS_IT = f"({_VERDICT} = 'true' OR ({_VERDICT} = 'none' AND {_DOMAIN} <> 'Other'))"
 ORACLES["enrich_flow"] = f"{_ENRICHED} WHERE {_CONTENT} AND {_IS_IT}"
 ORACLES["enrich_incremental"] = ORACLES["enrich_flow"]
 
+ORACLES["enrich_incremental_copies"] = (
+    f"SELECT job_id, CAST(1 AS BIGINT) AS answers FROM ({docs(domain=_DOMAIN, asked=_ASKED)}) "
+    f"WHERE asked")
+_FINAL = ("WITH jobs AS (SELECT * FROM (" + docs(
+    domain=_DOMAIN, java=_JAVA, is_it=_IS_IT, level=_LEVEL,
+    lo=column(X.SALARY_CLEAN, 1, "INTEGER"), hi=column(X.SALARY_CLEAN, 2, "INTEGER"),
+    years=_YEARS) + ") WHERE is_it) ")
+ORACLES["enriched_skill_demand"] = _FINAL + f"""
+  SELECT 'Java' AS skill_name, count(*) AS job_count,
+         {share('count(*)', '(SELECT count(*) FROM jobs)')} AS percentage,
+         {avg1('hi', 'hi > 0')} AS avg_salary, '{AS_OF}' AS updated_date
+  FROM jobs WHERE java HAVING count(*) > 0"""
+ORACLES["enriched_location_trend"] = _FINAL + f"""
+  SELECT 'Hà Nội' AS city, count(*) AS job_count,
+         {share('count(*)', '(SELECT count(*) FROM jobs)')} AS percentage,
+         {avg1('hi', 'hi > 0')} AS avg_salary, 'Java' AS top_skills, '{AS_OF}' AS updated_date
+  FROM jobs WHERE java HAVING count(*) > 0"""
+ORACLES["enriched_salary_benchmark"] = _FINAL + f"""
+  SELECT level AS job_level, count(*) AS job_count, {avg1('hi')} AS avg_salary,
+         CAST(min(lo) AS DOUBLE) AS min_salary, CAST(max(hi) AS DOUBLE) AS max_salary,
+         round(avg(CAST(trunc(years) AS INTEGER)), 1) AS years_of_experience,
+         '{AS_OF}' AS updated_date
+  FROM jobs WHERE lo > 0 AND hi > 0 AND level <> 'Unknown' GROUP BY 1"""
+
 _FLAT = f"lower(concat_ws(' | ', {at(TITLES)}, {q(LEAD)} || text))"
 _ANY_DOMAIN = has(_FLAT, word(*[w for words in vocab.DOMAINS.values() for w in words]))
-_PLACES = at(["|".join(c for c in ("Hà Nội", "Hồ Chí Minh", "Đà Nẵng") if r[0] and c in r[0])
-              or "Toàn quốc" for r in X.CITY])
+# Of each row of X.CITY: all provinces named, in the marts' spelling; no text counts as nationwide.
+_PLACES = at(["Toàn quốc", "Hà Nội", "Hồ Chí Minh", "Hà Nội|Hồ Chí Minh", "Hồ Chí Minh", "Hồ Chí Minh",
+              "Khác", "Đà Nẵng", "Đồng Nai", "Toàn quốc", "Toàn quốc"])
 ORACLES["enrich_without_model"] = docs(
     is_it_job=f"{_VERDICT} = 'true' OR {_ANY_DOMAIN}", job_level=_LEVEL, locations=_PLACES,
 ) + f" WHERE {_CONTENT} AND {_VERDICT} <> 'false'"

@@ -425,6 +425,46 @@ def enrich_incremental(spark, sf):
     return _final_view(enrich.final_table(spark.read.parquet(f"{base}/ledger"), as_of()))
 
 
+@query
+def enrich_incremental_copies(spark, sf):
+    """The same adverts in three sets of files, one file per step; counts the rows of the ledger."""
+    base = scratch(spark, "enrich-copies")
+    rows = clean_plan.clean(postings(spark, sf))
+    tables.overwrite(rows, f"{base}/stage")
+    for _ in range(2):
+        tables.append(rows, f"{base}/stage")
+    ingest.enrich_new(spark, f"{base}/stage", f"{base}/ledger", f"{base}/checkpoint",
+                      _scorer(), files_per_batch=1)
+    ledger = spark.read.parquet(f"{base}/ledger")
+    return enrich.answered(ledger).groupBy("job_id").agg(F.count(F.lit(1)).alias("answers"))
+
+
+def _enriched(spark, sf) -> DataFrame:
+    """The stored final table of adverts with answers of the stand-in model."""
+    base = scratch(spark, "enriched")
+    tables.overwrite(clean_plan.clean(postings(spark, sf)), f"{base}/stage")
+    todo = enrich.to_enrich(spark.read.parquet(f"{base}/stage"))
+    tables.append(enrich.enrich(todo, _scorer(), 8), f"{base}/ledger")
+    final = enrich.final_table(spark.read.parquet(f"{base}/ledger"), as_of())
+    tables.overwrite_partitions(final, f"{base}/final", ["ingestion_date"])
+    return spark.read.parquet(f"{base}/final")
+
+
+@query
+def enriched_skill_demand(spark, sf):
+    return _dated(marts.skill_demand(_enriched(spark, sf), as_of()))
+
+
+@query
+def enriched_salary_benchmark(spark, sf):
+    return _dated(marts.salary_benchmark(_enriched(spark, sf), as_of()))
+
+
+@query
+def enriched_location_trend(spark, sf):
+    return _dated(marts.location_trend(_enriched(spark, sf), as_of()))
+
+
 @query
 def enrich_without_model(spark, sf):
     stage = f"{scratch(spark, 'rules')}/stage"

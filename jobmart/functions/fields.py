@@ -15,6 +15,7 @@ AGE_RANGE = rf"Tuổi{SPACE}+([0-9]+){SPACE}*[-–]{SPACE}*([0-9]+)"
 AGE_FROM = rf"Từ{SPACE}+([0-9]+){SPACE}*tuổi"
 LANGUAGE = r"\A(Tiếng [\p{L}\p{N}_]+)"
 GENDERS = ["Nam", "Nữ"]
+#: Default of ``has_content``: a text needs more characters than that.
 MIN_CONTENT = 50
 
 
@@ -34,11 +35,10 @@ def with_deadline(df: DataFrame, source: str = "deadline") -> DataFrame:
         .drop("_t"))
 
 
-def has_content(description: Column, requirements: Column) -> Column:
-    """Whether either text is long enough to be worth reading."""
+def has_content(description: Column, requirements: Column, least: int = MIN_CONTENT) -> Column:
+    """Whether either text has more than ``least`` characters, so is worth reading."""
     return F.coalesce(
-        (F.length(description) > MIN_CONTENT) | (F.length(requirements) > MIN_CONTENT),
-        F.lit(False))
+        (F.length(description) > least) | (F.length(requirements) > least), F.lit(False))
 
 
 def _last(c: Column, default: Column) -> Column:

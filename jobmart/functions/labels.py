@@ -35,6 +35,11 @@ def mart_city(c: Column) -> Column:
     return out.otherwise(F.lit(vocab.OTHER_CITY))
 
 
+def mart_place(label: Column) -> Column:
+    """A province label of ``city`` in the spelling that ``mart_city`` tests for."""
+    return F.when(label == "TP.HCM", vocab.MART_CITIES[1]).when(label == "Remote", vocab.MART_CITIES[3]).otherwise(label)
+
+
 def rules_level(title: Column, experience: Column, levels: Vocabulary = vocab.LEVELS) -> Column:
     """Highest-priority level with a keyword in title or experience; NULL without a title."""
     text = F.lower(F.concat_ws(" ", non_empty(title), F.coalesce(experience, F.lit(""))))

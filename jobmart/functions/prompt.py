@@ -8,6 +8,7 @@ from pyspark.sql import Column, functions as F
 
 from jobmart import schemas, vocab
 from jobmart.functions.fields import it_decision
+from jobmart.functions.skills import canonical_skills
 from jobmart.functions.text import strip
 
 UNKNOWN = "không rõ"
@@ -94,7 +95,7 @@ def decode_reply(reply: Column, verdict: Column) -> Column:
     max_salary_verified>``.
 
     Accepts a fenced code block with or without a language tag. Anything unreadable, as a whole
-    or per field, becomes the default.
+    or per field, becomes the default. Skills get their canonical names.
     """
     raw = strip(reply)
     fenced = F.get(F.split(raw, "```"), F.lit(1))
@@ -105,7 +106,7 @@ def decode_reply(reply: Column, verdict: Column) -> Column:
     salary = r["max_salary_verified"].try_cast("double").try_cast("int")
     return F.struct(
         domain.alias("domain"),
-        F.coalesce(r["technical_skills"], none).alias("technical_skills"),
+        F.coalesce(canonical_skills(r["technical_skills"]), none).alias("technical_skills"),
         it_decision(verdict, domain).alias("is_it_job"),
         F.coalesce(r["exp_max"].try_cast("float"), F.lit(-1.0).cast("float")).alias("exp_max"),
         F.coalesce(r["locations"], none).alias("locations"),

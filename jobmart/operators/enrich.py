@@ -13,8 +13,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from jobmart import vocab
 from jobmart.functions.fields import it_decision, provenance
-from jobmart.functions.labels import skills, title_level, with_domains
+from jobmart.functions.labels import mart_place, skills, title_level, with_domains
+from jobmart.functions.matching import all_labels
 from jobmart.functions.prompt import decode_reply, prompt
+from jobmart.functions.skills import canonical_skills
 from jobmart.sources.tables import append, read_or_empty
 
 # prompt text, timeout in seconds -> reply text. Raises TimeoutError when the model is too slow.
@@ -102,20 +104,24 @@ def enrich(todo: DataFrame, scorer: Scorer, partitions: int | None = None, **opt
 
 
 def enrich_by_rules(todo: DataFrame, dictionary=vocab.SKILLS) -> DataFrame:
-    """Same columns as ``enrich`` without any model: dictionaries answer instead."""
+    """Same columns as ``enrich`` without any model: dictionaries answer instead.
+
+    ``locations`` names every province found in the location text, spelt the way the location mart
+    looks for it, or the one label for other places; no location text counts as nationwide.
+    """
     text = F.concat_ws(" | ", "title", "mo_ta_text", "yeu_cau_text")
     found = (todo.withColumn("_text", text).transform(lambda df: with_domains(df, "_text"))
              .withColumnRenamed("domain", "_domains"))
     domain = F.get("_domains", F.lit(0))
-    place = [F.when(F.col("location_raw").contains(c), F.lit(c)) for c in vocab.MART_CITIES[:-1]]
-    named = F.array_compact(F.array(*place))
+    places = F.transform(all_labels(F.lower("location_raw"), vocab.LOCATIONS), mart_place)
     answer = F.struct(
         domain.alias("domain"),
-        skills(F.col("_text"), F.col("_domains"), dictionary).alias("technical_skills"),
+        canonical_skills(skills(F.col("_text"), F.col("_domains"), dictionary)).alias("technical_skills"),
         it_decision(F.col("is_it_preliminary"), domain).alias("is_it_job"),
         F.lit(-1.0).cast("float").alias("exp_max"),
-        F.when(F.size(named) > 0, named).otherwise(F.array(F.lit(vocab.MART_CITIES[-1])))
-        .alias("locations"),
+        F.when(F.size(places) > 0, places)
+        .when(F.coalesce("location_raw", F.lit("")) == "", F.array(F.lit(vocab.MART_CITIES[-1])))
+        .otherwise(F.array(F.lit(vocab.OTHER_CITY))).alias("locations"),
         F.lit(-1).alias("max_salary_verified"),
     )
     rows = found.withColumn("answered", F.lit(True)).withColumn("_answer", answer)

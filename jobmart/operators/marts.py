@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from jobmart.functions.labels import mart_city
 
+#: Default bound on a skill's characters; longer ones are sentences. None keeps all.
 MAX_SKILL_LENGTH = 40
 TOP_SKILLS = 5
 
@@ -31,10 +32,15 @@ def _share(count: str, df: DataFrame) -> Column:
     return F.round(F.try_divide(F.col(count), total) * 100, 2)
 
 
-def skill_demand(jobs: DataFrame, as_of: Column | None = None) -> DataFrame:
-    """Per skill: adverts, share of all adverts, average top salary."""
+def _short(skill: str, longest: int | None) -> Column:
+    return F.lit(True) if longest is None else F.length(skill) <= longest
+
+
+def skill_demand(jobs: DataFrame, as_of: Column | None = None,
+                 longest: int | None = MAX_SKILL_LENGTH) -> DataFrame:
+    """Per skill of at most ``longest`` characters: adverts, share of all adverts, average top salary."""
     listed = jobs.select("job_id", "max_salary", F.explode("technical_skills").alias("skill_name"))
-    usable = (F.col("skill_name") != "") & (F.length("skill_name") <= MAX_SKILL_LENGTH)
+    usable = (F.col("skill_name") != "") & _short("skill_name", longest)
     return (
         listed.filter(usable).groupBy("skill_name")
         .agg(F.count("job_id").alias("job_count"), _paid_average("max_salary").alias("avg_salary"))
@@ -73,14 +79,15 @@ def _by_city(jobs: DataFrame) -> DataFrame:
     return placed.filter(F.col("city_raw") != "").withColumn("city", mart_city(F.col("city_raw")))
 
 
-def top_skills_per_city(jobs: DataFrame, n: int = TOP_SKILLS) -> DataFrame:
+def top_skills_per_city(jobs: DataFrame, n: int = TOP_SKILLS,
+                        longest: int | None = MAX_SKILL_LENGTH) -> DataFrame:
     """``city, top_skills``: the skills ranked 1..n by adverts, ties included.
 
     The rank limit is applied per task before the window's shuffle, so a city's whole skill list
     never travels to one task.
     """
     pairs = (_by_city(jobs).select("city", F.explode("technical_skills").alias("skill"))
-             .filter(F.length("skill") <= MAX_SKILL_LENGTH)
+             .filter(_short("skill", longest))
              .groupBy("city", "skill").agg(F.count(F.lit(1)).alias("cnt")))
     by_count = Window.partitionBy("city").orderBy(F.desc("cnt"))
     best = pairs.withColumn("rnk", F.rank().over(by_count)).filter(F.col("rnk") <= n)
@@ -88,7 +95,8 @@ def top_skills_per_city(jobs: DataFrame, n: int = TOP_SKILLS) -> DataFrame:
     return best.groupBy("city").agg(names.alias("top_skills"))
 
 
-def location_trend(jobs: DataFrame, as_of: Column | None = None) -> DataFrame:
+def location_trend(jobs: DataFrame, as_of: Column | None = None,
+                   longest: int | None = MAX_SKILL_LENGTH) -> DataFrame:
     """Per city bucket: adverts, share, average top salary, leading skills.
 
     Both sides of the join have at most one row per bucket of ``mart_city`` (five), which is what
@@ -97,7 +105,7 @@ def location_trend(jobs: DataFrame, as_of: Column | None = None) -> DataFrame:
     totals = _by_city(jobs).groupBy("city").agg(
         F.count("job_id").alias("job_count"), _paid_average("max_salary").alias("avg_salary"))
     return (
-        totals.join(F.broadcast(top_skills_per_city(jobs)), "city", "left")
+        totals.join(F.broadcast(top_skills_per_city(jobs, longest=longest)), "city", "left")
         .select("city", "job_count", _share("job_count", jobs).alias("percentage"), "avg_salary",
                 "top_skills", _day(as_of).alias("updated_date"))
         .orderBy(F.desc("job_count"), "city"))

@@ -48,11 +48,13 @@ def session(name: str, settings: dict[str, str] | None = None, **more: str) -> S
 def scratch(spark: SparkSession, purpose: str) -> str:
     """A fresh directory name below the cluster's shared checkpoint folder.
 
-    Only where no such folder is configured, as in tests, a local one is used.
+    Only where no such folder is configured and the master is local, as in tests, a local one is used.
     """
     import uuid
 
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return tempfile.mkdtemp(prefix=f"jobmart-{purpose}-")

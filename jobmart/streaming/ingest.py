@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from jobmart import schemas
-from jobmart.operators.enrich import LEDGER, Scorer, enrich, pending, to_enrich
+from jobmart.operators.dedup import first_per_key
+from jobmart.operators.enrich import LEDGER, Scorer, enricher, pending, to_enrich
 from jobmart.sources.bronze import decode
-from jobmart.sources.tables import read_or_empty
+from jobmart.sources.tables import append, read_or_empty
 
 
 def topic(spark: SparkSession, servers: str, name: str, **options: str) -> DataFrame:
@@ -78,14 +79,21 @@ def enrich_new(spark: SparkSession, stage: str, ledger: str, checkpoint: str, sc
                files_per_batch: int = 64, partitions: int | None = None, **options) -> None:
     """Enrich clean adverts incrementally, a few files per committed step.
 
-    The checkpoint remembers finished files and the key check against the ledger covers a stage
-    that was rewritten, so a restart calls the model only for rows without an answer. Rows the
-    model failed on stand in the ledger with ``answered`` false; their files are not read again, so
-    ask for them with ``run_batches`` over the stage.
+    The checkpoint remembers finished files. Every step takes one row per key and leaves out the
+    keys that the ledger has an answer for by then, so neither copies in several files nor a step
+    that is run again call the model twice. Of the ledger only key and flag are read. Rows the
+    model failed on stand in it with ``answered`` false; their files are not read again, so ask
+    for them with ``run_batches`` over the stage.
     """
     schema = spark.read.parquet(stage).schema
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
               .parquet(stage))
-    done = read_or_empty(spark, ledger, LEDGER)
-    fresh = enrich(pending(to_enrich(stream), done), scorer, partitions, **options)
-    to_parquet(fresh, ledger, checkpoint).awaitTermination()
+    score = enricher(scorer, partitions, **options)
+
+    def step(rows: DataFrame, number: int) -> None:
+        done = read_or_empty(rows.sparkSession, ledger, LEDGER)
+        fresh = first_per_key(to_enrich(rows), "job_id", [])
+        append(score(pending(fresh, done)), ledger)
+
+    (stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+     .trigger(availableNow=True).start().awaitTermination())
