@@ -56,6 +56,16 @@ def test_token_files_round_trip(spark, docs, empty):
     assert token_files.read(spark, none).count() == 0
 
 
+def test_words_of_both_kinds_of_text_stay_apart(monkeypatch):
+    monkeypatch.setattr(token_files, "MEMORY", 3)  # words pass from one generation to the other
+    path = public_tokenizers.path("word_bpe_49k.json")
+    words, tokenizer = token_files.Words(path), Tokenizer.from_file(path)
+    odd = ["\0foo \0Bar", "中 foo Bar", "", " ", "it's A.B ,, x.,y 12ab3 ÀÉß µm ª", "a\x85b\xa0c\x1cd", "\t\v x\fy\r\nz ", "中\n\nfoo  <|endoftext|>"]
+    for group in (odd, odd[::-1], ["foo"], [], odd):
+        got = words.encode(group)
+        assert [x.tolist() for x in got] == [tokenizer.encode(x, add_special_tokens=False).ids for x in group]
+
+
 def test_variable_length_coding():
     values = np.array([0, 255, 256, 65535, 65536, 1 << 24, 2**32 - 1], np.uint32)
     for n in range(len(values) + 1):
