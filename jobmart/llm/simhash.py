@@ -294,45 +294,143 @@ def _named(rows: DataFrame, links: DataFrame) -> DataFrame:
     return placed.join(least, "root").select("id", "component_id")
 
 
-#: For similar texts rather than equal fingerprints: five-word shingles, several fingerprints, and
-#: the bits that may differ in one of them and in all. A Jaccard similarity s of shingle sets means that a
-#: bit differs with probability acos(2s / (1 + s)) / pi: 0.15 at 0.8, or 39 of 256 bits.
-SIMILAR_SHINGLE, WORDS, WORD_BITS, ALL_BITS = 5, 4, 9, 46
-_ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
-
-
-def wide_fingerprint(h: np.ndarray) -> list[int]:
-    """Fingerprints (unsigned) of the set of hashes under several mixings of each hash."""
-    h = np.unique(h)
-    out = []
-    for odd in _ODD[:WORDS]:
-        x = (h ^ (h >> np.uint64(32))) * odd
-        out.append(fingerprint(x ^ (x >> np.uint64(29))))
+#: For similar texts rather than equal fingerprints: five-word shingles, the least Jaccard similarity as
+#: a fraction, and bands of minima. A pair of similarity s has a band in common with probability
+#: 1 - (1 - s**ROWS)**BANDS: 0.99994 at 0.8, 0.4 at 0.5, 0.02 at 0.3.
+SIMILAR_SHINGLE, LEAST, BANDS, ROWS = 5, (4, 5), 32, 6
+#: Texts and characters of a chunk that are compared with each other and with those of one other chunk.
+TEXTS, ROOM = 4_000, 20_000_000
+_MIX = np.array([xxhash.xxh64_intdigest(i.to_bytes(4, "little"), 42) | 1 for i in range(BANDS * ROWS)], np.uint64)
+
+
+def shingle_set(text: str | None) -> np.ndarray:
+    """The distinct five-word shingle hashes of a text, ascending."""
+    return np.unique(hashes(words_of(text), SIMILAR_SHINGLE))
+
+
+def set_id(h: np.ndarray) -> int:
+    """Signed 64-bit hash of a whole set."""
+    return int(np.array(xxhash.xxh64_intdigest(np.ascontiguousarray(h, "<u8").tobytes(), 42), np.uint64).view(np.int64))
+
+
+def band_keys(h: np.ndarray, piece: int = 2048) -> np.ndarray:
+    """Per band a hash of the least of the set's hashes under each of its mixings; none for an empty set."""
+    if not len(h):
+        return np.zeros(0, np.int64)
+    least = np.full(BANDS * ROWS, ~np.uint64(0))
+    for i in range(0, len(h), piece):
+        np.minimum(least, (h[i:i + piece, None] * _MIX).min(axis=0), out=least)
+    x = (least * _MIX[::-1]).reshape(BANDS, ROWS)
+    x = (x ^ (x >> np.uint64(29))) * _MIX[:ROWS]
+    x = x.sum(axis=1, dtype=np.uint64) * _MIX[:BANDS] + _MIX[BANDS:2 * BANDS]
+    return (x ^ (x >> np.uint64(32))).view(np.int64)
+
+
+def similar_sets(sets: list[np.ndarray]) -> np.ndarray:
+    """For each set the place of one of its class: sets of Jaccard similarity ``LEAST`` or more are linked.
+
+    Every pair is compared unless its sizes exclude a link or both are in one class already.
+    """
+    sizes = np.array([len(h) for h in sets], np.int64)
+    order = np.argsort(sizes, kind="stable")
+    sizes, n = sizes[order], len(sets)
+    values, codes = np.unique(np.concatenate([sets[k] for k in order]), return_inverse=True)
+    codes, ends = codes.astype(np.int32), np.cumsum(sizes)
+    starts, mark, c = ends - sizes, np.zeros(len(values), bool), np.arange(n)
+    over, under = LEAST
+    for i in range(n):
+        most = int(np.searchsorted(sizes, sizes[i] * under // over, side="right"))
+        others = i + 1 + np.flatnonzero(c[i + 1:most] != c[i])
+        if not len(others) or not sizes[i]:
+            continue
+        own = codes[starts[i]:ends[i]]
+        mark[own] = True
+        if 4 * len(others) > most - i:
+            others = np.arange(i + 1, most)
+            theirs = codes[starts[i + 1]:ends[most - 1]]
+        else:
+            theirs = np.concatenate([codes[starts[j]:ends[j]] for j in others.tolist()])
+        at = np.cumsum(sizes[others]) - sizes[others]
+        shared = np.add.reduceat(mark[theirs], at, dtype=np.int64)
+        mark[own] = False
+        # shared / (own + theirs - shared) >= over / under
+        near = others[(over + under) * shared >= over * (sizes[i] + sizes[others])]
+        if len(near):
+            labels = np.unique(np.append(c[near], c[i]))
+            c[np.isin(c, labels)] = labels[0]
+    out = np.empty(n, np.int64)
+    out[order] = order[c]
     return out
 
 
-def similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", group: int = GROUP) -> DataFrame:
-    """doc_id and component_id of every document, where texts of about 0.8 similarity or more are linked.
+def _links(rows: DataFrame) -> DataFrame:
+    """(a, b): ids of linked sets, a forest in each group of ``rows``: k (the group), id, text."""
+
+    def links(ids: list[int], sets: list[np.ndarray]) -> pa.RecordBatch | None:
+        own = np.array(ids, np.int64)
+        root = own[similar_sets(sets)]
+        far = np.flatnonzero(own != root)
+        return pa.RecordBatch.from_arrays([pa.array(own[far]), pa.array(root[far])], ["a", "b"]) if len(far) else None
+
+    def run(batches):
+        key, ids, sets = None, [], []
+        for batch in batches:
+            for k, i, text in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                if key != k:
+                    if len(ids) > 1 and (found := links(ids, sets)) is not None:
+                        yield found
+                    key, ids, sets = k, [], []
+                ids.append(i)
+                sets.append(shingle_set(text))
+        if len(ids) > 1 and (found := links(ids, sets)) is not None:
+            yield found
+
+    spread = rows.select("k", "id", "text").repartition(partitions(rows.sparkSession), "k")
+    return spread.sortWithinPartitions("k").mapInArrow(run, "a long, b long")
 
-    Two texts are candidates if one of their fingerprints differs in ``WORD_BITS`` bits at most, and
-    linked if all together differ in ``ALL_BITS`` at most. Texts without words link to each other.
+
+def similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", chunk: int = TEXTS, room: int = ROOM) -> DataFrame:
+    """doc_id and component_id of every document, where texts of 0.8 similarity or more are linked.
+
+    Two texts are candidates if they have a band in common; candidates' components are small beside the
+    table. Inside each of them the sets themselves are compared, and only links of 0.8 or more make classes.
+    Components above a chunk are dealt out by pairs of chunks. Texts without words link to each other.
     Ids should be unique and not null: rows without one are in no component and get null.
     """
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
 
-    def run(batches):
+    def code(batches):
         for b in batches:
-            out = [wide_fingerprint(hashes(words_of(x), SIMILAR_SHINGLE)) for x in b.column(1).to_pylist()]
-            values = pa.array(np.array(out, np.uint64).reshape(-1).view(np.int64))
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(out) + 1, dtype=np.int32) * WORDS), values)
-            yield pa.RecordBatch.from_arrays([b.column(0), lists], ["doc_id", "wide"])
+            sets = [shingle_set(x) for x in b.column(1).to_pylist()]
+            keys = [band_keys(h) for h in sets]
+            offsets = np.concatenate([[0], np.cumsum([len(x) for x in keys])]).astype(np.int32)
+            bands = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int64), *keys])))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([set_id(h) for h in sets], pa.int64()), bands], ["doc_id", "id", "bands"])
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    own = stored(rows.mapInArrow(run, "doc_id long, wide array<long>"), "fingerprints")
-    distinct = stored(own.where("doc_id is not null").groupBy("wide").agg(F.min("doc_id").alias("id")), "distinct")
-    words = distinct.select("id", "wide", F.posexplode("wide").alias("word", "fingerprint"))
-    named = _named(distinct.select("id", F.col("id").alias("first")), edges(words, WORD_BITS, group, ALL_BITS))
-    by_wide = distinct.join(named, "id").select("wide", "component_id")
-    return own.join(by_wide, "wide", "left").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+    def name(batches):
+        for b in batches:
+            ids = [set_id(shingle_set(x)) for x in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), b.column(0)], ["id", "text"])
+
+    own = stored(rows.mapInArrow(code, "doc_id long, id long, bands array<long>"), "sets").where("doc_id is not null")
+    distinct = own.groupBy("id").agg(F.min("doc_id").alias("first"), F.first("bands").alias("bands"))
+    distinct = stored(distinct, "distinct")
+    keys = distinct.select("id", F.explode("bands").alias("key"))
+    least = keys.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
+    near = keys.join(least, "key").where("id <> least").select(F.col("id").alias("a"), F.col("least").alias("b"))
+    candidates = stored(components(near), "candidates")
+    # One text of each set; copies merge before the shuffle.
+    texts = rows.where("doc_id is not null").select("text").mapInArrow(name, "id long, text string").groupBy("id").agg(F.first("text").alias("text"))
+    texts = stored(texts.join(candidates, texts["id"] == candidates["node"]).select("id", "root", "text"), "candidate-texts")
+    sizes = texts.groupBy("root").agg(F.greatest(
+        F.ceil(F.count(F.lit(1)) / F.lit(chunk)), F.ceil(F.sum(F.length("text")) / F.lit(room))).cast("int").alias("parts"))
+    sized = texts.join(sizes, "root").withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    others = F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda x: (x != F.col("own")) | (F.col("parts") == 1))
+    pairs = sized.select("id", "root", "text", "own", F.explode(others).alias("other"))
+    groups = pairs.select("id", "text", F.xxhash64("root", F.least("own", "other"), F.greatest("own", "other")).alias("k"))
+    named = _named(distinct.select("id", "first"), _links(groups))
+    return rows.where("doc_id is null").select("doc_id", F.lit(None).cast("long").alias("component_id")).unionByName(
+        own.join(named, "id").select("doc_id", "component_id"))
 
 
 def hex64(fingerprint) -> F.Column:

@@ -229,6 +229,39 @@ def test_simhash_classes_equal_brute_force(spark, empty, group):
     assert simhash.classes(empty).count() == 0
 
 
+@pytest.mark.parametrize(("chunk", "room"), [(5, 10**9), (4000, 10**9), (4000, 9000)])
+def test_similar_links_are_those_of_the_shingle_sets(spark, chunk, room):
+    rng = random.Random(11)
+    texts = ["", " \n", None, "one two", "one two"]
+    for g in range(40):  # pairs on both sides of 0.8: 300 words, k replaced far apart lose five shingles each
+        body = [f"w{rng.randrange(3000)}" for _ in range(300)]
+        for k in (0, *([4, 5, 6, 7, 8] if g % 2 else [6, 7, 8, 9, 10])):
+            other = list(body)
+            for place in range(k):
+                other[10 + 25 * place] = f"v{g}-{k}-{place}"
+            texts.append(" ".join(other))
+    sets = [set(simhash.hashes((x or "").encode().split(), 5).tolist()) for x in texts]
+    near = lambda a, b: a == b or 9 * len(a & b) >= 4 * (len(a) + len(b))
+    links = [(i, j) for i in range(len(sets)) for j in range(i) if near(sets[i], sets[j])]
+    label, before = list(range(len(sets))), None
+    while label != before:
+        before = list(label)
+        for i, j in links:
+            label[i] = label[j] = min(label[i], label[j])
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.component_id for r in simhash.similar(df, chunk=chunk, room=room).collect()}
+    assert got == dict(enumerate(label))
+    assert simhash.similar(df.where("false")).count() == 0
+
+
+def test_bands_find_pairs_at_the_limit():
+    rng, found = np.random.default_rng(12), 0
+    for _ in range(1000):
+        h = rng.integers(0, 1 << 64, 300, dtype=np.uint64)  # two sets of 270 with 240 in common: 0.8
+        found += bool((simhash.band_keys(np.sort(h[:270])) == simhash.band_keys(np.sort(h[30:]))).any())
+    assert found >= 998
+
+
 def test_similar_texts_and_their_pipeline_stage(spark):
     import corpus_pipeline
     rng = random.Random(7)
