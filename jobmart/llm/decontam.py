@@ -1,8 +1,10 @@
 """Benchmark passages in texts by q-gram lemma filtering and banded alignment.
 
 An item counts as found if one of its pieces of ``PIECE`` characters (the whole item if it is shorter)
-stands in a text with at most ``EDITS`` of its length in edits. Pieces overlap by half. Letters A-Z
-compare in lower case and white space as blanks, so positions are those of the text itself.
+stands in a text with at most ``EDITS`` of its length in edits. Pieces begin every ``STRIDE`` characters, so any
+``PIECE`` characters of an item are within ``STRIDE`` / 2 edits of a piece. Items shorter than ``SHORTEST`` must stand in
+a text without an edit and between word borders. Letters A-Z compare in lower case and white space as blanks,
+so positions are those of the text itself.
 
 A piece of m characters found with e edits shares m + 1 - q(e + 1) q-grams with the text, on diagonals that
 span e at most. Diagonals are counted in bands of 2(e + 1) that overlap by half, so one band holds the
@@ -16,6 +18,7 @@ broadcast; texts pass by one index after the other, without any shuffle.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,11 +28,11 @@ from pyspark.sql import types as T
 
 from jobmart.llm.common import add_columns
 
-PIECE, EDITS, Q = 100, 0.08, 10
-#: Items with fewer characters match nothing: they would be found in clean texts.
+PIECE, STRIDE, EDITS, Q = 100, 10, 0.08, 10
+#: Items with fewer characters must match exactly: with edits they would be found in clean texts.
 SHORTEST = 40
 #: Characters of one broadcast index, and of a text that are looked at together.
-INDEX, CHUNK = 4_000_000, 1 << 20
+INDEX, CHUNK = 800_000, 1 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 MATCH = T.ArrayType(T.StructType().add("item_id", "long").add("start", "long").add("stop", "long").add("edits", "integer"))
 
@@ -68,17 +71,64 @@ def allowed(m: int, edits: float = EDITS, q: int = Q) -> int:
     return max(0, min(int(edits * m), (m - 3) // q - 1))
 
 
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
+@cache
+def _alnum() -> np.ndarray:
+    return np.array([chr(x).isalnum() for x in range(0x110000)])
+
+
+class Short:
+    """Items that must match exactly, by length and a polynomial hash; hits are compared character by character."""
+
+    def __init__(self, items: list[tuple[int, np.ndarray]]):
+        self.lengths: dict[int, tuple[np.ndarray, list[tuple[int, np.ndarray]]]] = {}
+        for size in sorted({len(c) for _, c in items}):
+            own = [(item, c) for item, c in items if len(c) == size]
+            h = (np.array([c for _, c in own], np.uint64) * _powers(int(_ODD), size)).sum(axis=1, dtype=np.uint64)
+            order = np.argsort(h, kind="stable")
+            self.lengths[size] = h[order], [own[k] for k in order]
+
+    def search(self, c: np.ndarray, first: bool, last: bool) -> Iterator[tuple[int, int, int]]:
+        """(item, start, stop); ``first`` and ``last`` tell whether the text begins and ends with ``c``."""
+        if not self.lengths or not len(c):
+            return
+        inside = _alnum()[c]
+        border = np.concatenate([[first], ~(inside[1:] & inside[:-1]), [last]])
+        starts = np.flatnonzero(border[:-1])
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(c * _powers(int(_ODD), len(c)), dtype=np.uint64)])
+        back = _powers(pow(int(_ODD), -1, 1 << 64), len(c))[starts]
+        for size, (hashes, items) in self.lengths.items():
+            fits = np.searchsorted(starts, len(c) - size, side="right")
+            at = starts[:fits]
+            ends = border[at + size]
+            at, h = at[ends], ((sums[at + size] - sums[at]) * back[:fits])[ends]
+            low, high = np.searchsorted(hashes, h), np.searchsorted(hashes, h, side="right")
+            for k in np.flatnonzero(low < high).tolist():
+                start = int(at[k])
+                for item, own in items[low[k]:high[k]]:
+                    if (c[start:start + size] == own).all():
+                        yield item, start, start + size
+
+
 class Index:
     """The q-grams of all pieces: sorted hashes, for each the (piece, place) pairs."""
 
     def __init__(self, items: list[tuple[int, str]]):
-        pieces = []
+        pieces, short = [], []
         for item, text in items:
             c = codes(text or "")
             if len(c) < SHORTEST:
+                c = codes(text.strip(" \t\n\v\f\r")) if text else c
+                short += [(item, c)] if len(c) else []
                 continue
-            starts = sorted({*range(0, max(1, len(c) - PIECE + 1), PIECE // 2), max(0, len(c) - PIECE)})
+            starts = sorted({*range(0, max(1, len(c) - PIECE + 1), STRIDE), max(0, len(c) - PIECE)})
             pieces += [(item, c[s:s + PIECE]) for s in starts]
+        self.short = Short(short)
         self.items = np.array([p[0] for p in pieces], np.int64)
         self.sizes = np.array([len(p[1]) for p in pieces], np.int64)
         self.edits = np.array([allowed(len(p[1])) for p in pieces], np.int64)
@@ -143,7 +193,9 @@ class Index:
         found: list[dict[int, dict]] = [{} for _ in texts]
         for group in _chunks(texts):
             chars, pieces, lows, owners = [], [], [], []
-            for k, (_, _, c) in enumerate(group):
+            for k, (text, offset, c) in enumerate(group):
+                for item, start, stop in self.short.search(c, not offset, offset + len(c) == len(texts[text])):
+                    _add(found[text], item, start + offset, stop + offset, 0)
                 piece, low = self.bands(c)
                 chars.append(c)
                 pieces.append(piece)
@@ -157,12 +209,15 @@ class Index:
                     if e <= self.edits[p]:
                         text, offset, _ = group[k]
                         stop = int(stop) + offset
-                        start, item = max(0, stop - int(self.sizes[p])), int(self.items[p])
-                        m = found[text].setdefault(item, {"item_id": item, "start": start, "stop": stop, "edits": int(e)})
-                        m |= {"start": min(m["start"], start), "stop": max(m["stop"], stop), "edits": min(m["edits"], int(e))}
+                        _add(found[text], int(self.items[p]), max(0, stop - int(self.sizes[p])), stop, int(e))
         return [[m for _, m in sorted(x.items())] for x in found]
 
 
+def _add(found: dict[int, dict], item: int, start: int, stop: int, edits: int) -> None:
+    m = found.setdefault(item, {"item_id": item, "start": start, "stop": stop, "edits": edits})
+    m |= {"start": min(m["start"], start), "stop": max(m["stop"], stop), "edits": min(m["edits"], edits)}
+
+
 def _chunks(texts: list[str]) -> Iterator[list[tuple[int, int, np.ndarray]]]:
     """Groups of (text, offset, characters) of about ``CHUNK`` characters; long texts in overlapping parts."""
     group, size = [], 0
@@ -181,7 +236,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", out: str
     """Append the benchmark items found in each whole text: array of (item_id, start, stop, edits).
 
     ``benchmark``: item_id, text. ``stop`` is where the alignment of the last piece ends, ``start`` that of the first
-    less its length. Null and short texts have none; null, short and repeated items add none.
+    less its length. Null texts have none; null, blank and repeated items add none.
     """
     total = benchmark.agg(F.sum(F.length("text"))).first()[0] or 0
     parts = -(-total // index) or 1

@@ -208,6 +208,21 @@ def test_decontamination_finds_edited_pieces(spark, empty):
     assert decontam.matches(empty, benchmark).count() == 0
 
 
+def test_decontamination_finds_stretches_at_any_offset_and_short_items():
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("aeioutrnsl") for _ in range(rng.randint(2, 8)))
+    item = " ".join(word() for _ in range(60))
+    body = " ".join(word() for _ in range(80))
+    index = decontam.Index([(1, item), (2, "Who was\tit?"), (3, "été 9"), (4, ""), (5, " \n"), (6, "Who was it")])
+    stretches = [body + " " + item[k:k + 100] + " " + body for k in range(len(item) - 99)]
+    assert all([m["item_id"] for m in x] == [1] for x in index.search(stretches))
+    found = index.search([body + " who was it?" + body, "XWho was it?", "who was ita", "un été 9", "été 99", "", body, "who was it"])
+    assert [[(m["item_id"], m["edits"]) for m in x] for x in found] == [[(2, 0), (6, 0)], [], [], [(3, 0)], [], [], [], [(6, 0)]]
+    assert (found[3][0]["start"], found[3][0]["stop"]) == (3, 8)
+    near = "z" * (decontam.CHUNK - 4)
+    assert index.search([near + " été 9 " + near, near + "été 9 " + near]) == [[{"item_id": 3, "start": len(near) + 1, "stop": len(near) + 6, "edits": 0}], []]
+
+
 @pytest.mark.parametrize("group", [4, 20_000])
 def test_simhash_classes_equal_brute_force(spark, empty, group):
     rng = random.Random(6)
