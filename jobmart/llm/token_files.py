@@ -38,7 +38,8 @@ SIZES = np.array([[1 + (c >> 2 * i & 3) for i in range(4)] for c in range(256)],
 _ODD_SPACES = "\x1c\x1d\x1e\x1f\x85\xa0"
 #: ASCII marks, and the tokenizer's pattern for ASCII words in lower case.
 _MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
-_OTHER_MARKS = set(_MARKS) - set(".,")
+#: What may stand beside "." and "," so that each is a piece of its own: no other character that is neither letter, digit nor space.
+_BESIDE = {c for c in map(chr, range(256)) if c.isascii() and c.isalnum() or c > "\x7f" and c.isalpha() or c in " \t\n\v\f\r.,"}
 _PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 #: Characters of the texts that are looked up together.
 TOGETHER = 2_000_000
@@ -166,7 +167,7 @@ class Words:
             kinds.append(plain)
             if plain:
                 x = x.lower()
-                if characters.isdisjoint(_OTHER_MARKS) and not any(map(x.__contains__, ("..", ",,", ".,", ",."))):
+                if characters <= _BESIDE and not any(map(x.__contains__, ("..", ",,", ".,", ",."))):
                     x = x.replace(".", " . ").replace(",", " , ")  # each is a piece of its own
             else:  # the library itself decides on other white space
                 x = x.replace("\n", " ")

@@ -66,6 +66,13 @@ def test_words_of_both_kinds_of_text_stay_apart(monkeypatch):
         assert [x.tolist() for x in got] == [tokenizer.encode(x, add_special_tokens=False).ids for x in group]
 
 
+def test_points_join_marks_beyond_ascii():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    words, tokenizer = token_files.Words(path), Tokenizer.from_file(path)
+    odd = ["dijo «hola».", "30°.", "§.", "x±.5", "5 °, y", "soft\xad. hyphen\xad,", "nul\0. a", "¿qué?, sí.", "ñandú, été. 3,5", "², 1.ª"]
+    assert [x.tolist() for x in words.encode(odd)] == [tokenizer.encode(x, add_special_tokens=False).ids for x in odd]
+
+
 def test_variable_length_coding():
     values = np.array([0, 255, 256, 65535, 65536, 1 << 24, 2**32 - 1], np.uint32)
     for n in range(len(values) + 1):
