@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from jobmart.llm import bpe, decontam, html_text, ngram_trie, quality, repeats, simhash, token_counts, token_files, url_rules
+from jobmart.llm import bpe, decontam, html_text, merkle, ngram_trie, quality, repeats, simhash, token_counts, token_files, url_rules
 from jobmart.llm.common import scratch, table
 
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
@@ -77,8 +77,19 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("doc_id", simhash.hex64("fingerprint").alias("fingerprint"), "component_id")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proof and check of each document; of a third of them a changed text is checked."""
+    docs = table(spark, sf_dir, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    changed = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, merkle.digest(*map(F.col, fields[:4]), lower))
+    tree = merkle.manifest(docs, fields, tree="lang", key="doc_id", claim=changed)
+    digests = [F.lower(F.hex(c)).alias(c) for c in ("leaf", "subroot", "root", "proof_sha256", "folded_root")]
+    return merkle.proofs(tree, siblings=False).select(F.col("id").alias("doc_id"), *digests, "verified")
+
+
 QUERIES = {f.__name__: f for f in (op1_token_files, op2_ngram_trie, op3_substring_dedup, op4_html_text, op5_url_rules, op6_byte_bpe,
-                                   op7_token_counts, op8_quality_rules, op9_decontamination, op10_simhash)}
+                                   op7_token_counts, op8_quality_rules, op9_decontamination, op10_simhash, op11_merkle_manifest)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
 ORACLES = {
@@ -102,4 +113,45 @@ ORACLES = {
         best as (select page_id, arg_max(rh || rp, length(rh || rp)) as rule, arg_max(verdict, length(rh || rp)) as verdict
                  from parts join rules on (host = rh or host like '%.' || rh) and starts_with(path, rp) group by page_id)
         select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from parts left join best using (page_id)""",
+    "op11_merkle_manifest": r"""
+        with recursive
+        crc as (select list_transform(range(256), lambda x: list_reduce(list_concat([x], range(8)),
+                       lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as t),
+        told as (select *, case when text is null then '-' else strlen(text) || ':' || text end as said,
+                        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as lowered,
+                        coalesce(length(doc_id::varchar) || ':' || doc_id, '-')
+                        || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+                        || coalesce(length(n_chars::varchar) || ':' || n_chars, '-') as head,
+                        xor(4294967295, list_reduce(list_concat([4294967295], list_transform(string_split(doc_id::varchar, ''), lambda d: ascii(d)::bigint)),
+                            lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) % 3 = 0 as tampered
+                 from documents, crc),
+        leaves as (select doc_id, lang, sha256(head || said) as leaf,
+                          case when tampered and text is not null then sha256(head || strlen(lowered) || ':' || lowered)
+                               else sha256(head || said) end as claim from told),
+        placed as (select *, row_number() over (partition by lang order by doc_id) - 1 as place, count(*) over (partition by lang) as n from leaves),
+        trees as (select lang, 0 as depth, place as i, leaf as h, n from placed
+                  union all
+                  select lang, depth + 1, i // 8, sha256(string_agg(h, '' order by i)), (max(n) + 7) // 8 from trees where n > 1 group by lang, depth, i // 8),
+        roots as (select lang, h as subroot, row_number() over (order by lang nulls first) - 1 as place, count(*) over () as n from trees where n = 1),
+        top as (select 0 as depth, place as i, subroot as h, n from roots
+                union all
+                select depth + 1, i // 8, sha256(string_agg(h, '' order by i)), (max(n) + 7) // 8 from top where n > 1 group by depth, i // 8),
+        nodes as (select lang, depth, i, n, false as above, h from trees union all select null, depth, i, n, true, h from top),
+        runs as (select *, coalesce(string_agg(h, '') over (w rows between unbounded preceding and 1 preceding), '') as pre,
+                        coalesce(string_agg(h, '') over (w rows between 1 following and unbounded following), '') as post
+                 from nodes where n > 1 window w as (partition by above, lang, depth, i // 8 order by i)),
+        folded as (select doc_id, p.lang, false as above, 0 as depth, p.place as i, claim as h, '' as proof, p.n, r.place as up
+                   from placed p join roots r on p.lang is not distinct from r.lang
+                   union all
+                   select doc_id, f.lang, case when f.n = 1 then true else f.above end,
+                          case when f.n = 1 then 0 else f.depth + 1 end, case when f.n = 1 then up else f.i // 8 end,
+                          case when f.n = 1 then f.h else sha256(pre || f.h || post) end, case when f.n = 1 then proof else proof || pre || post end,
+                          case when f.n = 1 then (select max(n) from roots) else (f.n + 7) // 8 end, up
+                   from folded f left join runs r on f.n > 1 and r.above = f.above and r.depth = f.depth and r.i = f.i
+                                                     and (f.above or r.lang is not distinct from f.lang)
+                   where not (f.above and f.n = 1)),
+        done as (select * from folded where above and n = 1)
+        select d.doc_id, leaf, subroot, (select h from top where n = 1) as root, sha256(proof) as proof_sha256, d.h as folded_root,
+               d.h = (select h from top where n = 1) as verified
+        from done d join leaves l using (doc_id) join roots r on d.lang is not distinct from r.lang""",
 }
