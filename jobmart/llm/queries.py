@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from jobmart.llm import bpe, decontam, html_text, merkle, ngram_trie, quality, repeats, simhash, token_counts, token_files, url_rules
+from jobmart.llm import bpe, decontam, html_text, merkle, ngram_trie, packing, quality, repeats, simhash, token_counts, token_files, url_rules
 from jobmart.llm.common import scratch, table
 
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
@@ -88,8 +88,14 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.proofs(tree, siblings=False).select(F.col("id").alias("doc_id"), *digests, "verified")
 
 
+def op13_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of sequences of at most 2048 tokens."""
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end=1, window=2048)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES = {f.__name__: f for f in (op1_token_files, op2_ngram_trie, op3_substring_dedup, op4_html_text, op5_url_rules, op6_byte_bpe,
-                                   op7_token_counts, op8_quality_rules, op9_decontamination, op10_simhash, op11_merkle_manifest)}
+                                   op7_token_counts, op8_quality_rules, op9_decontamination, op10_simhash, op11_merkle_manifest, op13_lexical_packing)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
 ORACLES = {
