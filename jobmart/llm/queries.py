@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from jobmart.llm import bpe, decontam, html_text, merkle, ngram_trie, packing, quality, repeats, simhash, token_counts, token_files, url_rules
+from jobmart.llm import bpe, decontam, hard_negatives, html_text, merkle, ngram_trie, packing, quality, repeats, simhash, token_counts, token_files, url_rules
 from jobmart.llm.common import scratch, table
 
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
@@ -88,6 +88,14 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.proofs(tree, siblings=False).select(F.col("id").alias("doc_id"), *digests, "verified")
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten negatives of each of five positives; anchors are the ids divisible by 100."""
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.prepare(vectors, "vec_id", label, "embedding", scale=256)
+    return hard_negatives.mine(rows, F.col("id") % 100 == 0, positives=5, negatives=10, low=30, high=90)
+
+
 def op13_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pieces of sequences of at most 2048 tokens."""
     pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end=1, window=2048)
@@ -95,7 +103,7 @@ def op13_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_token_files, op2_ngram_trie, op3_substring_dedup, op4_html_text, op5_url_rules, op6_byte_bpe,
-                                   op7_token_counts, op8_quality_rules, op9_decontamination, op10_simhash, op11_merkle_manifest, op13_lexical_packing)}
+                                   op7_token_counts, op8_quality_rules, op9_decontamination, op10_simhash, op11_merkle_manifest, op12_hard_negatives, op13_lexical_packing)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
 ORACLES = {
@@ -160,4 +168,17 @@ ORACLES = {
         select d.doc_id, leaf, subroot, (select h from top where n = 1) as root, sha256(proof) as proof_sha256, d.h as folded_root,
                d.h = (select h from top where n = 1) as verified
         from done d join leaves l using (doc_id) join roots r on d.lang is not distinct from r.lang""",
+    "op12_hard_negatives": """
+        with kept as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                             list_transform(embedding, lambda x: floor(256 * x::double)) as q
+                      from embeddings where vec_id is not null and label is not null and embedding is not null
+                                            and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        scored as (select a.vec_id as anchor_id, b.vec_id as other, a.label = b.label as same, list_inner_product(a.q, b.q)::bigint as score
+                   from kept a join kept b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+        positives as (select * from scored where same
+                      qualify row_number() over (partition by anchor_id order by score desc, other) <= 5)
+        select p.anchor_id, p.other as positive_id, row_number() over (partition by p.anchor_id, p.other order by n.score desc, n.other)::int as rank,
+               n.other as negative_id, p.score as positive_score, n.score as negative_score
+        from positives p join scored n on p.anchor_id = n.anchor_id and not n.same and 100 * n.score between 30 * p.score and 90 * p.score
+        qualify rank <= 10""",
 }
