@@ -1,7 +1,7 @@
 """Training sequences packed by lexical retrieval: each window holds a seed document and its BM25 neighbours.
 
 One pass turns texts into ids and, per document, its distinct ids (the terms); document frequencies and the mean length come from
-all of them. Documents are then range-partitioned by their weightiest terms, so that documents on the same things
+all of them. Documents are then range-partitioned by their rarest shared terms, so that documents on the same things
 meet in one shard, and a document repeated a million times is still dealt over many. A task cuts its sorted rows
 into shards of bounded size. Each shard is an inverted index of BM25 weights: a window starts with a seed document,
 the index returns its unused neighbours, and they fill the window in order of their score until it is full. The
@@ -114,7 +114,7 @@ def inverse(found: np.ndarray, docs: int) -> np.ndarray:
     return np.log1p((docs - found + 0.5) / (found + 0.5)).astype(np.float32)
 
 
-def weights(terms: np.ndarray, times: np.ndarray, length: int, idf: np.ndarray, mean: float) -> np.ndarray:
+def weights(terms: np.ndarray, times: np.ndarray, length: int | np.ndarray, idf: np.ndarray, mean: float) -> np.ndarray:
     """BM25 weights of a document's terms."""
     return idf[terms] * (times * (K1 + 1) / (times + K1 * (1 - B + B * length / mean))).astype(np.float32)
 
@@ -123,27 +123,28 @@ class Shard:
     """An inverted index over documents: of each term the documents it is in and their weights."""
 
     def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean: float):
-        self.idf = idf
-        terms, doc, weight, self.queries = [], [], [], []
-        for d, ids in enumerate(docs):
-            own, times = terms_of(ids)
-            w = weights(own, times, len(ids), idf, mean)
-            best = own if len(own) <= TERMS else own[np.argpartition(-w, TERMS)[:TERMS]]
-            self.queries.append(best)
-            terms.append(own)
-            doc.append(np.full(len(own), d, np.int32))
-            weight.append(w)
-        terms = np.concatenate(terms)
-        order = np.argsort(terms, kind="stable")
-        self.terms, starts = np.unique(terms[order], return_index=True)
-        self.bounds = np.append(starts, len(terms))
-        self.doc, self.weight = np.concatenate(doc)[order], np.concatenate(weight)[order]
+        rows, times = zip(*map(terms_of, docs), strict=True)
+        sizes = np.fromiter(map(len, rows), np.int64, len(rows))
+        self.ends = np.cumsum(sizes)
+        self.own = np.concatenate(rows)
+        self.own_weight = weights(self.own, np.concatenate(times), np.repeat(np.fromiter(map(len, docs), np.int64, len(docs)), sizes), idf, mean)
+        order = np.argsort(self.own, kind="stable")
+        ordered = self.own[order]
+        starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+        self.terms, self.bounds = ordered[starts], np.append(starts, len(ordered))
+        self.doc, self.weight = np.repeat(np.arange(len(docs), dtype=np.int32), sizes)[order], self.own_weight[order]
         self.unused = np.ones(len(docs), bool)
         self.n = len(docs)
 
+    def query(self, seed: int) -> np.ndarray:
+        """The weightiest terms of a document."""
+        span = slice(self.ends[seed - 1] if seed else 0, self.ends[seed])
+        own, weight = self.own[span], self.own_weight[span]
+        return own if len(own) <= TERMS else own[np.argpartition(-weight, TERMS)[:TERMS]]
+
     def neighbours(self, seed: int) -> np.ndarray:
         """The unused documents nearest to a seed, best first, ties by their place; at most ``NEIGHBOURS``."""
-        at = np.searchsorted(self.terms, self.queries[seed])
+        at = np.searchsorted(self.terms, self.query(seed))
         spans = [slice(self.bounds[i], self.bounds[i + 1]) for i in at.tolist()]
         score = np.bincount(np.concatenate([self.doc[s] for s in spans]), np.concatenate([self.weight[s] for s in spans]), self.n)
         found = np.flatnonzero((score > 0) & self.unused)
@@ -215,23 +216,22 @@ def fill(shard: Shard, ids: list[np.ndarray], names: list, packer: Packer):
         yield
 
 
-def keyed(encoded: DataFrame, idf, found, mean: float, kind: str) -> DataFrame:
-    """Documents with their two weightiest terms among those in at least ``KEYED`` documents (-1: none)."""
-    shared = encoded.sparkSession.sparkContext.broadcast((np.where(found >= KEYED, idf, 0).astype(np.float32), mean))
+def keyed(encoded: DataFrame, idf: np.ndarray, found: np.ndarray, kind: str) -> DataFrame:
+    """Documents with their two rarest terms among those in at least ``KEYED`` documents (-1: none)."""
+    shared = encoded.sparkSession.sparkContext.broadcast(np.where(found >= KEYED, idf, 0).astype(np.float32))
 
     def apply(batches):
-        idf, mean = shared.value
+        idf = shared.value
         for b in batches:
             keys = []
             for x in b.column(1).to_pylist():
                 ids = np.frombuffer(x, kind)
-                terms, times = terms_of(ids)
-                w = weights(terms, times, len(ids), idf, mean)
-                first = int(w.argmax())
-                best = [int(terms[first]) if w[first] > 0 else -1]
-                w[first] = 0
-                second = int(w.argmax())
-                keys.append(best + [int(terms[second]) if w[second] > 0 else -1])
+                w = idf[ids]
+                first = w.argmax()
+                best = [int(ids[first]) if w[first] > 0 else -1]
+                w[ids == ids[first]] = 0
+                second = w.argmax()
+                keys.append(best + [int(ids[second]) if w[second] > 0 else -1])
             yield pa.RecordBatch.from_arrays([*b.columns, *[pa.array([k[i] for k in keys], pa.int32()) for i in (0, 1)]], ["doc_id", "ids", "first", "second"])
 
     return encoded.where("counts is null").select("doc_id", "ids").mapInArrow(apply, "doc_id long, ids binary, first int, second int")
@@ -243,12 +243,12 @@ def pack(df: DataFrame, tokenizer: str, end: int, text: str = "text", doc_id: st
     spark = df.sparkSession
     kind = _id_type(tokenizer, end)
     path = scratch(spark, "packing-ids")
-    encode(df, tokenizer, end, text, doc_id).write.parquet(path)
+    encode(df, tokenizer, end, text, doc_id).write.options(**{"compression": "zstd", "parquet.compression.codec.zstd.level": "1"}).parquet(path)
     encoded = spark.read.parquet(path)
     found, docs, mean = statistics(encoded)
     idf = inverse(found, docs)
     path = scratch(spark, "packing-keys")  # the range shuffle below reads its input twice
-    keyed(encoded, idf, found, mean, kind).write.parquet(path)
+    keyed(encoded, idf, found, kind).write.parquet(path)
     shared = spark.sparkContext.broadcast((idf, mean))  # a number for each id of the vocabulary
     names = ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"]
     kinds = [pa.int64()] * 6 + [pa.binary()]
