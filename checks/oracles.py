@@ -271,6 +271,14 @@ _SKILLS = ", ".join(skill_test(n) for n in sorted({s for v in vocab.SKILLS.value
 SKILL_LIST = f"concat_ws('|', {_SKILLS})"
 ORACLES["skills"] = ADVERTS + f"SELECT job_id, {SKILL_LIST} AS skills FROM adverts"
 ORACLES["skill_alias"] = docs(skill=column(X.ALIASES, 1))
+for _name in ("domains", "skills", "city", "skill_alias"):
+    ORACLES[f"{_name}_by_join"] = ORACLES[_name]
+ORACLES["dictionary_of_words"] = f"""
+  WITH found AS (SELECT doc_id, lang, unnest(regexp_extract_all(lower(text), '[{W}]+')) AS word FROM documents),
+  words AS (SELECT DISTINCT doc_id, lang, word FROM found WHERE length(word) >= 8),
+  shared AS (SELECT DISTINCT a.doc_id, b.lang FROM words a JOIN (SELECT DISTINCT lang, word FROM words) b USING (word))
+  SELECT doc_id, coalesce(langs, '') AS langs FROM documents LEFT JOIN (
+    SELECT doc_id, string_agg(lang, '|' ORDER BY lang) AS langs FROM shared GROUP BY doc_id) USING (doc_id)"""
 
 
 # --- clean, route, enrich ---------------------------------------------------------------------

@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from checks import fixtures as X
+from jobmart import vocab
 from checks.inputs import (detail_pages, list_pages, order_jobs, part_jobs, pick, postings, table)
 from jobmart.functions import fields, labels, prompt as prompts, text
 from jobmart.functions.experience import with_clean_experience, with_rules_experience
 from jobmart.functions.salary import with_clean_salary, with_rules_salary
-from jobmart.functions.skills import canonical_skill
-from jobmart.operators import dedup, enrich, marts, pages, quality
+from jobmart.functions.matching import WORD
+from jobmart.functions.skills import alias_table, canonical_skill
+from jobmart.operators import dedup, dictionary, enrich, marts, pages, quality
 from jobmart.plans import clean as clean_plan, rules
 from jobmart.session import scratch
 from jobmart.sources import bronze, catalog, tables
@@ -320,6 +322,53 @@ def skill_alias(spark, sf):
     return _doc(spark, sf, canonical_skill(pick([r[0] for r in X.ALIASES])).alias("skill"))
 
 
+def _pooled(spark, sf) -> DataFrame:
+    return postings(spark, sf).select("job_id", "location", labels.posting_text().alias("_text"))
+
+
+def _domains_by_join(spark, texts: DataFrame) -> DataFrame:
+    words = dictionary.table(spark, vocab.DOMAINS)
+    return dictionary.labels_by_join(texts, "job_id", "_text", words, vocab.OTHER_DOMAIN)
+
+
+@query
+def domains_by_join(spark, sf):
+    """As ``domains``, the dictionary being a table."""
+    return _domains_by_join(spark, _pooled(spark, sf)).select("job_id", joined("labels").alias("domain"))
+
+
+@query
+def skills_by_join(spark, sf):
+    texts = _pooled(spark, sf)
+    names = dictionary.table(spark, vocab.SKILLS)
+    found = dictionary.skills_by_join(texts, "job_id", "_text", names, _domains_by_join(spark, texts))
+    return found.select("job_id", joined("skills").alias("skills"))
+
+
+@query
+def city_by_join(spark, sf):
+    places = _doc(spark, sf, text.strip(pick([r[0] for r in X.CITY])).alias("place"))
+    found = dictionary.first_by_join(places, "job_id", "place", dictionary.cities(spark))
+    return found.select("job_id", F.coalesce("label", F.lit(vocab.OTHER_CITY)).alias("city"))
+
+
+@query
+def skill_alias_by_join(spark, sf):
+    aliases = spark.createDataFrame(list(alias_table().items()), "alias string, name string")
+    raw = _doc(spark, sf, pick([r[0] for r in X.ALIASES]).alias("raw"))
+    return dictionary.canonical_by_join(raw, "raw", aliases).select("job_id", F.col("canonical").alias("skill"))
+
+
+@query
+def dictionary_of_words(spark, sf):
+    """A dictionary that grows with the table: every long word of the documents, by language."""
+    docs = table(spark, sf, "documents")
+    word = F.explode(F.regexp_extract_all(F.lower("text"), F.lit(f"[{WORD}]{{8,}}"), F.lit(0)))
+    words = docs.select(F.col("lang").alias("label"), word.alias("keyword")).distinct()
+    found = dictionary.labels_by_join(docs, "doc_id", "text", words)
+    return found.select("doc_id", joined("labels").alias("langs"))
+
+
 @query
 def domain_distribution(spark, sf):
     found = rules.tagged(postings(spark, sf))

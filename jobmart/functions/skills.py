@@ -35,13 +35,14 @@ def canonical_skill(c: Column, table: Mapping[str, str] | None = None) -> Column
     An "apache" prefix and a "js" suffix are dropped from the few names that are written so.
     """
     names = constant(dict(table or alias_table()), "map<string,string>")
-    key = F.regexp_replace(F.lower(c), rf"{SPACE}+|[.\-/]+", "")
+    return F.coalesce(*[F.try_element_at(names, k) for k in squashed_keys(c)], strip(c))
 
-    def known(k: Column) -> Column:
-        return F.try_element_at(names, k)
 
-    return F.coalesce(known(key), known(F.regexp_replace(key, f"^apache(?=({_APACHE})$)", "")),
-                      known(F.regexp_replace(key, f"(?<=^({_JS}))js$", "")), strip(c))
+def squashed_keys(c: Column) -> list[Column]:
+    """The squashed spellings under which a skill is looked up, in that order."""
+    key = F.regexp_replace(F.lower(c), rf"{SPACE}+|[.\-/]+", "")
+    return [key, F.regexp_replace(key, f"^apache(?=({_APACHE})$)", ""),
+            F.regexp_replace(key, f"(?<=^({_JS}))js$", "")]
 
 
 def canonical_skills(c: Column, table: Mapping[str, str] | None = None) -> Column:
