@@ -51,6 +51,35 @@ def postings(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def varied(spark: SparkSession, sf: str) -> DataFrame:
+    """One advert per document whose texts are in the description, the requirements, both, short or
+    missing, by ``doc_id % 7``; some have no id. All other fields are computed from the document."""
+    k, whole = F.col("doc_id") % 7, escaped("text")
+    lang, source = F.col("lang"), F.col("source")
+    job_id = F.when(F.col("doc_id") % 14 != 6, F.col("doc_id").cast("string"))
+    description = (F.when(k.isin(0, 4, 6), F.concat(F.lit("<div>"), whole, F.lit("</div>")))
+                   .when(k == 2, "").when(k == 3, F.concat(F.lit("<p>"), lang, F.lit("</p>")))
+                   .when(k == 5, F.repeat(lang, F.lit(25))))
+    requirements = (F.when(k.isin(1, 6), F.concat(F.lit("<ul><li>"), whole, F.lit("</li></ul>")))
+                    .when(k == 0, "").when(k == 3, F.concat(F.lit("<p>"), source, F.lit("</p>")))
+                    .when(k == 4, F.concat(F.lit("<p>"), F.repeat(lang, F.lit(26)), F.lit("</p>"))))
+    n = F.col("n_chars") % 100 + 1
+    day = F.date_add(F.lit("2026-01-01").cast("date"), (F.col("doc_id") % 365).cast("int"))
+    return table(spark, sf, "documents").select(
+        job_id.alias("job_id"), F.concat(F.lit("Senior "), lang, F.lit(" "), source).alias("title"),
+        F.concat(F.lit("  "), source, F.lit(" \t "), lang).alias("company"),
+        F.concat(F.lit("https://host/"), "doc_id", F.lit("?x="), lang).alias("url"),
+        F.concat(n, F.lit(" - "), n + 5, F.lit(" triệu")).alias("salary"),
+        F.concat(source, F.lit(" ")).alias("location"),
+        F.when(F.col("doc_id") % 3 == 0, F.concat(n % 9, F.lit(" năm"))).alias("experience"),
+        F.array(lang, source).alias("tags"), F.array(F.lit("Nam"), lang).alias("tags_requirement"),
+        F.when(F.col("doc_id") % 4 == 1, F.array(F.lit("Sales")))
+        .when(F.col("doc_id") % 4 == 2, F.array(F.lit("Backend Developer"))).alias("tags_specialization"),
+        description.alias("mo_ta_cong_viec_html"), requirements.alias("yeu_cau_ung_vien_html"),
+        F.concat(F.lit("<ul><li>"), lang, F.lit("</li></ul>")).alias("quyen_loi_html"),
+        F.date_format(day, "d/M/yyyy").alias("deadline"))
+
+
 def part_jobs(spark: SparkSession, sf: str) -> DataFrame:
     """Parts in the role of enriched adverts."""
     years = (F.col("p_size") % 10 - 1).cast("float")

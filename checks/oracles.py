@@ -324,6 +324,44 @@ ORACLES["reply_decode"] = docs(
     is_it_job=column(X.REPLIES, 4, "BOOLEAN"), exp_max=column(X.REPLIES, 5, "DOUBLE"),
     locations=column(X.REPLIES, 6), max_salary_verified=column(X.REPLIES, 7, "INTEGER"))
 
+# Adverts of ``inputs.varied``: which texts they have, computed again.
+_TIDY = chain("text", (r"[ \t]*\n[ \t]*", "\n"), (r"\n{3,}", "\n\n"), (r"^\s+|\s+$", ""))
+VARIED = f"""
+  WITH raw AS (SELECT *, doc_id % 7 AS k, {_TIDY} AS tidy, n_chars % 100 + 1 AS n FROM documents),
+  varied AS (SELECT *, CAST(doc_id AS VARCHAR) AS job_id,
+    CASE WHEN k IN (0, 4, 6) THEN tidy WHEN k = 3 THEN lang WHEN k = 5 THEN repeat(lang, 25) ELSE '' END AS mo_ta_text,
+    CASE WHEN k IN (1, 6) THEN trim('• ' || tidy) WHEN k = 3 THEN source WHEN k = 4 THEN repeat(lang, 26) ELSE '' END AS yeu_cau_text,
+    CASE doc_id % 4 WHEN 1 THEN 'false' WHEN 2 THEN 'true' ELSE 'none' END AS verdict
+    FROM raw WHERE doc_id % 14 <> 6),
+  stage AS (SELECT *, length(mo_ta_text) > 50 OR length(yeu_cau_text) > 50 AS has_content FROM varied)
+"""
+ORACLES["clean_varied"] = VARIED + """
+  SELECT job_id, 'Senior ' || lang || ' ' || source AS title, '  ' || source || ' ' || chr(9) || ' ' || lang AS company,
+    'https://host/' || doc_id || '?x=' || lang AS url, lang || '|' || source AS tags,
+    CASE doc_id % 4 WHEN 1 THEN 'Sales' WHEN 2 THEN 'Backend Developer' END AS tags_specialization,
+    mo_ta_text, yeu_cau_text, '• ' || lang AS quyen_loi_text, has_content, n || ' - ' || (n + 5) || ' triệu' AS salary_raw,
+    CAST(n AS INTEGER) AS min_salary, CAST(n + 5 AS INTEGER) AS max_salary, 'VND' AS salary_currency, 'range' AS salary_type,
+    CAST(CASE WHEN doc_id % 3 = 0 THEN n % 9 ELSE -1 END AS DOUBLE) AS exp_min,
+    CASE WHEN doc_id % 3 = 0 THEN 'exact' ELSE 'unknown' END AS exp_type,
+    CAST(CAST('2026-01-01' AS DATE) + CAST(doc_id % 365 AS INTEGER) AS VARCHAR) AS deadline_date, source AS location_raw,
+    'unknown' AS edu_level, 'Nam' AS gender, -1 AS age_min, -1 AS age_max,
+    '' AS req_languages, verdict AS is_it_preliminary FROM stage"""
+ORACLES["prompt_varied"] = VARIED + """
+  SELECT job_id, 'Senior ' || lang || ' ' || source || '|' || verdict || chr(10) || mo_ta_text || chr(10) || yeu_cau_text
+         || chr(10) || '• ' || lang AS prompt FROM stage"""
+_VARIED_TESTS = {
+    "no_content": "NOT has_content", "salary_unknown": "FALSE", "experience_unknown": "doc_id % 3 <> 0",
+    "deadline_missing": "FALSE", "it_true": "verdict = 'true'", "it_false": "verdict = 'false'",
+    "it_none": "verdict = 'none'", "to_enrich": "has_content AND verdict <> 'false'"}
+ORACLES["route_all"] = VARIED + " UNION ALL ".join(
+    f"SELECT {q(m)} AS metric, count(*) FILTER ({t}) AS value FROM stage" for m, t in ({"total": "TRUE"} | _VARIED_TESTS).items()) + """
+  UNION ALL SELECT 'null_keys', count(*) FROM documents WHERE doc_id % 14 = 6
+  UNION ALL SELECT 'route ' || CASE WHEN NOT has_content THEN 'no_content' WHEN verdict = 'false' THEN 'non_it' ELSE 'enrich' END,
+                   count(*) FROM stage GROUP BY 1"""
+ORACLES["quality_varied"] = VARIED + " UNION ALL ".join(
+    f"SELECT {q(m)} AS metric, count(*) FILTER ({t}) AS value, CAST((2000 * count(*) FILTER ({t}) + count(*)) // (2 * count(*)) AS BIGINT) "
+    f"AS per_mille, TRUE AS unlimited, FALSE AS breached FROM stage" for m, t in ({"total": "TRUE"} | _VARIED_TESTS).items())
+
 _TITLE_LEVEL = at(["Senior" if t and "Senior" in t else "Manager" if t and "Manager" in t else None
                    for t in TITLES])
 _LEVEL = f"coalesce({_TITLE_LEVEL}, {band(_YEARS)})"
@@ -352,6 +390,10 @@ ORACLES["enrich_incremental"] = ORACLES["enrich_flow"]
 ORACLES["enrich_incremental_copies"] = (
     f"SELECT job_id, CAST(1 AS BIGINT) AS answers FROM ({docs(domain=_DOMAIN, asked=_ASKED)}) "
     f"WHERE asked")
+ORACLES["enrich_outage"] = " UNION ALL ".join(
+    f"SELECT job_id, CAST(1 AS BIGINT) AS answers, '{way}' AS way FROM ({docs(domain=_DOMAIN, asked=_ASKED)}) WHERE asked"
+    for way in ("job", "stream"))
+ORACLES["enrich_replan"] = ORACLES["enrich_flow"]
 _FINAL = ("WITH jobs AS (SELECT * FROM (" + docs(
     domain=_DOMAIN, java=_JAVA, is_it=_IS_IT, level=_LEVEL,
     lo=column(X.SALARY_CLEAN, 1, "INTEGER"), hi=column(X.SALARY_CLEAN, 2, "INTEGER"),

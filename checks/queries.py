@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from checks import fixtures as X
 from jobmart import vocab
-from checks.inputs import (detail_pages, list_pages, order_jobs, part_jobs, pick, postings, table)
+from checks.inputs import (detail_pages, list_pages, order_jobs, part_jobs, pick, postings, table,
+                           varied)
 from jobmart.functions import fields, labels, prompt as prompts, text
 from jobmart.functions.experience import with_clean_experience, with_rules_experience
 from jobmart.functions.salary import with_clean_salary, with_rules_salary
@@ -426,6 +427,39 @@ def reply_decode(spark, sf):
         joined("r.locations").alias("locations"), "r.max_salary_verified")
 
 
+@query
+def clean_varied(spark, sf):
+    """All columns of the clean stage."""
+    stage = clean_plan.clean(varied(spark, sf))
+    lists = {c: joined(c) for c in ("tags", "tags_specialization", "req_languages")}
+    doubles = {"exp_min": F.col("exp_min").cast("double"), "deadline_date": F.col("deadline_date").cast("string")}
+    return stage.withColumns(lists | doubles)
+
+
+@query
+def prompt_varied(spark, sf):
+    template = "{title}|{is_it_preliminary}\n{description}\n{requirements}\n{benefits}"
+    return clean_plan.clean(varied(spark, sf)).select("job_id", prompts.prompt(template).alias("prompt"))
+
+
+@query
+def route_all(spark, sf):
+    """The counters of the writing job, and the rows of each route as stored."""
+    path = f"{scratch(spark, 'routes')}/stage"
+    counted = enrich.route_all(varied(spark, sf), path)
+    stored = spark.read.parquet(path).groupBy(F.concat(F.lit("route "), "route").alias("metric")).agg(
+        F.count(F.lit(1)).alias("value"))
+    return spark.createDataFrame(list(counted.items()), "metric string, value long").unionByName(stored)
+
+
+@query
+def quality_varied(spark, sf):
+    """Counters and their shares in thousandths."""
+    report = quality.clean_report(clean_plan.clean(varied(spark, sf)))
+    return report.select("metric", "value", F.floor(F.col("ratio") * 1000 + 0.5).alias("per_mille"),
+                         F.col("threshold").isNull().alias("unlimited"), "breached")
+
+
 def _scorer():
     """A deterministic stand-in for a model: reads the title line of the prompt."""
     def answer(text: str, timeout: float) -> str:
@@ -488,6 +522,37 @@ def enrich_incremental_copies(spark, sf):
     return enrich.answered(ledger).groupBy("job_id").agg(F.count(F.lit(1)).alias("answers"))
 
 
+def _down(text: str, timeout: float) -> str:
+    raise ConnectionError("no model")
+
+
+@query
+def enrich_outage(spark, sf):
+    """The model is down at first; answers per advert through one job and through the stream."""
+    base = scratch(spark, "outage")
+    tables.overwrite(clean_plan.clean(postings(spark, sf)), f"{base}/stage")
+    enrich.plan_keyed(enrich.to_enrich(spark.read.parquet(f"{base}/stage")), f"{base}/planned", 4)
+    for scorer in (_down, _scorer(), _scorer()):
+        enrich.run_pending(spark, f"{base}/planned", f"{base}/keyed", scorer, buckets=4)
+        ingest.enrich_new(spark, f"{base}/stage", f"{base}/ledger", f"{base}/checkpoint", scorer)
+    ledgers = {"job": enrich.read_ledger(spark, f"{base}/keyed"), "stream": spark.read.parquet(f"{base}/ledger")}
+    one, other = [enrich.answered(x).groupBy("job_id").agg(F.count(F.lit(1)).alias("answers")).withColumn("way", F.lit(way))
+                  for way, x in ledgers.items()]
+    return one.unionByName(other)
+
+
+@query
+def enrich_replan(spark, sf):
+    """Planned again with other bucket counts, and adverts repeated: the final table has one row per key."""
+    base = scratch(spark, "replan")
+    tables.overwrite(clean_plan.clean(postings(spark, sf)), f"{base}/stage")
+    todo = enrich.to_enrich(spark.read.parquet(f"{base}/stage"))
+    for n, rows in ((3, todo.filter("job_id % 2 = 0")), (5, todo), (3, todo.unionByName(todo))):
+        enrich.plan_keyed(rows, f"{base}/planned-{n}-{rows is todo}", n)
+        enrich.run_pending(spark, f"{base}/planned-{n}-{rows is todo}", f"{base}/ledger", _scorer(), buckets=n, rows_per_task=200)
+    return _final_view(enrich.final_table(enrich.read_ledger(spark, f"{base}/ledger"), as_of()))
+
+
 def _enriched(spark, sf) -> DataFrame:
     """The stored final table of adverts with answers of the stand-in model."""
     base = scratch(spark, "enriched")

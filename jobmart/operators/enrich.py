@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from jobmart import vocab
 from jobmart.functions.fields import it_decision, provenance
@@ -17,6 +17,10 @@ from jobmart.functions.labels import mart_place, skills, title_level, with_domai
 from jobmart.functions.matching import all_labels
 from jobmart.functions.prompt import decode_reply, prompt
 from jobmart.functions.skills import canonical_skills
+from jobmart.operators.dedup import first_per_key
+from jobmart.operators.quality import clean_tests, counters
+from jobmart.plans.clean import clean
+from jobmart.sources import keyed
 from jobmart.sources.tables import append, read_or_empty
 
 # prompt text, timeout in seconds -> reply text. Raises TimeoutError when the model is too slow.
@@ -34,6 +38,21 @@ def route(clean: DataFrame) -> DataFrame:
         .when(verdict != "false", "enrich"))
 
 
+def route_all(postings: DataFrame, path: str) -> dict[str, int]:
+    """Clean all adverts and write them to one table partitioned by ``route``, in one pass.
+
+    Nothing is lost: adverts without content and those of other trades are partitions like the
+    adverts to be enriched. Returns the counters of ``quality.clean_report`` and ``null_keys``, the
+    raw adverts without a ``job_id``; the writing job itself has counted them.
+    """
+    raw, typed = Observation(), Observation()
+    keyless = F.count_if(F.col("job_id").isNull()).alias("null_keys")
+    rows = clean(postings.observe(raw, keyless)).observe(typed, *counters(clean_tests()))
+    (route(rows).write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy("route").parquet(path))
+    return typed.get | raw.get
+
+
 def to_enrich(clean: DataFrame) -> DataFrame:
     """Adverts worth a model call.
 
@@ -175,6 +194,53 @@ def run_batches(spark: SparkSession, planned: str, ledger: str, scorer: Scorer,
         append(run(pending(todo, done)), ledger, partition_by=["_batch_id"])
 
 
+def plan_keyed(todo: DataFrame, path: str, buckets: int = keyed.BUCKETS) -> None:
+    """Add ``todo`` to the planned table at ``path``, one row per key, bucketed by key."""
+    spark = todo.sparkSession
+    name = keyed.table(spark, path, todo.schema, "job_id", buckets)
+    n = keyed.buckets(spark, path) or buckets
+    keyed.append(keyed.gather(first_per_key(todo, "job_id", []), "job_id", n), name)
+
+
+def run_pending(spark: SparkSession, planned: str, ledger: str, scorer: Scorer,
+                buckets: int = keyed.BUCKETS, rows_per_task: int = 5000, **options) -> None:
+    """Enrich all planned adverts without an answer, in one job.
+
+    ``planned`` and ``ledger`` are bucketed tables; with equal bucket counts the adverts still
+    pending are found without a shuffle, else only ``planned`` is dealt anew. The ledger keeps the
+    bucket count it was made with. Each task asks for at most about ``rows_per_task`` adverts and its
+    answers are stored when it ends, so a job that is stopped loses its unfinished tasks only and
+    the next run goes on. A key is asked once per run; rows the model failed on are asked again by the next.
+    """
+    done_schema = spark.read.parquet(f"{planned}/*").schema
+    todo = spark.table(keyed.table(spark, planned, done_schema, "job_id", buckets))
+    run = enricher(scorer, **options)
+    name = keyed.table(spark, ledger, run(todo).schema, "job_id", buckets)
+    n = keyed.buckets(spark, ledger) or buckets
+    left = pending(todo, spark.table(name))
+    waiting = left.select("job_id").count()
+    if waiting:
+        tasks = -(-waiting // rows_per_task)
+        once = left if keyed.buckets(spark, planned) == n and tasks <= n else keyed.gather(left, "job_id", n, tasks)
+        keyed.append(run(once), name)
+
+
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a bucketed ledger."""
+    schema = spark.read.parquet(f"{path}/*").schema
+    return spark.table(keyed.table(spark, path, schema, "job_id"))
+
+
+def ask_again(spark: SparkSession, ledger: str, scorer: Scorer, columns: list[str],
+              partitions: int | None = None, **options) -> None:
+    """Ask once more for the rows of a plain ledger the model has failed on; ``columns`` are those
+    of the clean stage, which the ledger still has."""
+    rows = read_or_empty(spark, ledger, LEDGER)
+    if set(columns) <= set(rows.columns):
+        left = settled(rows).filter(~F.col("answered")).select(*columns)
+        append(enricher(scorer, partitions, **options)(left), ledger)
+
+
 def final_table(ledger: DataFrame, as_of: Column | None = None, source: str = "jobs") -> DataFrame:
     """IT adverts of the ledger, one row each, with ingestion date and source tag."""
     day = F.current_date() if as_of is None else as_of

@@ -29,10 +29,10 @@ def _report(df: DataFrame, tests: Mapping[str, Column],
     return counts.select(F.inline(F.array(*rows)))
 
 
-def clean_report(clean: DataFrame) -> DataFrame:
+def clean_tests() -> dict[str, Column]:
     """Gaps of the clean stage and the preliminary verdicts."""
     verdict = F.col("is_it_preliminary")
-    return _report(clean, {
+    return {
         "no_content": ~F.col("has_content"),
         "salary_unknown": F.col("min_salary") == -1,
         "experience_unknown": F.col("exp_min") == -1,
@@ -41,7 +41,17 @@ def clean_report(clean: DataFrame) -> DataFrame:
         "it_false": verdict == "false",
         "it_none": verdict == "none",
         "to_enrich": F.col("has_content") & (verdict != "false"),
-    })
+    }
+
+
+def clean_report(clean: DataFrame) -> DataFrame:
+    """The report of ``clean_tests``."""
+    return _report(clean, clean_tests())
+
+
+def counters(tests: Mapping[str, Column]) -> list[Column]:
+    """The same counts as metrics for ``DataFrame.observe``, which a job takes along as it writes."""
+    return [F.count(F.lit(1)).alias("total"), *[F.count_if(t).alias(n) for n, t in tests.items()]]
 
 
 def final_report(final: DataFrame) -> DataFrame:

@@ -2,23 +2,24 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from jobmart import schemas
+from jobmart.sources.files import children
 
 # --- fixed value: name of a run directory, date_time -----------------------------------------
-RUN_ID = r"/([0-9]{8}_[0-9]{6})/"
+RUN_ID = r"[0-9]{8}_[0-9]{6}"
 
 
 def latest_run(spark: SparkSession, base: str) -> str | None:
     """Newest run directory under ``base``; files lying beside the runs are not runs.
 
-    Only file names are read, never contents, and one value reaches the driver.
+    One level is listed by the store itself, whatever number of files the runs hold.
     """
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(base)
-             .select("path"))
-    run = files.agg(F.max(F.regexp_extract("path", RUN_ID, 1)).alias("run")).first()["run"]
-    return f"{base}/{run}" if run else None
+    runs = [c for c in children(spark, base, directories=True) if re.fullmatch(RUN_ID, c)]
+    return f"{base}/{max(runs)}" if runs else None
 
 
 def read_run(spark: SparkSession, path: str) -> DataFrame:

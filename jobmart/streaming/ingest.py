@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from jobmart import schemas
 from jobmart.operators.dedup import first_per_key
-from jobmart.operators.enrich import LEDGER, Scorer, enricher, pending, to_enrich
+from jobmart.operators.enrich import LEDGER, Scorer, ask_again, enricher, pending, to_enrich
 from jobmart.sources.bronze import decode
 from jobmart.sources.tables import append, read_or_empty
 
@@ -82,13 +82,13 @@ def enrich_new(spark: SparkSession, stage: str, ledger: str, checkpoint: str, sc
     The checkpoint remembers finished files. Every step takes one row per key and leaves out the
     keys that the ledger has an answer for by then, so neither copies in several files nor a step
     that is run again call the model twice. Of the ledger only key and flag are read. Rows the
-    model failed on stand in it with ``answered`` false; their files are not read again, so ask
-    for them with ``run_batches`` over the stage.
+    model failed on stand in it with ``answered`` false; every start asks for them again first.
     """
     schema = spark.read.parquet(stage).schema
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
               .parquet(stage))
     score = enricher(scorer, partitions, **options)
+    ask_again(spark, ledger, scorer, schema.names, partitions, **options)
 
     def step(rows: DataFrame, number: int) -> None:
         done = read_or_empty(rows.sparkSession, ledger, LEDGER)
