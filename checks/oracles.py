@@ -81,6 +81,16 @@ SKILL_MART = f"""
   FROM (SELECT hi, unnest(words) AS skill_name FROM {PART})
   WHERE skill_name <> '' AND length(skill_name) <= 40 GROUP BY skill_name"""
 ORACLES["mart_skill_demand"] = SKILL_MART
+_LISTED = """(SELECT CAST(floor(p_retailprice) AS BIGINT) AS hi, unnest([string_split(p_name, ' ')[1], p_name,
+              p_name || ' ' || p_type || ' ' || p_brand, '', NULL]) AS skill_name FROM part)"""
+ORACLES["mart_skill_long"] = f"""
+  SELECT skill_name, count(*) AS job_count, {share('count(*)', '(SELECT count(*) FROM part)')} AS percentage,
+         {avg1('hi', 'hi > 0')} AS avg_salary, '{AS_OF}' AS updated_date
+  FROM {_LISTED} WHERE skill_name <> '' AND length(skill_name) <= 40 GROUP BY skill_name"""
+ORACLES["mart_skill_losses"] = f"""
+  SELECT 'listed' AS metric, count(*) AS value FROM {_LISTED}
+  UNION ALL SELECT 'blank', count(*) FROM {_LISTED} WHERE coalesce(skill_name, '') = ''
+  UNION ALL SELECT 'too_long', count(*) FROM {_LISTED} WHERE length(skill_name) > 40"""
 ORACLES["mart_skill_sorted"] = f"SELECT skill_name, job_count FROM ({SKILL_MART}) ORDER BY 1"
 ORACLES["mart_skill_top10"] = f"""
   SELECT skill_name, job_count FROM ({SKILL_MART}) ORDER BY job_count DESC, skill_name LIMIT 10"""
@@ -118,6 +128,13 @@ ORACLES["mart_location_trend"] = f"""
                     {share('count(*)', '(SELECT count(*) FROM jobs)')} AS percentage,
                     {avg1('hi', 'hi > 0')} AS avg_salary FROM placed GROUP BY city)
   SELECT totals.*, top_skills, '{AS_OF}' AS updated_date FROM totals LEFT JOIN top USING (city)"""
+ORACLES["mart_city_skills"] = f"""
+  WITH pairs AS (
+    SELECT {at(BUCKETS, by='n_nationkey')} AS city, unnest(string_split(o_orderpriority, '-')) AS skill
+    FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey),
+  ranked AS (SELECT city, skill, count(*) AS cnt, CAST(rank() OVER (PARTITION BY city ORDER BY count(*) DESC) AS INTEGER) AS rnk
+             FROM pairs WHERE city <> '' AND length(skill) <= 40 GROUP BY 1, 2)
+  SELECT * FROM ranked WHERE rnk <= 5"""
 _PLACED = [r for r in X.CITY if r[2]]
 ORACLES["location_bucket"] = docs(city=column(_PLACED, 2))
 
@@ -433,6 +450,12 @@ ORACLES["dedup_batch"] = """
   WHERE rn = 1"""
 ORACLES["dedup_stream"] = """
   SELECT CAST(event_id AS VARCHAR) AS job_id, event_type AS title FROM events"""
+ORACLES["dedup_within"] = "SELECT event_id, event_type FROM events"
+ORACLES["postings_read"] = """
+  SELECT CASE WHEN doc_id % 14 <> 6 THEN CAST(doc_id AS VARCHAR) END AS job_id, 'Senior ' || lang || ' ' || source AS title,
+         lang || '|' || source AS tags, CAST(CASE WHEN doc_id % 7 IN (0, 4, 6) THEN 11 + length(replace(replace(replace(
+         text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')) WHEN doc_id % 7 = 2 THEN 0 WHEN doc_id % 7 = 3 THEN 7 + length(lang)
+         WHEN doc_id % 7 = 5 THEN 25 * length(lang) END AS INTEGER) AS chars, CAST(NULL AS VARCHAR) AS others FROM documents"""
 _URL = "'https://host/viec-lam/' || doc_id || '.html'"
 ORACLES["stream_ingest"] = (docs(title=at(TITLES), url=_URL)
                             + " UNION ALL SELECT '(none)', NULL, NULL")
@@ -524,3 +547,6 @@ ORACLES["partition_overwrite"] = """
 ORACLES["table_count"] = "SELECT count(*) AS total_jobs FROM events"
 ORACLES["table_partitions"] = """
   SELECT DISTINCT 'ingestion_date=' || CAST(CAST(ts AS DATE) AS VARCHAR) AS partition FROM events"""
+ORACLES["table_partitions_added"] = """
+  SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS ingestion_date, count(*) AS cnt FROM events
+  WHERE day(CAST(ts AS DATE)) <= 15 GROUP BY 1"""

@@ -55,6 +55,31 @@ def mart_skill_demand(spark, sf):
     return _dated(marts.skill_demand(part_jobs(spark, sf), as_of()))
 
 
+def _long_skills(spark, sf) -> DataFrame:
+    """Skills of one to several words of a part's name, blank and missing ones among them."""
+    words = F.split("p_name", " ")
+    listed = F.array(F.get(words, F.lit(0)), F.col("p_name"), F.concat_ws(" ", "p_name", "p_type", "p_brand"), F.lit(""), F.lit(None))
+    return table(spark, sf, "part").select(F.col("p_partkey").alias("job_id"), listed.alias("technical_skills"),
+                                           F.floor("p_retailprice").cast("int").alias("max_salary"))
+
+
+@query
+def mart_skill_long(spark, sf):
+    """Skills above 40 characters stay out."""
+    return _dated(marts.skill_demand(_long_skills(spark, sf), as_of()))
+
+
+@query
+def mart_skill_losses(spark, sf):
+    return marts.skill_losses(_long_skills(spark, sf))
+
+
+@query
+def mart_city_skills(spark, sf):
+    """Leading skills per city as rows."""
+    return marts.top_skills_per_city(order_jobs(spark, sf))
+
+
 @query
 def mart_skill_top10(spark, sf):
     return marts.top_skills(marts.skill_demand(part_jobs(spark, sf), as_of()))
@@ -616,6 +641,19 @@ def dedup_stream(spark, sf):
     return spark.read.parquet(f"{base}/out").select("job_id", "title")
 
 
+@query
+def dedup_within(spark, sf):
+    """All events, then copies of all of them a start later; state is kept for an hour of event time."""
+    base = scratch(spark, "within")
+    events = table(spark, sf, "events").select("event_id", "event_type", F.col("ts").cast("timestamp"))
+    for _ in range(2):
+        tables.append(events, f"{base}/in")
+        stream = spark.readStream.schema(events.schema).parquet(f"{base}/in")
+        distinct = ingest.distinct_within(stream, "ts", "1 hour", "event_id")
+        ingest.to_parquet(distinct, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("event_id", "event_type")
+
+
 @query
 def stream_ingest(spark, sf):
     """Adverts as messages with a replayed part and an unreadable message per document."""
@@ -748,6 +786,32 @@ def table_partitions(spark, sf):
     return catalog.partitions(spark, _registered(spark, sf), "silver")
 
 
+@query
+def table_partitions_added(spark, sf):
+    """The first half of each month is made visible as it is written, nothing else."""
+    base = scratch(spark, "catalog")
+    database = "jobs_" + base.rsplit("-", 1)[-1].lower()
+    days = _event_days(spark, sf)
+    early = F.dayofmonth("ingestion_date") <= 15
+    tables.overwrite_partitions(days.filter(~early), f"{base}/final", ["ingestion_date"], rebalance=True)
+    catalog.create_database(spark, database, base)
+    catalog.register(spark, database, "silver", f"{base}/final", ["ingestion_date"], find=False)
+    tables.overwrite_partitions(days.filter(early), f"{base}/final", ["ingestion_date"], rebalance=True)
+    catalog.add_partitions(spark, database, "silver", days.filter(early), ["ingestion_date"])
+    return quality.distribution(spark.table(f"{database}.silver").select(F.col("ingestion_date").cast("string")), "ingestion_date")
+
+
+@query
+def postings_read(spark, sf):
+    """Adverts stored with four columns only; the declared others read as NULL."""
+    path = f"{scratch(spark, 'read')}/unique"
+    tables.overwrite(varied(spark, sf).select("job_id", "title", "tags", "mo_ta_cong_viec_html"), path)
+    back = tables.read_postings(spark, path)
+    absent = [c for c in back.columns if c not in ("job_id", "title", "tags", "mo_ta_cong_viec_html")]
+    return back.select("job_id", "title", joined("tags").alias("tags"), F.length("mo_ta_cong_viec_html").alias("chars"),
+                       F.coalesce(*[F.col(c).cast("string") for c in absent]).alias("others"))
+
+
 # --- whole flows ------------------------------------------------------------------------------
 
 @query

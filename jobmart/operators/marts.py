@@ -9,11 +9,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from jobmart import vocab
 from jobmart.functions.labels import mart_city
 
 #: Default bound on a skill's characters; longer ones are sentences. None keeps all.
 MAX_SKILL_LENGTH = 40
 TOP_SKILLS = 5
+#: Tied skills that ``location_trend`` names in one text at most.
+NAMED_SKILLS = 1000
 
 
 def _day(as_of: Column | None) -> Column:
@@ -32,7 +35,7 @@ def _share(count: str, df: DataFrame) -> Column:
     return F.round(F.try_divide(F.col(count), total) * 100, 2)
 
 
-def _short(skill: str, longest: int | None) -> Column:
+def _short(skill: str | Column, longest: int | None) -> Column:
     return F.lit(True) if longest is None else F.length(skill) <= longest
 
 
@@ -49,6 +52,17 @@ def skill_demand(jobs: DataFrame, as_of: Column | None = None,
         .orderBy(F.desc("job_count"), "skill_name"))
 
 
+def skill_losses(jobs: DataFrame, longest: int | None = MAX_SKILL_LENGTH) -> DataFrame:
+    """``metric, value``: listed skills, and those that ``skill_demand`` leaves out by reason."""
+    skill = F.col("skill_name")
+    blank = F.coalesce(skill, F.lit("")) == ""
+    counts = jobs.select(F.explode("technical_skills").alias("skill_name")).agg(
+        F.count(F.lit(1)).alias("listed"), F.count_if(blank).alias("blank"),
+        F.count_if(~blank & ~_short(skill, longest)).alias("too_long"))
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("metric"), F.col(c).alias("value")) for c in counts.columns])))
+
+
 def top_skills(mart: DataFrame, n: int = 10) -> DataFrame:
     """Most demanded skills."""
     return (mart.select("skill_name", "job_count")
@@ -73,39 +87,66 @@ def salary_benchmark(jobs: DataFrame, as_of: Column | None = None) -> DataFrame:
         .orderBy("avg_salary", "job_level"))
 
 
-def _by_city(jobs: DataFrame) -> DataFrame:
-    placed = jobs.select("job_id", "max_salary", "technical_skills",
-                         F.explode("locations").alias("city_raw"))
-    return placed.filter(F.col("city_raw") != "").withColumn("city", mart_city(F.col("city_raw")))
+_ALL, _CITY, _SKILL = 0, 1, 2
 
 
-def top_skills_per_city(jobs: DataFrame, n: int = TOP_SKILLS,
-                        longest: int | None = MAX_SKILL_LENGTH) -> DataFrame:
-    """``city, top_skills``: the skills ranked 1..n by adverts, ties included.
+def _leading(jobs: DataFrame, n: int, longest: int | None) -> DataFrame:
+    """From one evaluation of ``jobs``, per city bucket: a row for all adverts (every bucket has
+    it), one for the city's adverts, and one for each skill ranked 1..``n``, ties included.
 
-    The rank limit is applied per task before the window's shuffle, so a city's whole skill list
-    never travels to one task.
+    Each advert is exploded into its marks, which one aggregate counts; the rank limit is applied per
+    task before the window's shuffle, so a city's whole skill list never travels to one task. The
+    other two kinds of rows are alone in theirs and have rank 1.
     """
-    pairs = (_by_city(jobs).select("city", F.explode("technical_skills").alias("skill"))
-             .filter(_short("skill", longest))
-             .groupBy("city", "skill").agg(F.count(F.lit(1)).alias("cnt")))
-    by_count = Window.partitionBy("city").orderBy(F.desc("cnt"))
-    best = pairs.withColumn("rnk", F.rank().over(by_count)).filter(F.col("rnk") <= n)
-    names = F.expr("listagg(skill, ', ') WITHIN GROUP (ORDER BY cnt DESC, skill)")
-    return best.groupBy("city").agg(names.alias("top_skills"))
+    buckets = [*vocab.MART_CITIES, vocab.OTHER_CITY]
+
+    def mark(city: Column, kind: int, skill: Column) -> Column:
+        return F.struct(city.alias("city"), F.lit(kind).alias("kind"), skill.cast("string").alias("skill"))
+
+    none, empty = F.lit(None), F.array().cast("array<string>")
+    cities = F.transform(F.filter(F.coalesce("locations", empty), lambda c: c != ""), mart_city)
+    listed = F.filter(F.coalesce("technical_skills", empty), lambda s: _short(s, longest) & s.isNotNull())
+    marks = F.concat(
+        F.array(*[mark(F.lit(b), _ALL, none) for b in buckets]),
+        F.transform("_cities", lambda c: mark(c, _CITY, none)),
+        F.flatten(F.transform("_cities", lambda c: F.transform("_skills", lambda s: mark(c, _SKILL, s)))))
+    salary = F.col("max_salary").cast("double")
+    counted = (
+        jobs.select("job_id", "max_salary", cities.alias("_cities"), listed.alias("_skills"))
+        .select("job_id", "max_salary", F.inline(marks)).groupBy("city", "kind", "skill")
+        .agg(F.count(F.lit(1)).alias("cnt"), F.count("job_id").alias("jobs"),
+             F.avg(F.when(salary > 0, salary)).alias("paid")))
+    by_count = Window.partitionBy("city", "kind").orderBy(F.desc("cnt"))
+    return counted.withColumn("rnk", F.rank().over(by_count)).filter(F.col("rnk") <= n)
+
+
+def top_skills_per_city(jobs: DataFrame, n: int = TOP_SKILLS,
+                        longest: int | None = MAX_SKILL_LENGTH) -> DataFrame:
+    """``city, skill, cnt, rnk``: the skills ranked 1..n by adverts, ties included, as rows."""
+    found = _leading(jobs, n, longest).filter(F.col("kind") == _SKILL)
+    return found.select("city", "skill", "cnt", "rnk")
 
 
 def location_trend(jobs: DataFrame, as_of: Column | None = None,
-                   longest: int | None = MAX_SKILL_LENGTH) -> DataFrame:
+                   longest: int | None = MAX_SKILL_LENGTH, named: int = NAMED_SKILLS) -> DataFrame:
     """Per city bucket: adverts, share, average top salary, leading skills.
 
-    Both sides of the join have at most one row per bucket of ``mart_city`` (five), which is what
-    makes the broadcast safe at any input size.
+    ``jobs`` is read once. ``top_skills`` names the first ``named`` of the leading skills at most;
+    ``top_skills_per_city`` has all of them where more are tied.
     """
-    totals = _by_city(jobs).groupBy("city").agg(
-        F.count("job_id").alias("job_count"), _paid_average("max_salary").alias("avg_salary"))
+    place = F.row_number().over(Window.partitionBy("city", "kind").orderBy(F.desc("cnt"), "skill"))
+    rows = _leading(jobs, TOP_SKILLS, longest).withColumn("place", place).filter(F.col("place") <= named)
+
+    def of(kind: int, column: str) -> Column:
+        return F.max(F.when(F.col("kind") == kind, F.col(column)))
+
+    skill = F.when(F.col("kind") == _SKILL, F.struct("place", "skill"))
+    names = F.array_join(F.transform(F.array_sort(F.collect_list(skill)), lambda s: s["skill"]), ", ")
     return (
-        totals.join(F.broadcast(top_skills_per_city(jobs, longest=longest)), "city", "left")
-        .select("city", "job_count", _share("job_count", jobs).alias("percentage"), "avg_salary",
-                "top_skills", _day(as_of).alias("updated_date"))
+        rows.groupBy("city").agg(
+            of(_CITY, "jobs").alias("job_count"), of(_ALL, "cnt").alias("total"),
+            F.round(of(_CITY, "paid"), 1).alias("avg_salary"), F.nullif(names, F.lit("")).alias("top_skills"))
+        .filter("job_count IS NOT NULL")
+        .select("city", "job_count", F.round(F.try_divide("job_count", "total") * 100, 2).alias("percentage"),
+                "avg_salary", "top_skills", _day(as_of).alias("updated_date"))
         .orderBy(F.desc("job_count"), "city"))

@@ -20,8 +20,8 @@ def create_database(spark: SparkSession, database: str, location: str) -> None:
 
 
 def register(spark: SparkSession, database: str, table: str, location: str,
-             partition_by: Sequence[str] = ()) -> DataFrame:
-    """(Re)create an external table over Parquet files and find its partitions.
+             partition_by: Sequence[str] = (), find: bool = True) -> DataFrame:
+    """(Re)create an external table over Parquet files and, unless told otherwise, find its partitions.
 
     Dropping an external table removes metadata only, the files stay.
     """
@@ -34,7 +34,7 @@ def register(spark: SparkSession, database: str, table: str, location: str,
         f"CREATE TABLE {name} ({columns}) USING parquet"
         + (f" PARTITIONED BY ({parts})" if parts else "")
         + f" LOCATION {_text(location)}")
-    if parts:
+    if parts and find:
         repair(spark, database, table)
     return spark.table(name)
 
@@ -44,6 +44,23 @@ def repair(spark: SparkSession, database: str, table: str) -> None:
     spark.sql(f"MSCK REPAIR TABLE {_name(database, table)}")
 
 
+def add_partitions(spark: SparkSession, database: str, table: str, written: DataFrame,
+                   partition_by: Sequence[str], most: int = 10_000) -> int:
+    """Make the partitions that ``written`` went to visible, without listing the table.
+
+    One row per partition reaches the driver; where there are more than ``most`` the whole table
+    is listed instead. Returns the number of partitions written.
+    """
+    values = written.select(*partition_by).distinct().limit(most + 1).collect()
+    if len(values) > most:
+        repair(spark, database, table)
+    elif values:
+        specs = " ".join("PARTITION (" + ", ".join(
+            f"{_name(c)} = " + ("NULL" if row[c] is None else _text(str(row[c]))) for c in partition_by) + ")" for row in values)
+        spark.sql(f"ALTER TABLE {_name(database, table)} ADD IF NOT EXISTS {specs}")
+    return len(values)
+
+
 def partitions(spark: SparkSession, database: str, table: str) -> DataFrame:
     return spark.sql(f"SHOW PARTITIONS {_name(database, table)}")
 

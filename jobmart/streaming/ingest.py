@@ -34,20 +34,23 @@ def message_files(spark: SparkSession, path: str, files_per_batch: int | None =
 
 
 def distinct_forever(stream: DataFrame, key: str = "job_id", spread: int = 0,
-                     spread_by: Sequence[str] = ()) -> DataFrame:
+                     spread_by: Sequence[str] = (), remember: str = "1 hour") -> DataFrame:
     """First arrival per key wins for ever; NULL counts as one key.
 
     The state lives in the query's checkpoint and grows with the number of keys; run it on the
     RocksDB state store (see ``session``). With ``spread`` a first pass removes duplicates per
     key and salt, so replays of a hot key are thinned on ``spread`` tasks before they meet on
     one. ``spread_by`` names the columns the salt is taken from; they must differ between copies
-    and stay the same when a batch is run again.
+    and stay the same when a batch is run again. The first pass forgets a key after it has been in
+    the state for ``remember`` of arrival time; only the second, one row per key, remembers for ever.
     """
     if not spread:
         return stream.dropDuplicates([key])
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in spread_by]), F.lit(spread))
-    return (stream.withColumn("_salt", salt).dropDuplicates([key, "_salt"]).drop("_salt")
-            .dropDuplicates([key]))
+    thinned = (stream.withColumns({"_salt": salt, "_arrived": F.current_timestamp()})
+               .withWatermark("_arrived", remember)
+               .dropDuplicatesWithinWatermark([key, "_salt"]))
+    return thinned.drop("_salt", "_arrived").dropDuplicates([key])
 
 
 def distinct_within(stream: DataFrame, event_time: str, delay: str,
@@ -62,17 +65,20 @@ def to_parquet(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
-def ingest(messages: DataFrame, path: str, checkpoint: str, spread: int = 16) -> None:
+def ingest(messages: DataFrame, path: str, checkpoint: str, spread: int = 16,
+           remember: str = "1 hour") -> StreamingQuery:
     """Messages to distinct adverts in Parquet.
 
     Copies of one advert, and unreadable messages, which all share the NULL key, may make up a
     large part of a batch; they are spread by message offset. With ``spread=0`` one shuffle and
-    one state store are saved where that cannot happen.
+    one state store are saved where that cannot happen. Returns the finished query.
     """
     rows = messages.select(decode(F.col("value")).alias("data"), "offset").select(
         "data.*", F.col("offset").alias("_offset"))
-    distinct = distinct_forever(rows, spread=spread, spread_by=["_offset"]).drop("_offset")
-    to_parquet(distinct, path, checkpoint).awaitTermination()
+    distinct = distinct_forever(rows, spread=spread, spread_by=["_offset"], remember=remember)
+    query = to_parquet(distinct.drop("_offset"), path, checkpoint)
+    query.awaitTermination()
+    return query
 
 
 def enrich_new(spark: SparkSession, stage: str, ledger: str, checkpoint: str, scorer: Scorer,
