@@ -192,3 +192,8 @@ ALIASES = [
     ("Mongo DB", "MongoDB"), ("iso27001", "ISO 27001"), ("big query", "BigQuery"),
     ("reactnative", "React Native"), ("Cobol", "Cobol"),
 ]
+
+
+def keywords(vocabulary: dict) -> list[tuple[str, str]]:
+    """Every (label, keyword) of a vocabulary, in its order."""
+    return [(label, word) for label, words in vocabulary.items() for word in words]

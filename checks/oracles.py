@@ -241,6 +241,44 @@ ORACLES["level_rules"] = docs(level=column(X.LEVEL_RULES, 2))
 ORACLES["it_verdict"] = docs(is_it_preliminary=column(X.IT_VERDICT, 1))
 
 
+# Texts computed from columns. Of a keyword itself, the label is worked out here from the dictionaries
+# by plain search: for provinces the longest keyword inside it, for levels the first, for domains all.
+def inside(word: str, vocabulary: dict) -> list[tuple[str, str]]:
+    return [(label, w) for label, w in X.keywords(vocabulary)
+            if re.search(rf"(?<![^\W_]){re.escape(w.strip().lower())}(?![^\W_])", word.lower())]
+
+
+_BY_CITY = [max(inside(w, vocab.LOCATIONS), key=lambda p: len(re.escape(p[1].lower())))[0] for _, w in X.keywords(vocab.LOCATIONS)]
+_IN_MARTS = {"TP.HCM": "Hồ Chí Minh", "Remote": "Toàn quốc"}
+ORACLES["city_computed"] = docs(city=at(_BY_CITY), mart=at([_IN_MARTS.get(c, c) for c in _BY_CITY]))
+_BY_LEVEL = [inside(w, vocab.LEVELS)[0][0] for _, w in X.keywords(vocab.LEVELS)]
+ORACLES["level_computed"] = docs(
+    by_rules=f"CASE WHEN n_chars % 3 <> 0 THEN {at(_BY_LEVEL)} END", by_years=band("(n_chars % 12 - 2)"))
+ORACLES["domains_computed"] = docs(
+    domain=at(["|".join(sorted({label for label, _ in inside(w, vocab.DOMAINS)})) for _, w in X.keywords(vocab.DOMAINS)]))
+ORACLES["requirement_tags_computed"] = docs(
+    gender="CASE WHEN n_chars % 3 = 1 THEN CASE WHEN n_chars % 2 = 0 THEN 'Nam' ELSE 'Nữ' END ELSE 'any' END",
+    age_min="CAST(CASE n_chars % 3 WHEN 0 THEN n_chars % 30 + 20 WHEN 1 THEN n_chars % 20 + 18 ELSE -1 END AS INTEGER)",
+    age_max="CAST(CASE n_chars % 3 WHEN 1 THEN n_chars % 20 + 30 ELSE -1 END AS INTEGER)",
+    req_languages="CASE WHEN n_chars % 3 = 1 THEN 'Tiếng ' || lang ELSE '' END")
+_MART_NAMES = [*vocab.MART_CITIES, "Huế", "hà nội"]
+ORACLES["location_computed"] = docs(
+    city=at([*vocab.MART_CITIES, "Khác", "Khác"], by="n_chars"),
+    location_raw=f"source || ' ' || {at(_MART_NAMES, by='n_chars')} || ' ' || lang")
+ORACLES["it_verdict_computed"] = docs(
+    is_it_preliminary="CASE WHEN n_chars % 5 = 4 THEN 'none' WHEN n_chars % 3 = 0 THEN 'true' WHEN n_chars % 3 = 1 THEN 'false' ELSE 'none' END")
+_NAMES_OF = [*vocab.CANONICAL_SKILLS, *[vocab.IRREGULAR_ALIASES[a] for a in vocab.IRREGULAR_ALIASES]]
+ORACLES["skill_alias_computed"] = docs(
+    skill=f"CASE WHEN n_chars % 4 = 3 THEN trim({at([*vocab.CANONICAL_SKILLS, *vocab.IRREGULAR_ALIASES])}) || ' zz' || n_chars "
+          f"ELSE {at(_NAMES_OF)} END")
+_DECODED = "n_chars % 4 <> 3"
+ORACLES["reply_decode_computed"] = docs(
+    domain=f"CASE WHEN {_DECODED} THEN lang || ' \"x\" ' || source ELSE 'Other' END",
+    technical_skills=f"CASE WHEN {_DECODED} THEN source || n_chars || '|zz ü' ELSE '' END", is_it_job=_DECODED,
+    exp_max=f"CAST(CASE WHEN {_DECODED} THEN n_chars % 9 ELSE -1 END AS DOUBLE)", locations=f"CASE WHEN {_DECODED} THEN lang ELSE '' END",
+    max_salary_verified=f"CAST(CASE WHEN {_DECODED} AND n_chars % 4 <> 0 THEN n_chars % 4 * n_chars ELSE -1 END AS INTEGER)")
+
+
 # --- dictionaries -----------------------------------------------------------------------------
 
 def tag_text(values: list) -> list:
@@ -448,6 +486,7 @@ ORACLES["dedup_batch"] = """
   SELECT user_id AS job_id, event_id, value FROM (
     SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events)
   WHERE rn = 1"""
+ORACLES["dedup_stored"] = ORACLES["dedup_batch"]
 ORACLES["dedup_stream"] = """
   SELECT CAST(event_id AS VARCHAR) AS job_id, event_type AS title FROM events"""
 ORACLES["dedup_within"] = "SELECT event_id, event_type FROM events"

@@ -11,6 +11,7 @@ from jobmart import vocab
 from checks.inputs import (detail_pages, list_pages, order_jobs, part_jobs, pick, postings, table,
                            varied)
 from jobmart.functions import fields, labels, prompt as prompts, text
+from jobmart.functions.text import constant
 from jobmart.functions.experience import with_clean_experience, with_rules_experience
 from jobmart.functions.salary import with_clean_salary, with_rules_salary
 from jobmart.functions.matching import WORD
@@ -323,6 +324,97 @@ def it_verdict(spark, sf):
     return _doc(spark, sf, fields.it_verdict(tags).alias("is_it_preliminary"))
 
 
+def _numbered(spark, sf) -> DataFrame:
+    """Documents with texts made from their own columns; ``n`` goes on from row to row of a source."""
+    return table(spark, sf, "documents").select(
+        F.col("doc_id").cast("string").alias("job_id"), "doc_id", "lang", "source",
+        F.col("n_chars").cast("int").alias("n"))
+
+
+def _of(values: list, by: Column) -> Column:
+    return F.get(constant(values, "array<string>"), F.pmod(by, F.lit(len(values))).cast("int"))
+
+
+@query
+def city_computed(spark, sf):
+    """Every keyword of every province, in capitals, within the names of the document's columns."""
+    word = _of([w for _, w in X.keywords(vocab.LOCATIONS)], F.col("doc_id"))
+    raw = _numbered(spark, sf).withColumn("place", F.concat(F.col("n"), F.lit(" ("), F.upper(word), F.lit("), x"), "n"))
+    return raw.select("job_id", labels.city(F.col("place")).alias("city"), labels.mart_place(labels.city(F.col("place"))).alias("mart"))
+
+
+@query
+def level_computed(spark, sf):
+    """Levels of titles and of years, over all keywords of both rule sets."""
+    raw = _numbered(spark, sf)
+    word = _of([w for _, w in X.keywords(vocab.LEVELS)], F.col("doc_id"))
+    title = F.when(F.col("n") % 3 != 0, F.concat("source", F.lit(" "), F.upper(word), F.lit(" "), "source"))
+    return raw.select("job_id", labels.rules_level(title, F.concat("n", F.lit("x"))).alias("by_rules"),
+                      labels.title_level(F.concat("source", "lang"), (F.col("n") % 12 - 2).cast("float")).alias("by_years"))
+
+
+@query
+def domains_computed(spark, sf):
+    """Each keyword of each domain in a sentence of its own."""
+    word = _of([w for _, w in X.keywords(vocab.DOMAINS)], F.col("doc_id"))
+    raw = _numbered(spark, sf).withColumn("t", F.concat("n", F.lit("?!"), F.initcap(word), F.lit(";zz"), "n"))
+    return labels.with_domains(raw.select("job_id", "t"), "t").select("job_id", joined("domain").alias("domain"))
+
+
+@query
+def requirement_tags_computed(spark, sf):
+    n = F.col("n")
+    tags = F.array(
+        F.concat(F.lit("Tuổi "), n % 20 + 18, F.lit(" - "), n % 20 + 30), F.when(n % 2 == 0, "Nam").otherwise("Nữ"),
+        F.concat(F.lit("Tiếng "), "lang", F.lit(" "), "n"), F.concat(F.lit("x"), "source"))
+    older = F.array(F.concat(F.lit("Từ "), n % 30 + 20, F.lit(" tuổi")))
+    raw = _numbered(spark, sf).withColumn("tags_requirement", F.when(n % 3 == 0, older).when(n % 3 == 1, tags))
+    return raw.transform(fields.with_requirement_tags).select(
+        "job_id", "gender", "age_min", "age_max", joined("req_languages").alias("req_languages"))
+
+
+@query
+def location_computed(spark, sf):
+    """Buckets of the location mart, and places without their marker, by the document's columns."""
+    name = _of([*vocab.MART_CITIES, "Huế", "hà nội"], F.col("n"))
+    place = F.concat("source", F.lit(" "), name, F.lit(" "), "lang")
+    return _numbered(spark, sf).select("job_id", labels.mart_city(place).alias("city"),
+                                       text.strip_location_marker(F.concat(F.lit("  "), place, F.lit(" \n"))).alias("location_raw"))
+
+
+@query
+def it_verdict_computed(spark, sf):
+    tag = F.when(F.col("n") % 3 == 0, "Backend Developer").when(F.col("n") % 3 == 1, "Sales").otherwise(F.col("source"))
+    tags = F.when(F.col("n") % 5 == 4, F.array().cast("array<string>")).otherwise(F.array("lang", tag))
+    return _numbered(spark, sf).select("job_id", fields.it_verdict(tags).alias("is_it_preliminary"))
+
+
+@query
+def skill_alias_computed(spark, sf):
+    """Each canonical name and irregular spelling, written with blanks, hyphens and capitals."""
+    words = [*vocab.CANONICAL_SKILLS, *vocab.IRREGULAR_ALIASES]
+    word = _of(words, F.col("doc_id"))
+    n = F.col("n")
+    written = (F.when(n % 4 == 0, F.upper(word)).when(n % 4 == 1, F.replace(word, F.lit(" "), F.lit("-")))
+               .when(n % 4 == 2, F.concat(F.lit(" "), word, F.lit("  "))).otherwise(F.concat(word, F.lit(" zz"), "n")))
+    return _numbered(spark, sf).select("job_id", canonical_skill(written).alias("skill"))
+
+
+@query
+def reply_decode_computed(spark, sf):
+    """Replies in which every value comes from the document, fenced or not, some cut short."""
+    n = F.col("n")
+    body = F.to_json(F.struct(
+        F.concat("lang", F.lit(' "x" '), "source").alias("domain"), F.array(F.concat("source", n), F.lit("zz ü")).alias("technical_skills"),
+        (n % 9).alias("exp_max"), F.array("lang").alias("locations"), (n % 4 * n).alias("max_salary_verified")))
+    reply = (F.when(n % 4 == 0, F.concat(F.lit("```json\n"), body, F.lit("\n```"))).when(n % 4 == 1, F.concat(F.lit("  "), body))
+             .when(n % 4 == 2, F.concat(F.lit("```\n"), body, F.lit("```"))).otherwise(F.substring(body, 1, 20)))
+    r = prompts.decode_reply(reply, F.lit("none")).alias("r")
+    return _numbered(spark, sf).select("job_id", r).select(
+        "job_id", "r.domain", joined("r.technical_skills").alias("technical_skills"), "r.is_it_job",
+        F.col("r.exp_max").cast("double").alias("exp_max"), joined("r.locations").alias("locations"), "r.max_salary_verified")
+
+
 # --- dictionaries -----------------------------------------------------------------------------
 
 @query
@@ -623,6 +715,14 @@ def dedup_batch(spark, sf):
         "job_id", "event_id", "value")
 
 
+@query
+def dedup_stored(spark, sf):
+    """As ``dedup_batch``, by the places of the rows in their files."""
+    events = table(spark, sf, "events").select("user_id", "ts", "event_id", "value")
+    return dedup.first_stored(events, "user_id", ["ts", "event_id"]).select(
+        F.col("user_id").alias("job_id"), "event_id", "value")
+
+
 def _event_messages(spark, sf) -> DataFrame:
     return table(spark, sf, "events").select(
         F.col("event_id").cast("string").alias("key"),

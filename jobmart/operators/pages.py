@@ -78,8 +78,10 @@ _SCAN = f"struct<at:int,start:int,depth:int,spans:array<{_SPAN}>>"
 def blocks(html: Column, **need: str) -> Column:
     """All ``div`` elements of a kind that does not nest in itself, each complete.
 
-    The text is cut at its ``div`` tags, and one fold over the pieces counts the nesting and
-    notes where each element starts and stops. An unclosed element takes the rest of the text.
+    The text is cut at its ``div`` tags, and a fold over the pieces counts the nesting and notes where
+    each element starts and stops. It goes by runs of pieces, the square root of all long, and only
+    a whole run's spans are added to the list, so a page of thousands of items isn't copied for
+    each of them. An unclosed element takes the rest of the text.
     """
     def state(at, start, depth, spans) -> Column:
         return F.struct(at, start, depth, spans).cast(_SCAN)
@@ -101,9 +103,18 @@ def blocks(html: Column, **need: str) -> Column:
         rest = F.array(F.struct(s["start"], s["at"] + 1).cast(_SPAN))
         return F.when(s["start"] > 0, F.concat(s["spans"], rest)).otherwise(s["spans"])
 
+    none = F.array().cast(f"array<{_SPAN}>")
+
+    def run(s: Column, pieces: Column) -> Column:
+        begin = state(s["at"], s["start"], s["depth"], none)
+        return F.aggregate(pieces, begin, step, lambda t: state(
+            t["at"], t["start"], t["depth"], F.concat(s["spans"], t["spans"])))
+
     def cut(pieces: Column) -> Column:
-        begin = state(F.lit(0), F.lit(0), F.lit(0), F.array().cast(f"array<{_SPAN}>"))
-        spans = F.aggregate(pieces, begin, step, finish)
+        long = F.greatest(F.lit(64), F.ceil(F.sqrt(F.size(pieces)))).cast("int")
+        starts = F.sequence(F.lit(1), F.greatest(F.size(pieces), F.lit(1)), long)
+        runs = F.transform(starts, lambda i: F.slice(pieces, i, long))
+        spans = F.aggregate(runs, state(F.lit(0), F.lit(0), F.lit(0), none), run, finish)
         return F.transform(spans, lambda p: F.concat(
             F.lit("<"), F.array_join(F.slice(pieces, p["start"], p["stop"] - p["start"]), "<"),
             F.when(p["stop"] > F.size(pieces), F.lit("")).otherwise(F.lit("</div>"))))

@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from jobmart import schemas, vocab
-from jobmart.operators.dedup import first_per_key
+from jobmart.operators.dedup import first_per_key, first_stored
 from jobmart.sources import bronze, catalog, tables
 from jobmart.streaming import ingest
 
@@ -139,3 +139,46 @@ def test_vocabulary_table(spark, tmp_path):
 def test_preview(spark):
     df = spark.createDataFrame([(3, "c"), (1, "a"), (2, "b")], "n int, s string")
     assert [r.s for r in tables.preview(df, ["n", "s"], ["n"], 2).collect()] == ["a", "b"]
+
+
+def test_salted_state_is_forgotten_and_the_keys_are_not(spark, tmp_path):
+    import time
+
+    source, out, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    for i in range(3):  # the same 20 keys, and copies of one, in each start
+        tables.append(messages(spark, [("k", advert(k)) for k in [*range(20), *[0] * 30]]), source)
+        query = ingest.ingest(ingest.message_files(spark, source), out, progress, remember="1 second")
+        time.sleep(2)
+    assert spark.read.parquet(out).count() == 20
+    tables.append(messages(spark, [("k", advert(99))]), source)
+    query = ingest.ingest(ingest.message_files(spark, source), out, progress, remember="1 second")
+    rows = {o.operatorName: o.numRowsTotal for p in query.recentProgress for o in p.stateOperators}
+    assert rows["dedupe"] == 21  # one for each key
+    assert rows["dedupeWithinWatermark"] < 20  # those of earlier starts are gone
+    assert spark.read.parquet(out).count() == 21
+
+
+def test_first_stored_reads_whole_rows_by_place(spark, tmp_path):
+    rows = [(k, ts, {"a": {"x": ts}}, [({"m": k},)]) for k, ts in [("b", 3), ("a", 2), ("b", 1), (None, 5), ("a", 2), (None, 4)]]
+    df = spark.createDataFrame(rows, "job_id string, ts int, m map<string,map<string,int>>, s array<struct<n:map<string,string>>>")
+    df.repartition(3).write.parquet(str(tmp_path / "t"))
+    kept = first_stored(spark.read.parquet(str(tmp_path / "t")), "job_id", ["ts"])
+    assert sorted(((r.job_id, r.ts, r.m["a"]["x"]) for r in kept.collect()), key=str) == [("a", 2, 2), ("b", 1, 1), (None, 4, 4)]
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    aggregate = next(line for line in plan.splitlines() if "Aggregate [" in line)
+    assert "m#" not in aggregate and "s#" not in aggregate
+
+
+def test_written_partitions_are_added_by_name(spark, tmp_path):
+    base = str(tmp_path / "t")
+    df = spark.createDataFrame([(1, "a'b"), (2, None), (3, "c")], "n int, day string")
+    database = "added_" + tmp_path.name.replace("-", "_").lower()
+    catalog.create_database(spark, database, str(tmp_path / "db"))
+    df.write.partitionBy("day").parquet(base)
+    catalog.register(spark, database, "t", base, ["day"], find=False)
+    assert spark.table(f"{database}.t").count() == 0
+    assert catalog.add_partitions(spark, database, "t", df.where("n < 3"), ["day"]) == 2
+    assert sorted(r.n for r in spark.table(f"{database}.t").collect()) == [1, 2]
+    assert catalog.add_partitions(spark, database, "t", df, ["day"], most=1) == 2  # lists the table
+    assert spark.table(f"{database}.t").count() == 3
+    assert catalog.add_partitions(spark, database, "t", df.where("false"), ["day"]) == 0

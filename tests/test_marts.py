@@ -148,3 +148,27 @@ def test_distribution_is_sorted(spark):
 def test_mart_city_is_case_sensitive(spark):
     df = spark.createDataFrame([("hà nội",), ("Hà Nội mới",)], "s string")
     assert [r[0] for r in df.select(mart_city(F.col("s"))).collect()] == ["Khác", "Hà Nội"]
+
+
+def test_location_trend_reads_its_input_once(spark):
+    from checks.inputs import part_jobs
+
+    jobs = part_jobs(spark, "/root/testdata/sf0.001").withColumn("locations", F.array(F.lit("Hà Nội"), F.lit(""), F.lit(None)))
+    plan = marts.location_trend(jobs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Join" not in plan and "WindowGroupLimit" in plan
+
+
+def test_many_tied_skills_stay_rows(spark):
+    jobs = spark.range(3000).select(
+        F.col("id").cast("string").alias("job_id"), F.array(F.lit("Huế")).alias("locations"), F.lit(5).alias("max_salary"),
+        F.array(F.concat(F.lit("s"), F.lpad(F.col("id").cast("string"), 5, "0"))).alias("technical_skills"))
+    (row,) = marts.location_trend(jobs).collect()
+    assert row.top_skills.split(", ") == [f"s{i:05d}" for i in range(marts.NAMED_SKILLS)]
+    assert marts.top_skills_per_city(jobs).count() == 3000 and row.percentage == 100
+
+
+def test_skill_losses(spark):
+    jobs = spark.createDataFrame([(["a", "", None, "x" * 41],), (None,), ([],)], "technical_skills array<string>")
+    assert {r.metric: r.value for r in marts.skill_losses(jobs).collect()} == {"listed": 4, "blank": 2, "too_long": 1}
+    none = marts.skill_losses(jobs, longest=None).collect()
+    assert {r.metric: r.value for r in none}["too_long"] == 0

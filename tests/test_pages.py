@@ -87,3 +87,36 @@ def test_merge_keeps_rows_without_detail(spark):
     details = spark.createDataFrame([("u", "d")], "url string, deadline string")
     got = {r.job_id: r.deadline for r in pages.merge(listed, details).collect()}
     assert got == {"1": "d", "2": None}
+
+
+def plain_blocks(html, name):
+    """Elements by a counter over all div tags."""
+    import re
+
+    out, start, depth = [], None, 0
+    for tag in re.finditer(r"<(/?)div(?=[\s>/])[^>]*>", html):
+        if start is None:
+            if not tag[1] and f'class="{name}"' in tag[0]:
+                start, depth = tag.start(), 1
+            continue
+        depth += -1 if tag[1] else 1
+        if depth == 0:
+            out.append(html[start:tag.start()] + "</div>")
+            start = None
+    return out + ([html[start:]] if start is not None else [])
+
+
+def test_blocks_of_long_and_broken_pages(spark):
+    import random
+    import time
+
+    rng = random.Random(4)
+    tags = ['<div class="x">', "<div>", "</div>", "</div>", "t", "<p>"]
+    htmls = ["".join(rng.choices(tags, k=n)) for n in (0, 1, 5, 64, 65, 300, 300, 900) for _ in range(4)]
+    item = '<div class="x"><div>a<div>b</div></div></div>\n'
+    htmls.append("<div>" + item * 10_000)
+    df = spark.createDataFrame(list(enumerate(htmls)), "i int, html string")
+    began = time.time()
+    got = {r.i: r.b for r in df.select("i", pages.blocks(F.col("html"), cls="x").alias("b")).collect()}
+    assert time.time() - began < 60
+    assert got == {i: plain_blocks(h, "x") for i, h in enumerate(htmls)}
