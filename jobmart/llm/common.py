@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +20,21 @@ SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 ROWS = 512
 
 
+def pieces(batches: Iterator[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``rows`` rows. At the end of the task its memory goes back to the system, as
+    Python workers outlive tasks and stages."""
+    try:
+        for b in batches:
+            for i in range(0, b.num_rows, rows):
+                yield b.slice(i, rows)
+    finally:
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):  # another C library
+            pass
+
+
 def words_of(text: str | None) -> list[bytes]:
     """The words of a text as UTF-8; a null text has none."""
     return (text or "").encode("utf-8", "surrogatepass").split()
@@ -68,9 +84,7 @@ def add_columns(df: DataFrame, text: str | Column, fields: T.StructType,
 
     def apply(batches):
         fn = make()
-        for whole in batches:
-            for i in range(0, whole.num_rows, ROWS):
-                b = whole.slice(i, ROWS)
-                yield pa.RecordBatch.from_arrays(b.columns[:width] + fn(b.column(at)), names)
+        for b in pieces(batches):
+            yield pa.RecordBatch.from_arrays(b.columns[:width] + fn(b.column(at)), names)
 
     return rows.mapInArrow(apply, schema)

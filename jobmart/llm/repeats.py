@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from jobmart.llm.common import partitions, words_of
+from jobmart.llm.common import partitions, pieces, words_of
 
 WINDOW = 35
 #: Words after which a task sends what it has gathered; bounds its memory.
@@ -179,7 +179,7 @@ def _answers(messages: DataFrame, width: str, anchored: bool) -> DataFrame:
 
     def run(batches):
         now, held = None, []
-        for b in batches:
+        for b in pieces(batches):
             for x in b.to_pylist():
                 if x["bucket"] < 0:
                     yield from settled(x)
@@ -266,7 +266,7 @@ def _squeezed(rows: DataFrame) -> DataFrame:
 
     def squeeze(batches):
         c = zstandard.ZstdCompressor(level=3)
-        for b in batches:
+        for b in pieces(batches):
             out = [None if x is None else c.compress(x.encode("utf-8", "surrogatepass")) for x in b.column(b.num_columns - 1).to_pylist()]
             dest = pa.array(_dest(b.column(b.num_columns - 2).to_numpy(), parts))
             yield pa.RecordBatch.from_arrays(b.columns[:-1] + [pa.array(out, pa.binary()), dest], names)
@@ -289,7 +289,7 @@ def _found(docs: DataFrame, window: int, doc_id: str, text: str) -> DataFrame:
     def probes(batches):
         from pyspark import TaskContext
         gathered, salt = Gathered(buckets, "<u4"), TaskContext.get().partitionId()
-        for b in batches:
+        for b in pieces(batches):
             for key, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 h = word_hashes(words_of(x))
                 if len(h) >= window:
@@ -304,7 +304,7 @@ def _found(docs: DataFrame, window: int, doc_id: str, text: str) -> DataFrame:
     def windows(batches):
         from pyspark import TaskContext
         gathered, salt, answers = Gathered(buckets, "<u8"), TaskContext.get().partitionId(), Answers()
-        for b in batches:
+        for b in pieces(batches):
             for dest, bucket, keys, sizes, got, kind, key, data in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if kind == 0:
                     answers.take(dest, bucket, keys, sizes, got)
@@ -354,7 +354,7 @@ def remove(docs: DataFrame, window: int = WINDOW, text: str = "text", doc_id: st
 
     def cut(batches):
         answers = Answers()
-        for b in batches:
+        for b in pieces(batches):
             out: list[list] = [[], [], [], []]
             places = []
             for at, (dest, bucket, keys, sizes, got, kind, doc, data) in enumerate(zip(*(c.to_pylist() for c in b.columns[1:]), strict=True)):

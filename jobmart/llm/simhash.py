@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobmart.llm.common import partitions, stored, words_of
+from jobmart.llm.common import partitions, pieces, stored, words_of
 
 SHINGLE, BITS = 4, 4
 #: Fingerprints of a group before it is dealt out again, and children of an index node.
@@ -374,7 +374,7 @@ def _links(rows: DataFrame) -> DataFrame:
 
     def run(batches):
         key, ids, sets = None, [], []
-        for batch in batches:
+        for batch in pieces(batches):
             for k, i, text in zip(*(column.to_pylist() for column in batch.columns), strict=True):
                 if key != k:
                     if len(ids) > 1 and (found := links(ids, sets)) is not None:
@@ -400,7 +400,7 @@ def similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", chunk:
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
 
     def code(batches):
-        for b in batches:
+        for b in pieces(batches):
             sets = [shingle_set(x) for x in b.column(1).to_pylist()]
             keys = [band_keys(h) for h in sets]
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in keys])]).astype(np.int32)
@@ -408,7 +408,7 @@ def similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", chunk:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([set_id(h) for h in sets], pa.int64()), bands], ["doc_id", "id", "bands"])
 
     def name(batches):
-        for b in batches:
+        for b in pieces(batches):
             ids = [set_id(shingle_set(x)) for x in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), b.column(0)], ["id", "text"])
 
