@@ -33,6 +33,8 @@ PIECE, STRIDE, EDITS, Q = 100, 10, 0.08, 10
 SHORTEST = 40
 #: Characters of one broadcast index, and of a text that are looked at together.
 INDEX, CHUNK = 800_000, 1 << 20
+#: Hits that are counted together; bounds a worker's memory.
+HITS = 1 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 MATCH = T.ArrayType(T.StructType().add("item_id", "long").add("start", "long").add("stop", "long").add("edits", "integer"))
 
@@ -116,10 +118,11 @@ class Short:
 
 
 class Index:
-    """The q-grams of all pieces: sorted hashes, for each the (piece, place) pairs."""
+    """The q-grams of all items, each place once: sorted hashes, and for each the places and the pieces over them."""
 
     def __init__(self, items: list[tuple[int, str]]):
-        pieces, short = [], []
+        short, texts, names, first, at, sizes = [], [], [], [], [], []
+        length = 0
         for item, text in items:
             c = codes(text or "")
             if len(c) < SHORTEST:
@@ -127,45 +130,94 @@ class Index:
                 short += [(item, c)] if len(c) else []
                 continue
             starts = sorted({*range(0, max(1, len(c) - PIECE + 1), STRIDE), max(0, len(c) - PIECE)})
-            pieces += [(item, c[s:s + PIECE]) for s in starts]
+            first.append(len(at))
+            at += [length + x for x in starts]
+            sizes += [min(PIECE, len(c))] * len(starts)
+            names += [item] * len(starts)
+            texts.append(c)
+            length += len(c)
         self.short = Short(short)
-        self.items = np.array([p[0] for p in pieces], np.int64)
-        self.sizes = np.array([len(p[1]) for p in pieces], np.int64)
-        self.edits = np.array([allowed(len(p[1])) for p in pieces], np.int64)
+        self.items, self.at = np.array(names, np.int64), np.array(at, np.int32)
+        self.sizes = np.array(sizes, np.int64)
+        self.edits = np.array([allowed(n) for n in sizes], np.int64)
         self.least = self.sizes + 1 - Q * (self.edits + 1)
-        self.chars = np.zeros((len(pieces), PIECE), np.uint32)
-        for row, (_, c) in zip(self.chars, pieces, strict=True):
-            row[:len(c)] = c
-        h = [grams(c) for _, c in pieces]
-        piece = np.repeat(np.arange(len(pieces)), [len(x) for x in h])
-        place = np.concatenate([np.arange(len(x)) for x in h]) if h else np.zeros(0, np.int64)
-        h = np.concatenate(h) if h else np.zeros(0, np.uint64)
+        self.codes = np.concatenate([*texts, np.zeros(PIECE, np.uint32)]).astype(np.uint32)
+        h, places, low, high = [], [], [], []
+        begin = 0
+        for text, one, after in zip(texts, first, [*first[1:], len(at)], strict=True):
+            own = grams(text)
+            place = begin + np.arange(len(own))
+            starts, ends = self.at[one:after], self.at[one:after] + self.sizes[one:after] - Q
+            h.append(own)
+            places.append(place)
+            low.append(one + np.searchsorted(ends, place))  # the pieces that hold the whole q-gram
+            high.append(one + np.searchsorted(starts, place, side="right"))
+            begin += len(text)
+        h, places, low, high = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (h, places, low, high))
         order = np.argsort(h, kind="stable")
-        self.hashes, self.first, self.count = np.unique(h[order], return_index=True, return_counts=True)
-        self.piece, self.place = piece[order], place[order]
+        h, places, low, high = h[order].astype(np.uint64), places[order], low[order], high[order]
+        # Places one after another with the same q-gram (equal characters) are one entry.
+        new = np.concatenate([np.ones(min(1, len(h)), bool), (h[1:] != h[:-1]) | (places[1:] != places[:-1] + 1) | (low[1:] >= high[:-1])])
+        begin, end = np.flatnonzero(new), np.flatnonzero(np.append(new[1:], True)) if len(h) else np.zeros(0, np.int64)
+        self.place, self.last = places[begin].astype(np.int32), places[end].astype(np.int32)
+        self.low, self.high = low[begin].astype(np.int32), high[end].astype(np.int32)
+        self.hashes, start, count = np.unique(h[begin], return_index=True, return_counts=True)
+        self.first, self.count = start.astype(np.int32), count.astype(np.int32)
+        hits = (self.high - self.low).astype(np.int64) * (1 + np.minimum(self.last - self.place, PIECE) // 4)
+        self.pieces = (np.minimum(np.add.reduceat(hits, start), HITS) if len(start) else hits).astype(np.int32)
         self.near = np.zeros(1 << 22, bool)
         self.near[self.hashes >> np.uint64(42)] = True
 
     def bands(self, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(piece, first diagonal) of the bands of a text that meet the bound."""
+        """(piece, first diagonal) of the bands of a text that meet the bound.
+
+        A place of the text counts once in a band, however often its q-gram stands in the piece. Places are worked
+        on in runs of about ``HITS`` hits, so equal characters cost time, not memory.
+        """
         h = grams(c)
         at = np.flatnonzero(self.near[h >> np.uint64(42)]) if len(self.hashes) else h[:0].astype(np.int64)
         k = np.searchsorted(self.hashes, h[at])
         ok = self.hashes[np.minimum(k, len(self.hashes) - 1)] == h[at] if len(at) else np.zeros(0, bool)
         at, k = at[ok], k[ok]
-        if not len(at):
-            return at, at
-        n = self.count[k]
-        entry = np.repeat(self.first[k] - np.cumsum(n) + n, n) + np.arange(n.sum())
-        piece, diagonal = self.piece[entry], np.repeat(at, n) - self.place[entry]
-        band = (diagonal + PIECE) // (self.edits[piece] + 1)  # diagonals begin at 1 - PIECE
-        both = np.concatenate([piece << 32 | band, piece << 32 | band - 1])
-        key, shared = np.unique(both, return_counts=True)
+        keys, counts, held = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+        run = np.cumsum(self.pieces[k], dtype=np.int64) // HITS
+        edges = np.concatenate([[0], np.flatnonzero(np.diff(run)) + 1, [len(at)]]) if len(at) else [0]
+        for i, j in zip(edges, edges[1:], strict=False):
+            key, shared = np.unique(self._hits(at[i:j], k[i:j]), return_counts=True)
+            keys.append(key)
+            counts.append(shared)
+            held += len(key)
+            if held > 4 * HITS:
+                keys, counts = map(list, zip(_summed(keys, counts), strict=True))
+                held = 0
+        key, shared = _summed(keys, counts)
         piece = key >> 32
         enough = shared >= self.least[piece]
-        piece, band = piece[enough], (key & 0xFFFFFFFF)[enough]
+        piece, band = piece[enough], (key & 0xFFFFFFFF)[enough] - 1
         return piece, band * (self.edits[piece] + 1) - PIECE
 
+    def _hits(self, at: np.ndarray, k: np.ndarray) -> np.ndarray:
+        """piece << 32 | band + 1 of all hits at places ``at`` with the hashes numbered ``k``, once for each place and band."""
+        entry, of = _spread(self.first[k], self.count[k])
+        text = at[of]
+        piece, of = _spread(self.low[entry], self.high[entry] - self.low[entry])
+        text, entry = text[of], entry[of]
+        begin = np.maximum(self.place[entry], self.at[piece]) - self.at[piece]
+        end = np.minimum(self.last[entry] - self.at[piece], self.sizes[piece] - Q)
+        width = self.edits[piece] + 1
+        lowest = (text - end + PIECE) // width  # diagonals begin at 1 - PIECE
+        band, of = _spread(lowest, (text - begin + PIECE) // width - lowest + 1)
+        text, piece = text[of], piece[of]
+        order = np.lexsort((band, piece, text))
+        text, piece, band = text[order], piece[order], band[order]
+        other = np.concatenate([np.ones(min(1, len(band)), bool), (text[1:] != text[:-1]) | (piece[1:] != piece[:-1])])
+        new = other.copy()
+        new[1:] |= band[1:] != band[:-1]
+        text, piece, band, other = text[new], piece[new], band[new], other[new]
+        alone = other.copy()  # whether the band below is not among the place's own
+        alone[1:] |= band[1:] - 1 != band[:-1]
+        return np.concatenate([piece << 32 | band + 1, piece[alone] << 32 | band[alone]])
+
     def align(self, piece: np.ndarray, low: np.ndarray, texts: list[np.ndarray], text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Least edits of each piece in its band and where in the text that alignment ends."""
         width = 2 * (int(self.edits[piece].max()) + 1)
@@ -178,7 +230,7 @@ class Index:
         d = np.where(inside, 0, 999)
         best, end = np.full(len(piece), 999), np.zeros(len(piece), np.int64)
         for i in range(1, int(self.sizes[piece].max()) + 1):
-            differ = span[:, i - 1:i - 1 + width] != self.chars[piece, i - 1][:, None]
+            differ = span[:, i - 1:i - 1 + width] != self.codes[self.at[piece] + i - 1][:, None]
             up = np.concatenate([d[:, 1:], np.full((len(d), 1), 999)], axis=1) + 1
             d = np.minimum(d + differ, up)
             d = np.where(inside, np.minimum.accumulate(d - steps, axis=1) + steps, 999)
@@ -213,6 +265,19 @@ class Index:
         return [[m for _, m in sorted(x.items())] for x in found]
 
 
+def _spread(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ranges of ``count`` numbers from ``first`` on, one after another, and to which range each belongs."""
+    count = np.maximum(count, 0).astype(np.int64)
+    of = np.repeat(np.arange(len(count)), count)
+    return np.repeat(first.astype(np.int64) - np.cumsum(count) + count, count) + np.arange(len(of)), of
+
+
+def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and the sums of their counts."""
+    key, at = np.unique(np.concatenate(keys), return_inverse=True)
+    return key, np.bincount(at, np.concatenate(counts), len(key)).astype(np.int64)
+
+
 def _add(found: dict[int, dict], item: int, start: int, stop: int, edits: int) -> None:
     m = found.setdefault(item, {"item_id": item, "start": start, "stop": stop, "edits": edits})
     m |= {"start": min(m["start"], start), "stop": max(m["stop"], stop), "edits": min(m["edits"], edits)}
