@@ -144,7 +144,7 @@ class Index:
         self.codes = np.concatenate([*texts, np.zeros(PIECE, np.uint32)]).astype(np.uint32)
         h, places, low, high = [], [], [], []
         begin = 0
-        for text, one, after in zip(texts, first, [*first[1:], len(at)], strict=True):
+        for text, one, after in zip(texts, first, [*first, len(at)][1:], strict=True):
             own = grams(text)
             place = begin + np.arange(len(own))
             starts, ends = self.at[one:after], self.at[one:after] + self.sizes[one:after] - Q
