@@ -29,12 +29,16 @@ from pyspark.sql import types as T
 from jobmart.llm.common import add_columns
 
 #: Pages in the fit, nodes of a page in it, name tokens, trees and their depth.
-SAMPLE, NODES, TOKENS, TREES, DEPTH = 240, 400, 120, 40, 4
+SAMPLE, NODES, TOKENS, TREES, DEPTH = 240, 400, 160, 56, 4
 
 # Element names of HTML.
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
-RAW = set("script style noscript template iframe textarea svg math".split())
-INLINE = set("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split())
+RAW = set("script style template iframe".split())
+MATH = set("""math mi mo mn ms mtext mspace mrow msup msub msubsup mfrac msqrt mroot mover munder munderover mfenced mstyle mpadded mphantom
+menclose semantics annotation""".split())
+PLAIN = set("""p ul ol li table thead tbody tr td th caption pre figure figcaption dl dt dd blockquote h1 h2 h3 h4 h5 h6 a b i code img div span form
+input button label select option textarea noscript svg math""".split())
+INLINE = MATH | set("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split())
 CLOSES = {"li": {"li"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}}
 #: Names that label the sample: what is an article, and what is not part of it.
 ARTICLE = set("article main content post entry story body-text articlebody maincontent".split())
@@ -80,7 +84,7 @@ class Page:
                 end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(source, at)
                 at = end.end() if end else n
                 continue
-            if name in VOID or found[3].endswith("/") and name not in INLINE | {"p", "div"}:
+            if name in VOID or found[3].endswith("/") and name not in (INLINE - MATH) | {"p", "div"}:
                 continue
             self.open(stack, name, found[3])
         self.pieces.append(None)
@@ -324,16 +328,41 @@ def rebuilt(source: str, rng: random.Random) -> str:
             f'<aside{name("sidebar widget related promo")}><h3>{some[:40]}</h3><p>{some}</p></aside>',
             f'<div{name("cookie notice consent banner alert popup newsletter")}><p>{some}</p><button>OK</button></div>',
             f'<div{name("ad ads advert advertisement sponsored promo")}>{some}</div>',
+            f'<div class="{pick("ad", "ads", "advert", "sponsored", "promo")}">{entities.escape(rng.choice(text)[:rng.randint(40, 200)])}</div>',
             f'<form{name("search login subscribe newsletter")}><label>{some[:60]}</label><input name="q"><button>Go</button></form>',
             f"<header><h2>{some[:50]}</h2></header>", f"<footer><p>{some}</p></footer>",
+            f'<div{name("widget related sidebar share footer")}><table><tr>' + "".join(f'<td><a href="/x">{entities.escape(rng.choice(short)[:20])}</a></td>' for _ in range(rng.randint(2, 6))) + "</tr></table></div>",
+            f'<div{name("related recommended promo")}><figure><a href="/x"><img src="x"></a><figcaption><a href="/x">{some[:40]}</a></figcaption></figure></div>',
             f'<{(s := pick("section", "div"))}{name("comments comment commentlist respond")}>' + "".join(
                 f'<div class="comment"><b>{entities.escape(rng.choice(short)[:12])}</b><p>{entities.escape(rng.choice(text)[:300])}</p></div>'
                 for _ in range(rng.randint(1, 4))) + f"</{s}>")
 
+    def cut(longest: int) -> str:
+        """Some words of the article."""
+        words = rng.choice(text).split()
+        start = rng.randrange(len(words))
+        return entities.escape(" ".join(words[start:start + rng.randint(1, longest)]))
+
+    def many(form: str, longest: int) -> str:
+        return "".join(form.format(cut(longest)) for _ in range(rng.randint(2, 7)))
+
+    def structure() -> str:
+        """A block of several items, as articles have them."""
+        wide = rng.randint(2, 4)
+        return pick(
+            f"<{(u := pick('ul', 'ol'))}>{many('<li>{}</li>', 14)}</{u}>", "<dl>" + "".join(f"<dt>{cut(2)}</dt><dd>{cut(12)}</dd>" for _ in range(rng.randint(1, 4))) + "</dl>",
+            "<table>" + pick("", f"<caption>{cut(6)}</caption>") + "".join(
+                "<tr>" + "".join(f"<{pick('td', 'td', 'th')}>{cut(4)}</td>" for _ in range(wide)) + "</tr>" for _ in range(rng.randint(2, 6))) + "</table>",
+            f'<figure><img src="x"><figcaption>{cut(10)}</figcaption></figure>', f"<pre>{cut(5)}\n{cut(5)}\n{cut(5)}</pre>",
+            f"<p>{cut(12)} <math><mi>{cut(1)}</mi><mo>=</mo><mn>{cut(1)}</mn></math> {cut(8)}</p>",
+            f"<{(q := pick('noscript', 'blockquote', 'svg'))}>{cut(12)}</{q}>", f"<div><p>{cut(20)}</p></div>")
+
     body = [f"<{pick('h1', 'h2')}>{entities.escape(text[0])}</h1>"]
     for x in text[1:]:
         x = entities.escape(x)
         body.append(pick(f"<p>{x}</p>", f"<p>{x}", f"<p><b>{x[:20]}</b>{x[20:]}</p>", f"<blockquote>{x}</blockquote>", f"<h3>{x[:60]}</h3><p>{x}</p>", f"<ul><li>{x}</li></ul>"))
+        if rng.random() < 0.35:
+            body.append(structure())
         if rng.random() < 0.08:
             body.append(furniture())
     if rng.random() < 0.3:
@@ -364,9 +393,10 @@ class Model:
 def fit(pages: DataFrame, html: str = "html", sample: int = SAMPLE) -> Model:
     """Learn from the ``sample`` pages with the smallest hash of their source, and rebuilt forms of each.
 
-    Pages are cut for the fit at 200,000 characters. Without any page the model is learnt from a built-in one.
+    Sampled pages are read whole; of each, ``NODES`` elements drawn from all of it are learnt from. Without any page
+    the model is learnt from a built-in one.
     """
-    rows = pages.where(F.col(html).isNotNull()).select(F.substring(html, 1, 200_000).alias("html"), F.xxhash64(html).alias("h"))
+    rows = pages.where(F.col(html).isNotNull()).select(F.col(html).cast("string").alias("html"), F.xxhash64(html).alias("h"))
     hashes = [r.h for r in rows.select("h").distinct().orderBy("h").limit(sample).collect()]  # of a page only its hash is compared
     chosen = rows.where(F.col("h") <= max(hashes)).dropDuplicates(["h"]).collect() if hashes else []
     return train([r.html for r in sorted(chosen, key=lambda r: (r.h, r.html))])
@@ -386,12 +416,13 @@ def train(sources: list[str]) -> Model:
     vocabulary = {x: i for i, x in enumerate(known)}
     x, y, w = [], [], []
     for k, p in enumerate(built):
-        hidden = k % 7 == 3  # names hidden: the other features must do
-        rows, truth = features(p, {} if hidden else vocabulary), labels(p)
-        keep = np.arange(len(truth))[:NODES]
+        hidden = k % 7 == 3 or k % 6 == 5  # names hidden, all or those beyond plain elements: the other features must do
+        seen = {} if k % 7 == 3 else {x: i for x, i in vocabulary.items() if x in PLAIN} if hidden else vocabulary
+        rows, truth = features(p, seen), labels(p)
+        keep = np.sort(np.random.default_rng(k).permutation(len(truth))[:NODES])
         x.append(rows[keep])
         y.append(truth[keep])
-        w.append(np.full(len(keep), 0.5 if hidden else 1.0))
+        w.append(np.full(len(keep), 0.25 if hidden else 1.0))
     return Model(vocabulary, boost(np.concatenate(x), np.concatenate(y), np.concatenate(w)))
 
 
