@@ -9,7 +9,8 @@ key up to its successor among strings of that length; intervals are nested or di
 Keys are dealt out by ranges with fixed borders from a sample. A rule goes to every range that its
 interval touches, a url key to one; a key that fills several ranges spreads over them. In each range
 one sweep over the sorted keys holds the stack of active nested rules. The answers for a url's depths
-merge by url in an aggregate with map-side combine. Nothing is broadcast.
+merge by url in an aggregate with map-side combine. Only the borders are broadcast, one key for each range, from
+a sample of at most ``MOST`` keys.
 
 Urls are read literally: the host runs from after the first ``://`` up to ``/``, ``?``, ``#`` or the
 end, with A-Z in lower case, the path from there up to ``?``, ``#`` or the end. A null url and one without
@@ -30,8 +31,8 @@ from pyspark.sql import functions as F
 
 from jobmart.llm.common import partitions
 
-#: Keys sampled for each range to place the borders; they decide balance, not results.
-SAMPLE = 60
+#: Keys sampled for each range to place the borders, and at most in all; they decide balance, not results.
+SAMPLE, MOST = 60, 200_000
 
 
 def host(url: Column) -> Column:
@@ -87,13 +88,14 @@ def _successor(key: str) -> str:
 
 
 def _sweep(keys: DataFrame, rules: DataFrame, ranges: int) -> DataFrame:
-    n = SAMPLE * ranges
+    n = min(SAMPLE * ranges, MOST)
     sample = keys.select("key", F.xxhash64("host", "path").alias("h")).orderBy("h").limit(n).select("key").toPandas()["key"]
     ordered = sorted(sample)
-    borders = [ordered[i * len(ordered) // ranges] for i in range(1, ranges)] if ordered else []
+    shared = keys.sparkSession.sparkContext.broadcast([ordered[i * len(ordered) // ranges] for i in range(1, ranges)] if ordered else [])
 
     def deal(batches: Iterable[pa.RecordBatch]):
         """The ranges of each row: of a url's key one, of a rule's interval all that it touches."""
+        borders = shared.value
         for b in batches:
             out: list[list] = [[], [], [], [], []]
             for key, kind, a, c in zip(*(col.to_pylist() for col in b.columns), strict=True):
