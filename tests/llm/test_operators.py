@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 import random
 import zlib
@@ -10,6 +11,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import public_tokenizers
+import pyarrow as pa
 import sentencepiece
 import tiktoken
 import xxhash
@@ -142,6 +144,18 @@ def test_html_choices_agree_in_the_tree():
         assert all(kept[p] or not kept[i] for i, p in enumerate(page.parents) if i)
 
 
+def test_url_rules_do_not_depend_on_the_sample(spark, monkeypatch):
+    urls = [(i, f"http://{h}/{p}{i % 7}") for i, (h, p) in enumerate(itertools.product(["a.org", "b.a.org", "c.com", "org"], ["", "es/", "x/y"] * 9))]
+    df = spark.createDataFrame([*urls, (None, None)], "id long, url string")
+    rules = spark.createDataFrame([("org", "/", "allow"), ("a.org", "/es/", "block"), ("com", "/x", "block")], "host string, path string, verdict string")
+    results = []
+    for most in (200_000, 3, 0):
+        monkeypatch.setattr(url_rules, "MOST", most)
+        results.append(sorted(map(str, url_rules.judge(df, rules, ranges=5).collect())))
+    assert results[0] == results[1] == results[2] and len(results[0]) == len(urls) + 1
+    assert url_rules.judge(df.where("false"), rules).count() == 0 and url_rules.judge(df, rules.where("false")).where("rule is not null").count() == 0
+
+
 def test_url_rules_equal_brute_force(spark):
     rules = [("org", "/", "allow"), ("a.org", "/x", "block"), ("b.a.org", "", "allow"), ("com", "/x/y", "block"), ("com", "/x/y", "allow"), (None, "/", "block")]
     urls = [None, "", "nope", "http://a.org", "http://A.org/x?q", "https://b.a.org/x/y#f", "x://c.b.a.org/z", "http://xa.org/x", "http://d.com/x/y/z"]
@@ -180,6 +194,28 @@ def test_token_counts_equal_the_library(docs, empty):
     assert token_counts.count_tokens(empty, path).count() == 0
 
 
+def test_length_table_equals_a_dictionary(monkeypatch):
+    rng = random.Random(5)
+    words = ["", " ", "é", *{"".join(rng.choices("abcß日", k=rng.randint(1, 6))) for _ in range(4000)}]
+    lengths = {w: rng.randint(0, 9) for w in words[::2]}
+    for digest in (xxhash.xxh3_64_intdigest, lambda w: len(w) * 7):  # the second one lets many words share a hash
+        monkeypatch.setattr(token_counts.xxhash, "xxh3_64_intdigest", digest)
+        table = token_counts.LengthTable(lengths)
+        found = table.find(pa.array(words), np.array(list(map(digest, words)), np.uint64))
+        assert found.tolist() == [lengths.get(w, -1) for w in words]
+
+
+def test_token_counts_with_a_small_cache_and_repeated_rows(spark, monkeypatch):
+    monkeypatch.setattr(token_counts, "FREQUENT", 2)
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    rows = [(1, None, "x"), (1, "", "y"), (None, "a  b ", "z"), (2, "w" * 5000 + " end", "x"), (2, "w" * 5000 + " end", "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, N_TOKENS string")
+    result = token_counts.count_tokens(df, path)
+    assert result.columns == ["doc_id", "text", "n_bytes", "n_tokens", "over_limit"] and result.count() == 5
+    assert all(r.n_tokens == len(library.encode(r.text or "")) for r in result.collect())
+
+
 def test_quality_measures_and_verdicts(spark):
     rng = random.Random(2)
     clean = lambda: " ".join(rng.choice("abcdefgh") * rng.randint(1, 3) + rng.choice("klmnop") + rng.choice("uvwxyz") for _ in range(80))
