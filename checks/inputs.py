@@ -158,3 +158,26 @@ def detail_pages(spark: SparkSession, sf: str) -> DataFrame:
             F.lit(section.format("Yêu cầu ứng viên") + content), "lang", F.lit("</div></div>"),
             F.lit('<div class="a job-detail__information-detail--actions-label">Hạn nộp: '),
             F.lit("31/03/2026</div></body>")).alias("html"))
+
+
+def crawled_lists(spark: SparkSession, sf: str) -> DataFrame:
+    """List pages showing every document, ``PER_PAGE`` to a page; each fifth item lacks its link."""
+    link = F.concat(F.lit('<h3 class="title"><a href="https://host/d/'), "doc_id",
+                    F.lit('?ta=list" title="'), "source", F.lit(" "), "doc_id", F.lit('">cut</a></h3>'))
+    item = F.concat(
+        F.lit('<div class="job-item-search-result" data-job-id="'), "doc_id", F.lit('">'),
+        F.when(F.col("doc_id") % 5 == 2, "<h3></h3>").otherwise(link),
+        F.lit('<a class="company"><span class="company-name">'), "source",
+        F.lit('</span></a><label class="title-salary">'), F.col("n_chars"),
+        F.lit(' USD</label><div class="tag"><a class="item-tag">'), "lang", F.lit("</a></div></div>"))
+    return table(spark, sf, "documents").groupBy(F.floor(F.col("doc_id") / PER_PAGE).alias("page_id")).agg(
+        F.concat(F.lit("<body><div>"), F.array_join(F.collect_list(item), "\n"), F.lit("</div></body>")).alias("html"))
+
+
+def crawled_details(spark: SparkSession, sf: str) -> DataFrame:
+    """Detail pages of three documents in four; some fetched twice, and some of an empty url."""
+    k, found = F.regexp_extract("url", r"(\d+)$", 1).cast("long"), detail_pages(spark, sf)
+    once = found.where(k % 4 != 1)
+    again = found.where(k % 12 == 0).withColumn("url", F.concat("url", F.lit("?again=1")))
+    lost = found.where(k % 20 == 7).withColumn("url", F.lit(""))
+    return once.unionByName(again).unionByName(lost)

@@ -190,6 +190,19 @@ ORACLES["page_merge"] = """
   SELECT CAST(page_id AS VARCHAR) AS job_id, u AS url, CAST(coalesce(n, -1) AS INTEGER)
          AS html_chars FROM p LEFT JOIN d USING (u)"""
 
+_FOUND = "doc_id % 4 <> 1 AND doc_id % 5 <> 2"
+ORACLES["pages_to_postings"] = f"""
+  SELECT CAST(doc_id AS VARCHAR) AS job_id, CASE WHEN doc_id % 5 <> 2 THEN source || ' ' || doc_id ELSE '' END AS title,
+         source AS company, CASE WHEN doc_id % 5 <> 2 THEN 'https://host/d/' || doc_id ELSE '' END AS url,
+         n_chars || ' USD' AS salary, '' AS location, '' AS experience, lang AS tags,
+         CASE WHEN {_FOUND} THEN 'Nam|' || lang END AS tags_requirement,
+         CASE WHEN {_FOUND} THEN source END AS tags_specialization,
+         CASE WHEN {_FOUND} THEN '{_SECTION}<div><div>' || replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'),
+           '>', '&gt;') || '</div></div><p>end</p></div>' END AS mo_ta_cong_viec_html,
+         CASE WHEN {_FOUND} THEN '{_SECTION}' || lang || '</div>' END AS yeu_cau_ung_vien_html,
+         CASE WHEN {_FOUND} THEN '' END AS quyen_loi_html,
+         CASE WHEN {_FOUND} THEN 'Hạn nộp: 31/03/2026' END AS deadline FROM documents"""
+
 
 # --- field parsers ----------------------------------------------------------------------------
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from checks import fixtures as X
 from jobmart import vocab
-from checks.inputs import (detail_pages, list_pages, order_jobs, part_jobs, pick, postings, table,
+from checks.inputs import (crawled_details, crawled_lists, detail_pages, list_pages, order_jobs, part_jobs, pick, postings, table,
                            varied)
 from jobmart.functions import fields, labels, prompt as prompts, text
 from jobmart.functions.text import constant
@@ -191,6 +191,13 @@ def page_merge(spark, sf):
         "html_chars", F.lit(-1)).alias("html_chars"))
 
 
+@query
+def pages_to_postings(spark, sf):
+    """From crawled list and detail pages to adverts: adverts without link or detail page, repeated details."""
+    return pages.adverts(crawled_lists(spark, sf), crawled_details(spark, sf)).withColumns({
+        c: joined(c) for c in ("tags", "tags_requirement", "tags_specialization")})
+
+
 # --- field parsers ----------------------------------------------------------------------------
 
 def _as(kind: str, *names: str) -> list[Column]:

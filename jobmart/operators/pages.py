@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from jobmart import schemas
 from jobmart.operators.dedup import first_per_key
 from jobmart.functions.text import SPACE, canonical_url, let, non_empty, strip, unescape
 
@@ -231,3 +232,16 @@ def merge(listed: DataFrame, details: DataFrame) -> DataFrame:
     url = F.nullif(F.col("url"), F.lit(""))
     one = first_per_key(details.withColumn("url", url).where("url is not null"), "url", [])
     return listed.withColumn("url", url).join(one, "url", "left")
+
+
+def adverts(list_pages: DataFrame, detail_pages: DataFrame, html: str = "html") -> DataFrame:
+    """Adverts in the schema of the raw stage, from list pages and the detail pages fetched for them.
+
+    Detail pages have a ``url`` as it was fetched, query string and all. An advert without a link keeps its
+    empty url and meets no detail page; without a detail page the fields that only it gives are NULL.
+    """
+    fields = schemas.POSTING.fieldNames()
+    listed = listing(list_pages.select(F.col(html).alias("html"))).drop("position")
+    fetched = detail_pages.select(canonical_url(F.col("url")).alias("url"), F.col(html).alias("html"))
+    whole = merge(listed, detail(fetched)).withColumn("url", F.coalesce("url", F.lit("")))
+    return whole.select(*fields)

@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from jobmart import schemas
 from jobmart.operators import pages
 
 LIST = """<html><body><div class="nav"><label class="exp"><span>menu</span></label></div>
@@ -89,6 +90,21 @@ def test_merge_keeps_rows_without_detail(spark):
     assert got == {"1": "d", "2": None}
 
 
+def test_adverts_from_list_and_detail_pages(spark):
+    lists = spark.createDataFrame([(LIST,), ("<html></html>",), (None,), (LIST.replace("11", "21").replace("12", "22"),)], "html string")
+    details = spark.createDataFrame([("https://h/11.html?x=1", DETAIL), ("https://h/11.html", DETAIL), ("", DETAIL), (None, DETAIL)],
+                                    "url string, html string")
+    df = pages.adverts(lists, details)
+    assert df.schema.fieldNames() == schemas.POSTING.fieldNames()
+    got = {r.job_id: (r.url, r.title, r.tags_specialization, r.deadline) for r in df.collect()}
+    assert got == {"11": ("https://h/11.html", "Senior Java & Go", ["Backend Developer"], "Hạn nộp hồ sơ: 31/03/2026"),
+                   "12": ("/p/12", "T12", None, None), "21": ("https://h/21.html", "Senior Java & Go", None, None),
+                   "22": ("/p/22", "T22", None, None)}
+    assert df.count() == 4
+    nothing = spark.createDataFrame([], "url string, html string")
+    assert pages.adverts(lists, nothing).count() == 4 and pages.adverts(nothing, details).count() == 0
+
+
 def plain_blocks(html, name):
     """Elements by a counter over all div tags."""
     import re
