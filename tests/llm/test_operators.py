@@ -101,6 +101,52 @@ def test_trie_scores_equal_the_formula(docs, empty):
     assert ngram_trie.scores(empty).count() == 0
 
 
+def test_trie_with_null_and_repeated_ids(spark):
+    rows = [(None, "a b"), (7, "a b"), (7, None), (7, "a b c"), (8, "q " * 500), (9, "q " * 500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    got = ngram_trie.scores(df).collect()
+    assert sorted((str(r.doc_id), r.n_tokens) for r in got) == [("7", 1), ("7", 3), ("7", 4), ("8", 501), ("9", 501), ("None", 3)]
+    assert {r.train_tokens for r in got} == {sum(r.n_tokens for r in got if not r.held_out)}
+
+
+def test_trie_without_training_texts(spark):
+    ids = [i for i in range(40) if not ngram_trie.in_training(i)][:3]
+    df = spark.createDataFrame([(i, "a b a") for i in ids], "doc_id long, text string")
+    for r in ngram_trie.scores(df).collect():
+        # P1 is one for the only word there is, so every factor is.
+        assert (r.n_known, r.train_tokens, r.held_out) == (0, 0, True)
+        assert r.base_score == 0 and abs(r.score) <= ngram_trie.STEP * 4
+
+
+def test_trie_fails_where_texts_change_between_readings(spark):
+    def now(batches):
+        import time
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([f"w{time.time_ns()} x x"] * b.num_rows)], ["doc_id", "text"])
+
+    df = spark.range(3).toDF("doc_id").mapInArrow(now, "doc_id long, text string")
+    with pytest.raises(Exception, match="another order"):
+        ngram_trie.scores(df).collect()
+
+
+def test_hot_words_and_pairs_are_spread(spark):
+    """Half of all tokens are one word, in 2,000 contexts, and a tenth are one pair."""
+    rng, shards = random.Random(2), 8
+    lines = [" ".join(f"x w{rng.randrange(2000)}" for _ in range(300)) + " y z" * 60 for _ in range(60)]
+    rows = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    known = ngram_trie.totals(rows, shards)
+    one = Counter(w for i, x in enumerate(lines) if ngram_trie.in_training(i) for w in [*x.split(), None])
+    hot = dict(zip(known.hot.tolist(), known.hot_counts.tolist(), strict=True))
+    assert hot == {xxhash.xxh3_64_intdigest(b"x"): one["x"]}
+    assert (known.n, known.v, known.texts) == (sum(one.values()), len(one), one[None])
+    pairs = ngram_trie.Pairs([ngram_trie.tokens(x) for x in lines], known, shards)
+    two = {p for x in lines for p in itertools.pairwise(["<", *x.split(), ">"])}
+    share = np.bincount(pairs.shard, minlength=shards)
+    assert len(pairs.words) == len(two) and share.max() < 1.5 * len(two) / shards
+    tokens = np.concatenate([ngram_trie.tokens(x) for x in lines])
+    assert (pairs.words[pairs.of_token] == tokens).all()
+
+
 def test_elias_fano_finds_successors():
     rng = np.random.default_rng(3)
     values = np.sort(rng.integers(0, 1 << 40, 500, dtype=np.uint64))
