@@ -488,8 +488,9 @@ _ANY_DOMAIN = has(_FLAT, word(*[w for words in vocab.DOMAINS.values() for w in w
 # Of each row of X.CITY: all provinces named, in the marts' spelling; no text counts as nationwide.
 _PLACES = at(["Toàn quốc", "Hà Nội", "Hồ Chí Minh", "Hà Nội|Hồ Chí Minh", "Hồ Chí Minh", "Hồ Chí Minh",
               "Khác", "Đà Nẵng", "Đồng Nai", "Toàn quốc", "Toàn quốc"])
+_FIRST_DOMAIN = "CASE " + " ".join(f"WHEN {has(_FLAT, word(*words))} THEN {q(name)}" for name, words in sorted(vocab.DOMAINS.items())) + " ELSE 'Other' END"
 ORACLES["enrich_without_model"] = docs(
-    is_it_job=f"{_VERDICT} = 'true' OR {_ANY_DOMAIN}", job_level=_LEVEL, locations=_PLACES,
+    domain=_FIRST_DOMAIN, is_it_job=f"{_VERDICT} = 'true' OR {_ANY_DOMAIN}", job_level=_LEVEL, locations=_PLACES,
 ) + f" WHERE {_CONTENT} AND {_VERDICT} <> 'false'"
 
 
@@ -572,12 +573,18 @@ ORACLES["quality_rules"] = ADVERTS + _RULED + report("ruled", {
     "it": _IT, "with_salary": f"{_IT} AND min_salary IS NOT NULL",
     "with_level": f"{_IT} AND level IS NOT NULL", "with_domain": _IT, "with_skills": _IT,
     "with_any_skill": f"{_IT} AND {SKILL_LIST} <> ''"})
-ORACLES["rules_to_location_mart"] = ADVERTS + f""",
+ORACLES["rules_to_location_mart"] = ADVERTS + _RULED + f""",
   it AS (SELECT {at(['Khác' if r[1] not in ('Hà Nội', 'Đà Nẵng', 'TP.HCM') else
-                     'Hồ Chí Minh' if r[1] == 'TP.HCM' else r[1] for r in X.CITY])} AS city
-         FROM adverts WHERE domain <> 'Other')
-  SELECT city, count(*) AS job_count, {share('count(*)', '(SELECT count(*) FROM it)')} AS percentage
-  FROM it GROUP BY city"""
+                     'Hồ Chí Minh' if r[1] == 'TP.HCM' else r[1] for r in X.CITY])} AS city,
+                CAST(coalesce(ceil(max_salary), -1) AS BIGINT) AS hi, string_split({SKILL_LIST}, '|') AS skills
+         FROM ruled WHERE domain <> 'Other'),
+  pairs AS (SELECT city, skill, count(*) AS cnt FROM (SELECT city, unnest(skills) AS skill FROM it)
+            WHERE skill <> '' AND length(skill) <= 40 GROUP BY 1, 2),
+  ranked AS (SELECT *, rank() OVER (PARTITION BY city ORDER BY cnt DESC) AS rnk FROM pairs),
+  top AS (SELECT city, string_agg(skill, ', ' ORDER BY cnt DESC, skill) AS top_skills FROM ranked WHERE rnk <= 5 GROUP BY city),
+  totals AS (SELECT city, count(*) AS job_count, {share('count(*)', '(SELECT count(*) FROM it)')} AS percentage,
+                    {avg1('hi', 'hi > 0')} AS avg_salary FROM it GROUP BY city)
+  SELECT totals.*, top_skills, '{AS_OF}' AS updated_date FROM totals LEFT JOIN top USING (city)"""
 
 
 # --- resume, tables ---------------------------------------------------------------------------

@@ -709,7 +709,7 @@ def enrich_without_model(spark, sf):
     tables.overwrite(clean_plan.clean(postings(spark, sf)), stage)
     todo = enrich.to_enrich(spark.read.parquet(stage))
     return enrich.enrich_by_rules(todo).select(
-        "job_id", "is_it_job", "job_level", joined("locations").alias("locations"))
+        "job_id", "domain", "is_it_job", "job_level", joined("locations").alias("locations"))
 
 
 # --- dedup, messages, streams -----------------------------------------------------------------
@@ -935,4 +935,4 @@ def rules_to_location_mart(spark, sf):
     base = scratch(spark, "rules")
     tables.overwrite(rules.process(postings(spark, sf)), base)
     jobs = rules.as_mart_input(spark.read.parquet(base))
-    return marts.location_trend(jobs, as_of()).select("city", "job_count", "percentage")
+    return _dated(marts.location_trend(jobs, as_of()))
