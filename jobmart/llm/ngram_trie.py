@@ -276,7 +276,7 @@ def totals(rows: DataFrame, shards: int) -> Totals:
             out.append(done())
         yield _arrow(out, kinds)
 
-    sent = rows.mapInArrow(count, "shard int, words binary, train binary, every binary").repartition(shards, "shard").sortWithinPartitions("shard")
+    sent = rows.mapInArrow(count, "shard int, words binary, train binary, every binary").repartitionById(shards, "shard").sortWithinPartitions("shard")
     lists = ", ".join(f"{c} array<long>" for c in ("words", "train", "every"))
     table = stored(sent.mapInArrow(merge, f"n long, v long, texts long, tokens long, {lists}"), "ngram-totals")
     n, v, texts, every = (x or 0 for x in table.agg(F.sum("n"), F.sum("v"), F.sum("texts"), F.sum("tokens")).first())
@@ -433,7 +433,7 @@ def scores(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", mu: floa
         if held:
             yield done(held)
 
-    asks = rows.mapInArrow(ask, ddl(asked)).repartition(shards, "shard").sortWithinPartitions("shard")
+    asks = rows.mapInArrow(ask, ddl(asked)).repartitionById(shards, "shard").sortWithinPartitions("shard")
     answers = asks.mapInArrow(answer, ddl(answered))
     texts = rows.mapInArrow(read_again, ddl(whole)).withColumn("shard", F.lit(-1))
     met = texts.unionByName(answers, allowMissingColumns=True).repartition(shards, "block").sortWithinPartitions("block", "shard")
