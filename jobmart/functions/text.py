@@ -104,8 +104,9 @@ def _code(digits: Column, base: int, longest: int) -> Column:
     return F.when(F.length(significant) <= longest, number)
 
 
-def _decode_number(piece: Column) -> Column:
-    reference = F.regexp_extract(piece, r"^#([0-9]+|[xX][0-9a-fA-F]+);?", 1)
+def _decode_number(piece: Column, unclosed: bool) -> Column:
+    end = ";?" if unclosed else ";"
+    reference = F.regexp_extract(piece, rf"^#([0-9]+|[xX][0-9a-fA-F]+){end}", 1)
     code = F.when(reference.rlike("^[xX]"), _code(F.substr(reference, F.lit(2)), 16, 6)).otherwise(
         _code(reference, 10, 7))
     rest = F.regexp_replace(piece, r"^#(?:[0-9]+|[xX][0-9a-fA-F]+);?", "")
@@ -113,28 +114,29 @@ def _decode_number(piece: Column) -> Column:
         F.concat(let(code, _char), rest))
 
 
-def _decode_name(piece: Column) -> Column:
+def _decode_name(piece: Column, unclosed: bool) -> Column:
     def with_table(table: dict) -> Callable[[Column], Column]:
         return lambda name: F.concat(F.try_element_at(constant(table, "map<string,string>"), name),
                                      F.substr(piece, F.length(name) + 1))
 
     name = F.regexp_extract(piece, r"^[^\t\n\x0c <&#;]{1,32};", 0)
     legacy = F.regexp_extract(piece, _LEGACY_START, 1)
+    known = [let(name, with_table(_NAMED)), *([let(legacy, with_table(_LEGACY))] if unclosed else [])]
     return (
         F.when(piece.startswith("amp;"), F.concat(F.lit("&"), F.substr(piece, F.lit(5))))
-        .otherwise(F.coalesce(let(name, with_table(_NAMED)), let(legacy, with_table(_LEGACY)),
-                              F.concat(F.lit("&"), piece))))
+        .otherwise(F.coalesce(*known, F.concat(F.lit("&"), piece))))
 
 
-def unescape(c: Column) -> Column:
+def unescape(c: Column, unclosed: bool = True) -> Column:
     """Decode character references the way HTML5 does, in one left-to-right pass.
 
     Covers named (with or without the closing semicolon), decimal and hexadecimal references.
+    Without ``unclosed`` a reference needs its semicolon, as in XML, and ``&amp`` cut short stays.
     Text without ``&`` is passed through untouched.
     """
     def piece(p: Column, i: Column) -> Column:
-        return F.when(i == 0, p).when(p.startswith("#"), _decode_number(p)).otherwise(
-            _decode_name(p))
+        return F.when(i == 0, p).when(p.startswith("#"), _decode_number(p, unclosed)).otherwise(
+            _decode_name(p, unclosed))
 
     return let(c, lambda t: F.when(
         t.contains("&"), F.array_join(F.transform(F.split(t, "&"), piece), "")).otherwise(t))
@@ -176,13 +178,13 @@ def tags_to_lines(c: Column) -> Column:
     return F.coalesce(let(F.split(c, "<"), replaced), tags_by_pattern(c))
 
 
-def html_to_text(c: Column) -> Column:
+def html_to_text(c: Column, unclosed: bool = True) -> Column:
     """HTML to readable text: list items become bullets, blocks become lines.
 
     NULL becomes ''. Blank lines are kept, but never two in a row. Entities are decoded after
-    the tags are gone, so an escaped tag stays visible.
+    the tags are gone, so an escaped tag stays visible; ``unclosed`` as in ``unescape``.
     """
-    return F.coalesce(tidy_lines(unescape(tags_to_lines(c))), F.lit(""))
+    return F.coalesce(tidy_lines(unescape(tags_to_lines(c), unclosed)), F.lit(""))
 
 
 _ODD_BREAKS = "\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"

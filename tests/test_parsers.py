@@ -238,3 +238,25 @@ def test_escaped_tags_survive_and_real_ones_do_not(spark):
     got = column(spark, [("<div>a</div>&lt;i&gt;b<pre>c</pre>",)], "s string",
                  lambda: text.html_to_text(F.col("s")))
     assert got == ["a<i>b\nc"]
+
+
+def test_closed_references_only(spark):
+    raw = ["a&amp", "a&ampp{", "&copy &copy; &#233 &#233;&#xe9", "&amp;lt; &lt;b&gt;", "&nope; &notit;"]
+    got = column(spark, [(t,) for t in raw], "s string", lambda: text.unescape(F.col("s"), unclosed=False))
+    assert got == ["a&amp", "a&ampp{", "&copy © &#233 é&#xe9", "&lt; <b>", "&nope; &notit;"]
+
+
+def test_cut_references_in_pages_as_in_the_sql(spark, tmp_path):
+    import duckdb
+    from checks.oracles import ORACLES
+    from checks.queries import QUERIES
+
+    head = ["Rock &amp; Roll &am", "Rock&amp", "a&&&amp", "a &amp; b", "x = &quot;7&quot;"]
+    rows = [(i, f"<title>{h}</title><style>p</style><h1>{h}</h1>{'x' * j}") for i, (h, j) in enumerate((h, j) for h in head for j in range(5))]
+    df = spark.createDataFrame(rows, "page_id int, html string")
+    df.coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    for name in ("clean_html", "page_title"):
+        got = sorted(tuple(r) for r in QUERIES[name](spark, str(tmp_path)).collect())
+        assert got == sorted(db.execute(ORACLES[name]).fetchall())
