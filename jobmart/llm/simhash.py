@@ -77,6 +77,17 @@ def gray_rank(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def join(c: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Merge the classes ``c`` of linked rows: least label, with pointers cut short."""
+    while len(a):
+        low, high = np.minimum(c[a], c[b]), np.maximum(c[a], c[b])
+        apart = low != high
+        a, b, low, high = a[apart], b[apart], low[apart], high[apart]
+        np.minimum.at(c, high, low)
+        while (c[c] != c).any():
+            c[:] = c[c]
+
+
 class GrayIndex:
     """A tree over unsigned 64-bit fingerprints; ``classes`` labels those linked so far.
 
@@ -107,15 +118,7 @@ class GrayIndex:
         return a[ok], b[ok]
 
     def join(self, a: np.ndarray, b: np.ndarray) -> None:
-        """Merge the classes of linked rows: least label, with pointers cut short."""
-        c = self.classes
-        while len(a):
-            low, high = np.minimum(c[a], c[b]), np.maximum(c[a], c[b])
-            apart = low != high
-            a, b, low, high = a[apart], b[apart], low[apart], high[apart]
-            np.minimum.at(c, high, low)
-            while (c[c] != c).any():
-                c[:] = c[c]
+        join(self.classes, a, b)
 
     def pure(self) -> list[np.ndarray]:
         """The class of each node's rows, -1 if they have several."""
@@ -294,13 +297,18 @@ def _named(rows: DataFrame, links: DataFrame) -> DataFrame:
     return placed.join(least, "root").select("id", "component_id")
 
 
-#: For similar texts rather than equal fingerprints: five-word shingles, the least Jaccard similarity as
-#: a fraction, and bands of minima. A pair of similarity s has a band in common with probability
-#: 1 - (1 - s**ROWS)**BANDS: 0.99994 at 0.8, 0.4 at 0.5, 0.02 at 0.3.
-SIMILAR_SHINGLE, LEAST, BANDS, ROWS = 5, (4, 5), 32, 6
+#: For similar texts rather than equal fingerprints: five-word shingles, the least Jaccard similarity as a fraction, and
+#: ``WORDS`` words of 64 SimHash bits, each cut into ``BANDS`` bands of ``BAND`` bits. Two sets of similarity 0.8 share 0.889 of
+#: their hashes and differ in 15 % of the bits, so that a band is equal with probability 0.139, and one of all with 0.9999.
+SIMILAR_SHINGLE, LEAST, WORDS, BANDS, BAND = 5, (4, 5), 13, 5, 12
+#: Candidates differ in at most ``FAR`` bits of the first word and ``WIDE_FAR`` of the first ``WIDE`` words: four standard
+#: deviations more than sets of similarity 0.8, and far less than the half by which others differ.
+WIDE, FAR, WIDE_FAR = 4, 21, 62
+#: Rows of a group that are compared as they stand; larger groups get an index.
+SMALL = 64
 #: Texts and characters of a chunk that are compared with each other and with those of one other chunk.
 TEXTS, ROOM = 4_000, 20_000_000
-_MIX = np.array([xxhash.xxh64_intdigest(i.to_bytes(4, "little"), 42) | 1 for i in range(BANDS * ROWS)], np.uint64)
+_MIX = np.array([xxhash.xxh64_intdigest(i.to_bytes(4, "little"), 42) | 1 for i in range(WORDS)], np.uint64)
 
 
 def shingle_set(text: str | None) -> np.ndarray:
@@ -313,17 +321,89 @@ def set_id(h: np.ndarray) -> int:
     return int(np.array(xxhash.xxh64_intdigest(np.ascontiguousarray(h, "<u8").tobytes(), 42), np.uint64).view(np.int64))
 
 
-def band_keys(h: np.ndarray, piece: int = 2048) -> np.ndarray:
-    """Per band a hash of the least of the set's hashes under each of its mixings; none for an empty set."""
+def simhash_words(h: np.ndarray, piece: int = 1024) -> np.ndarray:
+    """``WORDS`` SimHash words of a set, each from another mixing of its hashes; zero for an empty set."""
+    ones = np.zeros(64 * WORDS, np.int64)
+    for i in range(0, len(h), piece):
+        x = h[i:i + piece, None] * _MIX
+        x ^= x >> np.uint64(31)
+        x *= _MIX[::-1]
+        x ^= x >> np.uint64(29)
+        ones += np.unpackbits(x.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * ones > len(h), bitorder="little").view(np.uint64)
+
+
+def band_keys(h: np.ndarray) -> np.ndarray:
+    """Per band its number and the bits of the set's SimHash words there; none for an empty set."""
     if not len(h):
         return np.zeros(0, np.int64)
-    least = np.full(BANDS * ROWS, ~np.uint64(0))
-    for i in range(0, len(h), piece):
-        np.minimum(least, (h[i:i + piece, None] * _MIX).min(axis=0), out=least)
-    x = (least * _MIX[::-1]).reshape(BANDS, ROWS)
-    x = (x ^ (x >> np.uint64(29))) * _MIX[:ROWS]
-    x = x.sum(axis=1, dtype=np.uint64) * _MIX[:BANDS] + _MIX[BANDS:2 * BANDS]
-    return (x ^ (x >> np.uint64(32))).view(np.int64)
+    shifts = (np.arange(BANDS) * BAND).astype(np.uint64)
+    values = (simhash_words(h)[:, None] >> shifts & np.uint64((1 << BAND) - 1)).ravel().astype(np.int64)
+    return np.arange(WORDS * BANDS) << BAND | values
+
+
+def near(wide: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which of the pairs (a, b) of rows are candidates."""
+    ok = np.flatnonzero(np.bitwise_count(wide[a, 0] ^ wide[b, 0]) <= FAR)
+    return ok[np.bitwise_count(wide[a[ok]] ^ wide[b[ok]]).sum(axis=1, dtype=np.int32) <= WIDE_FAR]
+
+
+def _candidates(rows: DataFrame) -> DataFrame:
+    """(a, b): ids of candidates, a forest in each group of ``rows``: key, id, wide (array<long>).
+
+    Small groups lie side by side and are compared row by row with those behind; a larger one is
+    searched by a tree in Gray order, and one above ``GROUP`` is cut into chunks that meet in pairs.
+    """
+    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > GROUP)
+    parts = F.ceil(F.col("n") / F.lit(GROUP // 2)).cast("int")
+    sized = rows.join(F.broadcast(sizes), "key", "left")
+    other = F.explode(F.when(F.col("n").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), parts - 1)))
+    cut = sized.withColumn("own", F.coalesce(F.pmod(F.xxhash64("id"), parts).cast("int"), F.lit(0))).withColumn("other", other)
+    whole = cut.select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("k"), "id", "wide")
+
+    def forest(ids: np.ndarray, classes: np.ndarray) -> pa.RecordBatch:
+        far = np.flatnonzero(ids != ids[classes])
+        return pa.RecordBatch.from_arrays([pa.array(ids[far]), pa.array(ids[classes[far]])], ["a", "b"])
+
+    def small(keys: np.ndarray, ids: np.ndarray, wide: np.ndarray) -> pa.RecordBatch:
+        classes = np.arange(len(ids))
+        for step in range(1, SMALL):
+            a = np.flatnonzero(keys[step:] == keys[:-step])
+            if not len(a):
+                break
+            ok = near(wide, a, a + step)
+            join(classes, a[ok], a[ok] + step)
+        return forest(ids, classes)
+
+    def large(ids: np.ndarray, wide: np.ndarray) -> pa.RecordBatch:
+        index = GrayIndex(wide[:, 0], FAR, wide, WIDE_FAR)
+        return forest(ids[index.order], index.search())
+
+    def cuts(batches):
+        """The rows of whole groups, about a batch at a time."""
+        held = None
+        for b in pieces(batches, 8192):
+            wide = b.column(2).flatten().to_numpy().view(np.uint64).reshape(b.num_rows, -1)
+            now = [b.column(0).to_numpy(), b.column(1).to_numpy(), wide]
+            now = now if held is None else [np.concatenate(x) for x in zip(held, now, strict=True)]
+            ready = int(np.searchsorted(now[0], now[0][-1]))  # the last group may go on
+            if ready:
+                yield [x[:ready] for x in now]
+            held = [x[ready:] for x in now]
+        if held is not None and len(held[0]):
+            yield held
+
+    def run(batches):
+        for keys, ids, wide in cuts(batches):
+            first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+            sizes = np.diff(np.append(first, len(keys)))
+            few = np.repeat(sizes <= SMALL, sizes)
+            yield small(keys[few], ids[few], wide[few])
+            for i, n in zip(first[sizes > SMALL].tolist(), sizes[sizes > SMALL].tolist(), strict=True):
+                yield large(ids[i:i + n], wide[i:i + n])
+
+    spread = whole.repartition(partitions(rows.sparkSession), "k")
+    return spread.sortWithinPartitions("k").mapInArrow(run, "a long, b long")
 
 
 def similar_sets(sets: list[np.ndarray]) -> np.ndarray:
@@ -392,8 +472,9 @@ def _links(rows: DataFrame) -> DataFrame:
 def similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", chunk: int = TEXTS, room: int = ROOM) -> DataFrame:
     """doc_id and component_id of every document, where texts of 0.8 similarity or more are linked.
 
-    Two texts are candidates if they have a band in common; candidates' components are small beside the
-    table. Inside each of them the sets themselves are compared, and only links of 0.8 or more make classes.
+    Two texts are candidates if a band of their SimHash words is equal and few bits of the first words differ;
+    candidates' components are small beside the table. Inside each of them the sets themselves are compared,
+    and only links of 0.8 or more make classes.
     Components above a chunk are dealt out by pairs of chunks. Texts without words link to each other.
     Ids should be unique and not null: rows without one are in no component and get null.
     """
@@ -402,23 +483,23 @@ def similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", chunk:
     def code(batches):
         for b in pieces(batches):
             sets = [shingle_set(x) for x in b.column(1).to_pylist()]
-            keys = [band_keys(h) for h in sets]
-            offsets = np.concatenate([[0], np.cumsum([len(x) for x in keys])]).astype(np.int32)
-            bands = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int64), *keys])))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([set_id(h) for h in sets], pa.int64()), bands], ["doc_id", "id", "bands"])
+            words = np.concatenate([np.zeros(0, np.uint64), *map(simhash_words, sets)]).view(np.int64)
+            offsets = (np.arange(b.num_rows + 1) * WORDS).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([set_id(h) for h in sets], pa.int64()), pa.array([len(h) for h in sets], pa.int64()),
+                                              pa.ListArray.from_arrays(pa.array(offsets), pa.array(words))], ["doc_id", "id", "n", "words"])
 
     def name(batches):
         for b in pieces(batches):
             ids = [set_id(shingle_set(x)) for x in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), b.column(0)], ["id", "text"])
 
-    own = stored(rows.mapInArrow(code, "doc_id long, id long, bands array<long>"), "sets").where("doc_id is not null")
-    distinct = own.groupBy("id").agg(F.min("doc_id").alias("first"), F.first("bands").alias("bands"))
+    own = stored(rows.mapInArrow(code, "doc_id long, id long, n long, words array<long>"), "sets").where("doc_id is not null")
+    distinct = own.groupBy("id").agg(F.min("doc_id").alias("first"), F.first("n").alias("n"), F.first("words").alias("words"))
     distinct = stored(distinct, "distinct")
-    keys = distinct.select("id", F.explode("bands").alias("key"))
-    least = keys.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
-    near = keys.join(least, "key").where("id <> least").select(F.col("id").alias("a"), F.col("least").alias("b"))
-    candidates = stored(components(near), "candidates")
+    bands = [F.lit((w * BANDS + i) << BAND).bitwiseOR(_cut(F.col("words")[w], i * BAND, BAND)) for w in range(WORDS) for i in range(BANDS)]
+    banded = distinct.where("n > 0").select("id", F.slice("words", 1, WIDE).alias("wide"), F.explode(F.array(*bands)).alias("key"))
+    links = _candidates(banded)
+    candidates = stored(components(links), "candidates")
     # One text of each set; copies merge before the shuffle.
     texts = rows.where("doc_id is not null").select("text").mapInArrow(name, "id long, text string").groupBy("id").agg(F.first("text").alias("text"))
     texts = stored(texts.join(candidates, texts["id"] == candidates["node"]).select("id", "root", "text"), "candidate-texts")

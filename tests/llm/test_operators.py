@@ -366,6 +366,27 @@ def test_bands_find_pairs_at_the_limit():
     assert found >= 998
 
 
+@pytest.mark.parametrize("most", [2, 64])
+def test_similar_texts_meet_through_simhash_and_the_gray_index(spark, monkeypatch, most):
+    rng = random.Random(13)
+    monkeypatch.setattr(simhash, "SMALL", most)
+    body = [f"w{rng.randrange(3000)}" for _ in range(300)]
+    rows = [list(body) for _ in range(90)] + [[f"w{rng.randrange(3000)}" for _ in range(300)] for _ in range(60)]
+    for r in rows[:90]:
+        r[rng.randrange(300)] = f"v{rng.random()}"
+    sets = [simhash.shingle_set(" ".join(r)) for r in rows]
+    keys = np.array([simhash.band_keys(h) for h in sets])
+    wide = [[int(w) for w in simhash.simhash_words(h)[:simhash.WIDE].view(np.int64)] for h in sets]
+    df = spark.createDataFrame([(int(k), i, wide[i]) for i, own in enumerate(keys) for k in own], "key long, id long, wide array<long>")
+    for group in (16, 20_000):
+        monkeypatch.setattr(simhash, "GROUP", group)
+        links = {(r.a, r.b) for r in simhash._candidates(df).collect()}
+        assert all(a < 90 and b < 90 for a, b in links)
+        label = np.arange(len(rows))
+        simhash.join(label, *(np.array(x) for x in zip(*links, strict=True)))
+        assert not label[:90].any() and (label[90:] == np.arange(90, 150)).all()
+
+
 def test_similar_texts_and_their_pipeline_stage(spark):
     import corpus_pipeline
     rng = random.Random(7)
