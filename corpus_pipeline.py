@@ -67,7 +67,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids and whether decoding them gives the text's bytes."""
     vocabulary = bpe.broadcast(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
-    coded = bpe.decode(bpe.encode(docs.select("doc_id", "text"), vocabulary, memory=100_000), vocabulary)
+    coded = bpe.encode(docs.select("doc_id", "text"), vocabulary, memory=100_000, decoded="decoded")
     same = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))
 

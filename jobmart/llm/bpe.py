@@ -98,7 +98,7 @@ class Coder(dict):
             return ids
         data = piece.encode("utf-8", "surrogatepass")
         rank = self.ranks.get(data)
-        ids = np.array([rank] if rank is not None else self.backtrack(data), "<i4").tobytes()
+        ids = rank.to_bytes(4, "little") if rank is not None else np.array(self.backtrack(data), "<i4").tobytes()
         if len(self) >= self.memory:
             self.old = dict(self)
             self.clear()
@@ -167,25 +167,33 @@ def broadcast(df: DataFrame, path: str, pattern: str):
     return df.sparkSession.sparkContext.broadcast(Vocabulary(read_ranks(path), pattern))
 
 
-def encode(df: DataFrame, vocabulary, text: str = "text", ids: str = "ids", memory: int | None = None) -> DataFrame:
+def encode(df: DataFrame, vocabulary, text: str = "text", ids: str = "ids", memory: int | None = None,
+           decoded: str | None = None) -> DataFrame:
     """Append the ids of each whole text as ``array<int>``; a null or empty text has none.
 
     Workers keep their coder for later tasks. With ``memory`` (entries) each task has its own and nothing
-    is left in the worker: for jobs whose other stages need the space.
+    is left in the worker: for jobs whose other stages need the space. With ``decoded`` the ids are decoded
+    in the same task, as by ``decode``, into a column of that name.
     """
 
     def make():
         coder = vocabulary.value.coder() if memory is None else Coder(vocabulary.value, memory)
+        token = coder.tokens.__getitem__
 
         def run(texts: pa.Array) -> list[pa.Array]:
             packed = [coder.encode(x) if x else b"" for x in texts.to_pylist()]
             offsets = np.zeros(len(packed) + 1, np.int64)
             np.cumsum([len(p) // 4 for p in packed], out=offsets[1:])
-            values = pa.array(np.frombuffer(b"".join(packed), "<i4"))
-            return [pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values)]
+            flat = np.frombuffer(b"".join(packed), "<i4")
+            out = [pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat))]
+            if decoded:
+                data = [b"".join(map(token, flat[i:j].tolist())) for i, j in zip(offsets, offsets[1:], strict=False)]
+                out.append(pa.array(data, pa.binary()))
+            return out
         return run
 
-    return add_columns(df, text, T.StructType().add(ids, T.ArrayType(T.IntegerType())), make)
+    fields = T.StructType().add(ids, T.ArrayType(T.IntegerType()))
+    return add_columns(df, text, fields.add(decoded, T.BinaryType()) if decoded else fields, make)
 
 
 def decode(df: DataFrame, vocabulary, ids: str = "ids", data: str = "decoded") -> DataFrame:

@@ -48,10 +48,9 @@ def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     vocabulary = bpe.broadcast(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
-    coded = bpe.decode(bpe.encode(docs, vocabulary).select("doc_id", "ids"), vocabulary)
-    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
-                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
-                        F.sha2("decoded", 256).alias("decoded_sha256"))
+    return bpe.encode(docs, vocabulary, decoded="decoded").select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
