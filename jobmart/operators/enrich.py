@@ -195,11 +195,15 @@ def run_batches(spark: SparkSession, planned: str, ledger: str, scorer: Scorer,
 
 
 def plan_keyed(todo: DataFrame, path: str, buckets: int = keyed.BUCKETS) -> None:
-    """Add ``todo`` to the planned table at ``path``, one row per key, bucketed by key."""
+    """Add ``todo`` to the planned table at ``path``, one row per key, bucketed by key.
+
+    As many tasks write as the session has shuffle partitions, several to a bucket where there are fewer buckets.
+    """
     spark = todo.sparkSession
     name = keyed.table(spark, path, todo.schema, "job_id", buckets)
     n = keyed.buckets(spark, path) or buckets
-    keyed.append(keyed.gather(first_per_key(todo, "job_id", []), "job_id", n), name)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keyed.append(keyed.gather(first_per_key(todo, "job_id", []), "job_id", n, tasks), name)
 
 
 def run_pending(spark: SparkSession, planned: str, ledger: str, scorer: Scorer,
@@ -207,7 +211,8 @@ def run_pending(spark: SparkSession, planned: str, ledger: str, scorer: Scorer,
     """Enrich all planned adverts without an answer, in one job.
 
     ``planned`` and ``ledger`` are bucketed tables; with equal bucket counts the adverts still
-    pending are found without a shuffle, else only ``planned`` is dealt anew. The ledger keeps the
+    pending are found without a shuffle, else only ``planned`` is dealt anew. Where a bucket holds more than a
+    task's share, the adverts are read by pieces of files in place of whole buckets. The ledger keeps the
     bucket count it was made with. Each task asks for at most about ``rows_per_task`` adverts and its
     answers are stored when it ends, so a job that is stopped loses its unfinished tasks only and
     the next run goes on. A key is asked once per run; rows the model failed on are asked again by the next.
@@ -221,7 +226,12 @@ def run_pending(spark: SparkSession, planned: str, ledger: str, scorer: Scorer,
     waiting = left.select("job_id").count()
     if waiting:
         tasks = -(-waiting // rows_per_task)
-        once = left if keyed.buckets(spark, planned) == n and tasks <= n else keyed.gather(left, "job_id", n, tasks)
+        if keyed.buckets(spark, planned) == n and tasks <= n:
+            once = left
+        else:
+            rows = keyed.files(spark, planned, done_schema)
+            done = keyed.files(spark, ledger, spark.table(name).schema)
+            once = keyed.gather(pending(rows, done), "job_id", n, tasks)
         keyed.append(run(once), name)
 
 

@@ -39,11 +39,17 @@ def table(spark: SparkSession, path: str, schema: StructType, key: str,
     return name
 
 
+def files(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The rows of the table at ``path`` read as plain files: a task reads a piece of a file, not a whole bucket."""
+    n = buckets(spark, path)
+    return spark.read.schema(schema).parquet(f"{path}/{_PREFIX}{n}") if n else spark.createDataFrame([], schema)
+
+
 def gather(df: DataFrame, key: str, n: int, tasks: int = 0) -> DataFrame:
-    """Rows dealt so that a task writes few buckets; with more ``tasks`` than buckets several share one."""
+    """Rows dealt so that a task writes one bucket; with more ``tasks`` than buckets several share one evenly."""
     parts = max(1, -(-tasks // n))
-    salt = F.pmod(F.xxhash64(key), F.lit(parts))
-    return df.repartition(n * parts, F.pmod(F.hash(key), F.lit(n)), salt)
+    salt = F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
+    return df.repartitionById(n * parts, F.pmod(F.hash(key), F.lit(n)) + F.lit(n) * salt)
 
 
 def append(df: DataFrame, name: str) -> None:

@@ -127,3 +127,15 @@ def test_newest_run_among_directories(spark, tmp_path):
     (base / "20270101_000000").write_text("a file")
     assert bronze.latest_run(spark, str(base)) == f"{base}/20260315_101010"
     assert "20270101_000000" in files.children(spark, str(base))
+
+
+def test_buckets_are_written_and_read_by_several_tasks(spark, stage):
+    base = scratch(spark, "keyed")
+    todo = enrich.to_enrich(stage)
+    enrich.plan_keyed(todo, f"{base}/planned", 1)
+    rows = keyed.files(spark, f"{base}/planned", todo.schema)
+    assert rows.count() == todo.select("job_id").distinct().count()
+    assert rows.select(F.input_file_name()).distinct().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for _ in range(2):  # the second run finds all of them answered
+        enrich.run_pending(spark, f"{base}/planned", f"{base}/ledger", lambda p, t: REPLY, buckets=1, rows_per_task=20)
+        assert enrich.read_ledger(spark, f"{base}/ledger").count() == rows.count()
