@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from jobmart import vocab
@@ -26,6 +26,8 @@ from jobmart.sources.tables import append, read_or_empty
 # prompt text, timeout in seconds -> reply text. Raises TimeoutError when the model is too slow.
 Scorer = Callable[[str, float], str]
 FAILED = "{}"
+#: Prompts of an Arrow batch that are unpacked together; a prompt may hold a very long text.
+ROWS = 64
 LEDGER = "job_id string, answered boolean"
 
 
@@ -66,7 +68,8 @@ def asked(scorer: Scorer, timeout: float = 20.0, attempts: int = 2,
     """A column function sending prompts to ``scorer``.
 
     A timeout is retried, any other failure gives NULL, so one bad row never fails a task. ``in_flight`` calls overlap per task, since they mostly wait. The function is marked
-    nondeterministic so that the optimizer never calls the model twice for a row.
+    nondeterministic so that the optimizer never calls the model twice for a row. Of an Arrow batch only
+    ``ROWS`` prompts at a time become Python strings, and a task's memory goes back when it ends.
     """
 
     def one(text: str) -> str | None:
@@ -79,14 +82,16 @@ def asked(scorer: Scorer, timeout: float = 20.0, attempts: int = 2,
                 return None
         return None
 
-    def batches(prompts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def batches(prompts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         from concurrent.futures import ThreadPoolExecutor
 
         with ThreadPoolExecutor(in_flight) as pool:
             for batch in prompts:
-                yield pd.Series(list(pool.map(one, batch)), dtype="object")
+                parts = [list(pool.map(one, batch.slice(i, ROWS).to_pylist())) for i in range(0, len(batch), ROWS)]
+                yield pa.array([reply for part in parts for reply in part], pa.string())
+        pa.default_memory_pool().release_unused()
 
-    return F.pandas_udf(batches, "string").asNondeterministic()
+    return F.arrow_udf(batches, "string").asNondeterministic()
 
 
 def _finisher() -> Callable[[DataFrame], DataFrame]:

@@ -98,8 +98,8 @@ def enrich_new(spark: SparkSession, stage: str, ledger: str, checkpoint: str, sc
 
     def step(rows: DataFrame, number: int) -> None:
         done = read_or_empty(rows.sparkSession, ledger, LEDGER)
-        fresh = first_per_key(to_enrich(rows), "job_id", [])
-        append(score(pending(fresh, done)), ledger)
+        # Answered adverts leave before the copies of a key meet, whole rows of which are shuffled.
+        append(score(first_per_key(pending(to_enrich(rows), done), "job_id", [])), ledger)
 
     (stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
      .trigger(availableNow=True).start().awaitTermination())

@@ -161,3 +161,39 @@ def test_final_table(spark):
 def test_enrichment_without_a_model(spark):
     rows = enrich.enrich_by_rules(enrich.to_enrich(clean(postings(spark)))).collect()
     assert rows and all(r.locations == ["Toàn quốc"] and r.job_level for r in rows)
+
+
+def test_few_prompts_are_unpacked_at_a_time(spark):
+    import pyarrow as pa
+
+    class Batch:
+        def __init__(self, values):
+            self.values, self.asked = pa.array(values), []
+
+        def __len__(self):
+            return len(self.values)
+
+        def slice(self, i, n):
+            self.asked.append(n)
+            return self.values.slice(i, n)
+
+    batch = Batch(["x" * i for i in range(1, 1001)])
+    run = enrich.asked(lambda text, timeout: str(len(text)) if len(text) % 2 else None).func
+    got, = run(iter([batch]))
+    assert got.to_pylist() == [str(i) if i % 2 else None for i in range(1, 1001)]
+    assert max(batch.asked) <= 64 and sum(batch.asked) >= 1000
+
+
+def test_answered_copies_leave_before_keys_meet(spark, tmp_path, monkeypatch):
+    rows = clean(postings(spark))
+    met, first = [], ingest.first_per_key
+
+    def counted(df, key, order):
+        met.append(df.count())
+        return first(df, key, order)
+
+    monkeypatch.setattr(ingest, "first_per_key", counted)
+    for n in range(2):
+        tables.append(rows.coalesce(1), f"{tmp_path}/stage")
+        ingest.enrich_new(spark, f"{tmp_path}/stage", f"{tmp_path}/ledger", f"{tmp_path}/checkpoint", lambda p, t: "{}", files_per_batch=1)
+    assert met[0] > 0 and met[-1] == 0
