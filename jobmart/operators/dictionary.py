@@ -19,7 +19,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from jobmart import vocab
-from jobmart.functions.matching import STARTS, WORD
+from jobmart.functions.matching import STARTS, WORD, any_of
 from jobmart.functions.skills import squashed_keys
 from jobmart.functions.text import SPACE, strip
 
@@ -28,6 +28,9 @@ BROADCAST_CHARS = 16 * 1024 ** 2
 BROADCAST_ROWS = 500_000
 #: In a shuffled join, the tasks that share the places of one head.
 SALTS = 16
+#: Of a dictionary of up to ``PREFIX_ROWS`` rows, the first ``PREFIX`` characters of its keywords go into the pattern if
+#: they are ``PREFIXES`` at most. They spare places where no keyword begins; results don't depend on them.
+PREFIX, PREFIXES, PREFIX_ROWS = 4, 2000, 50_000
 _HEAD = rf"^(?:[{WORD}]+|[\s\S])"
 _START = rf"{STARTS}(?=\S)"
 
@@ -52,16 +55,18 @@ def hits(texts: DataFrame, key: str, text: str, dictionary: DataFrame,
     """``key``, ``_at`` (the number of the place in the text) and the entry's columns for every
     occurrence of a keyword in the lower-cased ``text``.
 
-    Only the dictionary's size is asked for on the driver, never its rows.
+    Only the dictionary's size and at most ``PREFIXES`` beginnings of keywords are asked for on the driver, never its
+    rows. Places where no keyword can begin are counted, but neither cut out nor joined.
     """
     words = entries(dictionary)
     size = words.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("keyword")).alias("chars"),
-                     F.max(F.length("keyword")).alias("longest")).first()
+                     F.max(F.length("keyword")).alias("longest"),
+                     F.min(F.length(F.regexp_extract("keyword", f"^[{WORD}]*", 0))).alias("run")).first()
     longest = max(size["longest"] or 1, 1)
     small = size["n"] <= BROADCAST_ROWS and (size["chars"] or 0) <= BROADCAST_CHARS
-    pattern = rf"{_START}(?=([\s\S]{{1,{longest + 1}}}))"
+    pattern = rf"{_START}(?=((?={_beginning(words, size)})[\s\S]{{1,{longest + 1}}})?)"
     found = F.regexp_extract_all(F.lower(F.col(text)), F.lit(pattern), F.lit(1))
-    places = texts.select(F.col(key), F.posexplode(found).alias("_at", "_place")).withColumn(
+    places = texts.select(F.col(key), F.posexplode(found).alias("_at", "_place")).where("_place != ''").withColumn(
         "_head", F.regexp_extract("_place", _HEAD, 0))
     if small:
         joined = places.join(F.broadcast(words), "_head")
@@ -75,6 +80,15 @@ def hits(texts: DataFrame, key: str, text: str, dictionary: DataFrame,
     return joined.filter(matches).drop("_place", "_head")
 
 
+def _beginning(words: DataFrame, size) -> str:
+    """A pattern of what every keyword begins with: one of their first characters, or so many letters and digits."""
+    if 0 < size["n"] <= PREFIX_ROWS:
+        found = words.select(F.substring("keyword", 1, PREFIX).alias("p")).distinct().limit(PREFIXES + 1).collect()
+        if len(found) <= PREFIXES:
+            return any_of(sorted(r.p for r in found))
+    return f"[{WORD}]{{{size['run'] or 0}}}"
+
+
 def _ends_in_word(c: Column) -> Column:
     return c.rlike(f"^[{WORD}]")
 

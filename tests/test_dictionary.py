@@ -72,3 +72,17 @@ def test_sizes_of_the_dictionaries():
     assert (len(vocab.DOMAINS), sum(map(len, vocab.DOMAINS.values()))) == (23, 151)
     assert (len(vocab.LOCATIONS), sum(map(len, vocab.LOCATIONS.values()))) == (35, 157)
     assert (len(vocab.LEVELS), sum(map(len, vocab.LEVELS.values()))) == (7, 30)
+
+
+@pytest.mark.parametrize("prefix_rows", [0, 50_000])
+def test_places_where_no_keyword_begins_are_not_joined(spark, monkeypatch, prefix_rows):
+    monkeypatch.setattr(D, "PREFIX_ROWS", prefix_rows)
+    words = spark.createDataFrame([("a", "longer"), ("a", "longest way"), ("b", "lonely+"), ("b", "ärger-net")], "label string, keyword string")
+    texts = spark.createDataFrame([(1, "the Longest way is longer, a lon lonely+ way (ÄRGER-NET) longe longers")], "id int, text string")
+    joined = D.hits(texts, "id", "text", words)
+    assert sorted((r._at, r.keyword, r._span) for r in joined.collect()) == [
+        (1, "longest way", 2), (4, "longer", 1), (7, "lonely+", 1), (10, "ärger-net", 2)]
+    begins = D._beginning(D.entries(words), {"n": 4, "run": 5})
+    pattern = rf"{D._START}(?=((?={begins})[\s\S]{{1,12}})?)"
+    places = texts.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(pattern), F.lit(1))).alias("p"))
+    assert 0 < places.where("p != ''").count() < places.count()
